@@ -22,10 +22,9 @@ from cardflow.schema import (
 
 def present(df: DataFrame, name: str) -> Column:
     """True where a column holds a value; NaN counts as missing."""
-    column = F.col(name)
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        return column.isNotNull() & ~F.isnan(column)
-    return column.isNotNull()
+        return F.expr(f"(`{name}` IS NOT NULL AND NOT isnan(`{name}`))")
+    return F.expr(f"`{name}` IS NOT NULL")
 
 
 def dedupe(

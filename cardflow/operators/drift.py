@@ -32,10 +32,12 @@ def shared_columns(
     return [c for c in columns if c in reference.columns and c in current.columns]
 
 
-def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    return doubles.unpivot([], list(columns), "feature", "value").filter(
-        F.col("value").isNotNull() & ~F.isnan("value")
+def _long(df: DataFrame, columns: Sequence[str], is_ref: int) -> DataFrame:
+    doubles = df.select(*[F.expr(f"CAST(`{c}` AS DOUBLE) AS `{c}`") for c in columns])
+    return (
+        doubles.unpivot([], list(columns), "feature", "value")
+        .filter("value IS NOT NULL AND NOT isnan(value)")
+        .withColumn("is_ref", F.lit(is_ref))
     )
 
 
@@ -48,22 +50,16 @@ def align(
     Missing values are left out.
     """
     names = shared_columns(reference, current, columns)
-    sides = _long(reference, names).withColumn("is_ref", F.lit(1)).unionByName(
-        _long(current, names).withColumn("is_ref", F.lit(0))
-    )
+    sides = _long(reference, names, 1).unionByName(_long(current, names, 0))
     return sides.groupBy("feature", "value").agg(
         F.sum("is_ref").alias("n_ref"), F.sum(1 - F.col("is_ref")).alias("n_cur")
     )
 
 
 def value_distribution(counts: DataFrame) -> DataFrame:
-    """Counts with both running totals, side totals and the next larger value."""
-    totals = counts.groupBy(F.col("feature").alias("_feature")).agg(
-        F.sum("n_ref").alias("total_ref"), F.sum("n_cur").alias("total_cur")
-    )
-    running = running_totals(counts, "feature", "value", ["n_ref", "n_cur"])
-    # ``totals`` has one row per feature, and a feature is a column.
-    return running.join(F.broadcast(totals), F.col("feature") == F.col("_feature")).drop("_feature")
+    """Counts with running and whole totals per side, and the next larger value."""
+    weighted = counts.withColumn("v_ref", F.col("n_ref") * F.col("value"))
+    return running_totals(weighted, "feature", "value", ["n_ref", "n_cur", "v_ref"])
 
 
 def _js_terms(p: Column, q: Column) -> Column:
@@ -76,10 +72,10 @@ def _js_terms(p: Column, q: Column) -> Column:
 
 def _chi2_terms() -> Column:
     both = F.col("n_ref") + F.col("n_cur")
-    total = F.col("total_ref") + F.col("total_cur")
+    total = F.col("total_n_ref") + F.col("total_n_cur")
     terms = F.lit(0.0)
     for side in ("ref", "cur"):
-        expected = both * F.col(f"total_{side}") / total.cast("double")
+        expected = both * F.col(f"total_n_{side}") / total.cast("double")
         miss = F.col(f"n_{side}") - expected
         terms = terms + F.when(expected > 0, miss * miss / expected).otherwise(0.0)
     return terms
@@ -95,22 +91,23 @@ def column_statistics(
     """
     names = shared_columns(reference, current, columns)
     values = value_distribution(align(reference, current, names))
-    share_ref = F.col("upto_n_ref") / F.col("total_ref").cast("double")
-    share_cur = F.col("upto_n_cur") / F.col("total_cur").cast("double")
+    share_ref = F.col("upto_n_ref") / F.col("total_n_ref").cast("double")
+    share_cur = F.col("upto_n_cur") / F.col("total_n_cur").cast("double")
     gap = F.abs(share_ref - share_cur)
     width = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
-    p = F.col("n_ref") / F.col("total_ref").cast("double")
-    q = F.col("n_cur") / F.col("total_cur").cast("double")
+    p = F.col("n_ref") / F.col("total_n_ref").cast("double")
+    q = F.col("n_cur") / F.col("total_n_cur").cast("double")
     below = F.col("upto_n_ref") - F.col("n_ref")
+    miss = F.col("value") - F.col("total_v_ref") / F.col("total_n_ref").cast("double")
     # Shares of the least value, for the proportion test of two-valued features.
     is_least = (below == 0) & (F.col("upto_n_cur") == F.col("n_cur"))
     bin_of_value = F.least(
-        F.floor(below * BINS / F.col("total_ref").cast("double")), F.lit(BINS - 1)
+        F.floor(below * BINS / F.col("total_n_ref").cast("double")), F.lit(BINS - 1)
     )
     per_bin = (
-        values.filter((F.col("total_ref") > 0) & (F.col("total_cur") > 0))
+        values.filter((F.col("total_n_ref") > 0) & (F.col("total_n_cur") > 0))
         .withColumn("bin", bin_of_value)
-        .groupBy("feature", "total_ref", "total_cur", "bin")
+        .groupBy("feature", "total_n_ref", "total_n_cur", "bin")
         .agg(
             F.count(F.lit(1)).alias("n_values"),
             F.max(gap).alias("ks"),
@@ -119,13 +116,14 @@ def column_statistics(
             F.sum(_chi2_terms()).alias("chi2"),
             F.sum("n_ref").alias("n_ref"),
             F.sum("n_cur").alias("n_cur"),
+            F.sum(F.col("n_ref") * miss * miss).alias("squares"),
             F.sum(F.when(is_least, p)).alias("least_ref"),
             F.sum(F.when(is_least, q)).alias("least_cur"),
         )
     )
     bin_ref = F.greatest(p, F.lit(EMPTY_BIN_SHARE))
     bin_cur = F.greatest(q, F.lit(EMPTY_BIN_SHARE))
-    stats = per_bin.groupBy("feature", "total_ref", "total_cur").agg(
+    stats = per_bin.groupBy("feature", "total_n_ref", "total_n_cur").agg(
         F.sum("n_values").alias("n_values"),
         F.max("ks").alias("ks"),
         F.sum("w1").alias("w1"),
@@ -133,18 +131,13 @@ def column_statistics(
         F.sqrt(F.greatest(F.sum(_js_terms(p, q)), F.lit(0.0))).alias("js_bins"),
         F.sqrt(F.greatest(F.sum("js_values"), F.lit(0.0))).alias("js_values"),
         F.sum("chi2").alias("chi2"),
+        F.sqrt(F.sum("squares") / F.col("total_n_ref")).alias("std_ref"),
         F.coalesce(F.sum("least_ref"), F.lit(0.0)).alias("share_ref"),
         F.coalesce(F.sum("least_cur"), F.lit(0.0)).alias("share_cur"),
     )
-    deviations = (
-        reference.agg(*[F.stddev_pop(F.col(c).cast("double")).alias(c) for c in names])
-        .unpivot([], names, "_feature", "std_ref")
-    )
     few = F.col("n_values") <= FEW_VALUES
     return (
-        stats.join(F.broadcast(deviations), F.col("feature") == F.col("_feature"))
-        .drop("_feature")
-        .withColumn("w1_norm", F.col("w1") / F.greatest(F.col("std_ref"), F.lit(MIN_STD)))
+        stats.withColumn("w1_norm", F.col("w1") / F.greatest(F.col("std_ref"), F.lit(MIN_STD)))
         .withColumn("js", F.when(few, F.col("js_values")).otherwise(F.col("js_bins")))
         .drop("js_values", "js_bins")
     )
@@ -154,7 +147,7 @@ def ks_two_sample(
     reference: DataFrame, current: DataFrame, columns: Sequence[str] = MODEL_COLS
 ) -> DataFrame:
     stats = column_statistics(reference, current, columns)
-    p_value = kolmogorov_tail(F.col("ks"), F.col("total_ref"), F.col("total_cur"))
+    p_value = kolmogorov_tail(F.col("ks"), F.col("total_n_ref"), F.col("total_n_cur"))
     return stats.select("feature", "ks", p_value.alias("p_value"))
 
 
@@ -194,7 +187,7 @@ def _category_counts(reference: DataFrame, current: DataFrame, columns: Sequence
         F.sum("is_ref").alias("n_ref"), F.sum(1 - F.col("is_ref")).alias("n_cur")
     )
     totals = counts.groupBy(F.col("feature").alias("_feature")).agg(
-        F.sum("n_ref").alias("total_ref"), F.sum("n_cur").alias("total_cur")
+        F.sum("n_ref").alias("total_n_ref"), F.sum("n_cur").alias("total_n_cur")
     )
     return counts.join(F.broadcast(totals), F.col("feature") == F.col("_feature")).drop("_feature")
 
@@ -205,7 +198,7 @@ def chi2_two_sample(
     """Chi-square test of equal category shares, one row per categorical column."""
     tested = (
         _category_counts(reference, current, columns)
-        .filter((F.col("total_ref") > 0) & (F.col("total_cur") > 0))
+        .filter((F.col("total_n_ref") > 0) & (F.col("total_n_cur") > 0))
         .groupBy("feature")
         .agg(F.sum(_chi2_terms()).alias("chi2"), (F.count(F.lit(1)) - 1).alias("df"))
     )
@@ -278,8 +271,8 @@ def column_drift(
     """
     stats = column_statistics(reference, current, columns)
     few, two = F.col("n_values") <= FEW_VALUES, F.col("n_values") <= 2
-    z = _pooled_z(F.col("share_ref"), F.col("share_cur"), F.col("total_ref"), F.col("total_cur"))
-    is_small = F.col("total_ref") <= small
+    z = _pooled_z(F.col("share_ref"), F.col("share_cur"), F.col("total_n_ref"), F.col("total_n_cur"))
+    is_small = F.col("total_n_ref") <= small
     method = (
         F.when(is_small & two, "z")
         .when(is_small & few, "chi2")
@@ -292,7 +285,7 @@ def column_drift(
         .when(F.col("method") == "chi2", chi2_tail(F.col("chi2"), F.col("n_values") - 1))
         .when(
             F.col("method") == "ks",
-            kolmogorov_tail(F.col("ks"), F.col("total_ref"), F.col("total_cur")),
+            kolmogorov_tail(F.col("ks"), F.col("total_n_ref"), F.col("total_n_cur")),
         )
         .when(F.col("method") == "js", F.col("js"))
         .otherwise(F.col("w1_norm"))

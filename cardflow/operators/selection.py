@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import timedelta
+from datetime import datetime, timedelta
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
@@ -57,34 +58,33 @@ def _cut_bucket(df: DataFrame, level: Column, wanted: int) -> Row | None:
     )
 
 
-def rows_up_to(
-    df: DataFrame, levels: Sequence[Column], wanted: int
-) -> tuple[Column, object] | None:
-    """Condition that holds for the first ``wanted`` rows in the order of ``levels``.
-
-    With it comes the bucket of the first level in which the cut lies.
+def _find_cut(df: DataFrame, levels: Sequence[Column], wanted: int) -> list | None:
+    """Buckets, one per level, that lead to the ``wanted``-th row in level order.
 
     The position is narrowed level by level, so no level sorts the rows and none
     sends them to one task. ``levels`` must be fine enough to tell all rows apart;
     rows equal in all of them stay together. None when the table is smaller.
     """
     within: Column = F.lit(True)
-    condition: Column | None = None
-    rest = wanted
-    chosen: list[tuple[Column, object]] = []
+    rest, found = wanted, []
     for level in levels:
         cut = _cut_bucket(df.filter(within), level, rest)
         if cut is None:
             return None
-        chosen.append((level, cut["bucket"]))
-        within = within & (level == F.lit(cut["bucket"]))
+        found.append(cut["bucket"])
         if cut["upto"] == rest:
             break
+        within = within & (level == F.lit(cut["bucket"]))
         rest -= cut["upto"] - cut["n"]
-    for level, bucket in reversed(chosen):
-        inner = F.lit(True) if condition is None else condition
-        condition = (level < F.lit(bucket)) | ((level == F.lit(bucket)) & inner)
-    return condition, chosen[0][1]
+    return found
+
+
+def _up_to(levels: Sequence[Column], found: list) -> Column:
+    """Condition for the rows up to and including the buckets of ``_find_cut``."""
+    condition: Column = F.lit(True)
+    for level, bucket in reversed(list(zip(levels, found))):
+        condition = (level < F.lit(bucket)) | ((level == F.lit(bucket)) & condition)
+    return condition
 
 
 def _key_levels(key: Column) -> list[Column]:
@@ -92,26 +92,61 @@ def _key_levels(key: Column) -> list[Column]:
     return [F.substring(key, 1 + 4 * i, 4) for i in range(8)]
 
 
+def _time_cut(
+    df: DataFrame, ts: str, row_id: str, fraction: float
+) -> tuple[Column, datetime] | None:
+    """Condition for the first ``int(n * fraction)`` rows, and the day of the cut."""
+    keys = df.select(
+        F.col(ts).cast("timestamp").alias("_time"), spread_key(F.col(row_id)).alias("_key")
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        wanted = int(keys.count() * fraction)
+        if wanted == 0:
+            return None
+        time = F.col("_time")
+        levels = [
+            F.date_trunc("day", time),
+            F.date_trunc("second", time),
+            time,
+            *_key_levels(F.col("_key")),
+        ]
+        found = _find_cut(keys, levels, wanted)
+    finally:
+        keys.unpersist()
+    time = F.col(ts).cast("timestamp")
+    levels = [
+        F.date_trunc("day", time),
+        F.date_trunc("second", time),
+        time,
+        *_key_levels(spread_key(F.col(row_id))),
+    ]
+    return _up_to(levels, found), found[0]
+
+
+def mark_train(
+    df: DataFrame, ts: str = TS, row_id: str = ID, fraction: float = TRAIN_FRACTION
+) -> DataFrame:
+    """Add ``is_train``: true for the first ``int(n * fraction)`` rows by time."""
+    cut = _time_cut(df, ts, row_id, fraction)
+    return df.withColumn("is_train", cut[0] if cut else F.lit(False))
+
+
 def temporal_split(
-    df: DataFrame,
-    ts: str = TS,
-    row_id: str = ID,
-    fraction: float = TRAIN_FRACTION,
+    df: DataFrame, ts: str = TS, row_id: str = ID, fraction: float = TRAIN_FRACTION
 ) -> tuple[DataFrame, DataFrame]:
     """First ``int(n * fraction)`` rows by time, and the rest.
 
-    Rows of one time follow the spread key of their id. The cut is found by day,
-    second, exact time and key. Both sides are filters on the input that also
-    bound the time column by the day of the cut, which a file scan can use.
+    Rows of one time follow the spread key of their id. Both sides are filters on
+    the input. They also bound the time column by the day of the cut, which lets a
+    file scan skip the other side.
     """
-    time, key = F.col(ts).cast("timestamp"), spread_key(F.col(row_id))
-    wanted = int(df.count() * fraction)
-    if wanted == 0:
+    cut = _time_cut(df, ts, row_id, fraction)
+    if cut is None:
         return df.filter(F.lit(False)), df
-    levels = [F.date_trunc("day", time), F.date_trunc("second", time), time, *_key_levels(key)]
-    train, day = rows_up_to(df, levels, wanted)
-    before_end = time < F.lit(day + timedelta(days=1))
-    return df.filter(before_end & train), df.filter((time >= F.lit(day)) & ~train)
+    train, day = cut
+    kind = df.schema[ts].dataType
+    start, end = F.lit(day).cast(kind), F.lit(day + timedelta(days=1)).cast(kind)
+    return df.filter((F.col(ts) < end) & train), df.filter((F.col(ts) >= start) & ~train)
 
 
 def stratified_snapshot(
@@ -127,18 +162,24 @@ def stratified_snapshot(
     positives and the rest negatives, each limited by its stratum; other labels
     count in the rate but are not drawn. Drawn are the smallest spread keys.
     """
-    totals = df.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(label) == 1).alias("positives")
-    ).first()
-    if totals["rows"] <= size:
-        return df
-    positives = max(1, int(size * (totals["positives"] / totals["rows"])))
-    key = spread_key(F.col(row_id), seed)
-    drawn = F.lit(False)
-    for value, wanted in ((1, positives), (0, size - positives)):
-        stratum = df.filter(F.col(label) == value)
-        part = F.col(label) == value
-        if wanted:
-            cut = rows_up_to(stratum, _key_levels(key), wanted)
-            drawn = drawn | (part & cut[0] if cut else part)
-    return df.filter(drawn)
+    keys = df.select(
+        F.col(label).alias("_label"), spread_key(F.col(row_id), seed).alias("_key")
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    levels = _key_levels(spread_key(F.col(row_id), seed))
+    try:
+        totals = keys.agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_label") == 1).alias("positives")
+        ).first()
+        if totals["rows"] <= size:
+            return df
+        positives = max(1, int(size * (totals["positives"] / totals["rows"])))
+        drawn = F.lit(False)
+        for value, wanted in ((1, positives), (0, size - positives)):
+            part = F.col(label) == value
+            if wanted:
+                stratum = keys.filter(F.col("_label") == value)
+                found = _find_cut(stratum, _key_levels(F.col("_key")), wanted)
+                drawn = drawn | (part & _up_to(levels, found) if found else part)
+        return df.filter(drawn)
+    finally:
+        keys.unpersist()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cardflow.functions.columns import batch_id
 from cardflow.operators.cleaning import clean_transactions
 from cardflow.operators.features import add_features, canonicalize_inference
-from cardflow.schema import LABEL, RAW_COLS, TS, V_COLS
+from cardflow.schema import LABEL, TS, V_COLS
 
 EPOCH = 1704067200  # 2024-01-01 00:00:00 UTC
 HALF = datetime(2024, 1, 16)
@@ -36,9 +36,8 @@ def _null_when(condition: Column, value: Column) -> Column:
     return F.when(~condition, value)
 
 
-def _component(i: int) -> Column:
-    spread = (F.col("event_id") * (7919 + 104729 * i)) % 2000003
-    return spread / F.lit(2000003.0) * F.lit(6.0) - F.lit(3.0)
+def _component(i: int) -> str:
+    return f"((event_id * {7919 + 104729 * i}) % 2000003) / 2000003e0 * 6e0 - 3e0"
 
 
 def tx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,26 +58,23 @@ def tx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     hour = F.when(_every(73), F.lit(None)).when(_every(211), 24).otherwise(F.hour("ts"))
     fraud = ((F.col("event_type") == "error") & _every(10)).cast("int")
     components = {v: _component(i) for i, v in enumerate(V_COLS, start=1)}
-    components["V3"] = F.when(_every(307), F.lit(60.0)).otherwise(components["V3"])
-    components["V7"] = _null_when(_every(103), components["V7"])
-    rows = events.select(
-        "event_id",
+    components["V3"] = f"CASE WHEN event_id % 307 = 0 THEN 60e0 ELSE {components['V3']} END"
+    components["V7"] = f"CASE WHEN event_id % 103 != 0 THEN {components['V7']} END"
+    # Every 53rd row comes twice: the copy a second later and half a unit dearer.
+    copies = F.when(_every(53), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return events.withColumn("copy", F.explode(copies)).select(
         F.concat(F.lit("TX_"), F.col("event_id")).alias("transaction_id"),
         _null_when(_every(97), F.concat(F.lit("USER_"), user)).alias("user_id"),
         F.concat(F.lit("CARD_"), user).alias("card_id"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
-        amount.alias("amount"),
+        F.expr("CAST(ts AS TIMESTAMP) + make_dt_interval(0, 0, 0, copy)").alias("timestamp"),
+        (amount + F.col("copy") * 0.5).alias("amount"),
         _null_when(_every(83), F.concat(F.lit("MER_"), merchant)).alias("merchant_id"),
         _null_when(_every(79), category).alias("merchant_category"),
         _null_when(_every(89), _every(20)).alias("is_international"),
         hour.cast("int").alias("hour_of_day"),
-        *[c.alias(v) for v, c in components.items()],
+        *[F.expr(f"{c} AS {v}") for v, c in components.items()],
         F.when(_every(997), 2).otherwise(fraud).alias(LABEL),
     )
-    copies = rows.filter(_every(53)).withColumns(
-        {TS: F.col(TS) + F.expr("INTERVAL 1 SECOND"), "amount": F.col("amount") + 0.5}
-    )
-    return rows.unionByName(copies).select(*RAW_COLS)
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +92,7 @@ def baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(
         "event_id",
         (F.unix_timestamp("ts") - EPOCH).cast("double").alias("Time"),
-        *[_component(i).alias(v) for i, v in enumerate(V_COLS, start=1)],
+        *[F.expr(f"{_component(i)} AS {v}") for i, v in enumerate(V_COLS, start=1)],
         F.col("value").alias("Amount"),
         fraud.cast("int").alias("Class"),
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import datetime
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from cardflow.schema import (
     TS,
     V_COLS,
 )
-from cardflow.session import shared_dir
+from cardflow.session import configure, shared_dir
 from cardflow.sources import readers, writers
 from cardflow.streaming import streams
 from checks import fixtures as X
@@ -375,12 +376,9 @@ def time_order(spark, sf):
 
 
 def temporal_split(spark, sf):
-    train, test = selection.temporal_split(X.clean(spark, sf))
-    return (
-        train.withColumn("part", F.lit("train"))
-        .unionByName(test.withColumn("part", F.lit("test")))
-        .select(ID, C.iso_second(F.col(TS)).alias(TS), "part")
-    )
+    rows = selection.mark_train(X.clean(spark, sf))
+    part = F.when(F.col("is_train"), "train").otherwise("test")
+    return rows.select(ID, C.iso_second(F.col(TS)).alias(TS), part.alias("part"))
 
 
 def stratified_snapshot(spark, sf):
@@ -753,5 +751,13 @@ ALL = [
 ]
 
 
+def _configured(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(configure(spark), sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in ALL}
+    return {query.__name__: _configured(query) for query in ALL}
