@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardflow.operators.cleaning import present
+from cardflow.operators.joins import join_back
 from cardflow.schema import (
     ID,
     LABEL,
@@ -224,7 +225,7 @@ def tag_failures(df: DataFrame, suite: Sequence[Rule]) -> DataFrame:
             copies = _copies(df, rule.column).withColumnsRenamed(
                 {"_value": f"_value{i}", "_rows": f"_rows{i}"}
             )
-            df = df.join(copies, F.col(rule.column) == F.col(f"_value{i}"), "left")
+            df = join_back(df, copies, {f"_value{i}": F.col(rule.column)})
             names.append(F.when(F.col(f"_rows{i}").isNotNull(), F.lit(rule.name)))
     text = F.concat_ws(",", *names) if names else F.lit("")
     empty = F.array().cast("array<string>")
@@ -243,22 +244,28 @@ def split_by_rules(df: DataFrame, suite: Sequence[Rule]) -> tuple[DataFrame, Dat
     return passed, tagged.filter(F.size("failed_rules") > 0)
 
 
+def only_table_level(results: DataFrame) -> bool:
+    """Whether a suite failed without any row that failed. Only counts reach the driver."""
+    failed, rows = results.agg(
+        F.count_if(~F.col("success")), F.count_if(~F.col("success") & (F.col("unexpected") > 0))
+    ).first()
+    return failed > 0 and rows == 0
+
+
+def broken_rules(results: DataFrame) -> Column:
+    """Names of the rules that failed, as a scalar subquery."""
+    name = F.concat_ws(":", "expectation", "column")
+    return results.filter(~F.col("success")).agg(F.sort_array(F.collect_list(name))).scalar()
+
+
 def route(
     df: DataFrame, suite: Sequence[Rule], results: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows to pass on and rows for the dead letter.
+    """Rows to pass on and rows for the dead letter, given the result of ``run_suite``.
 
     Where only table rules fail, no row can be singled out: the whole batch goes
-    to the dead letter and is passed on as well. ``results`` is the output of
-    ``run_suite``; only its counts come to the driver.
+    to the dead letter and is passed on as well.
     """
-    counts = results.agg(
-        F.count_if(~F.col("success")).alias("failed"),
-        F.count_if(~F.col("success") & (F.col("unexpected") > 0)).alias("failed_rows"),
-    ).first()
-    if counts["failed"] and not counts["failed_rows"]:
-        broken = results.filter(~F.col("success")).agg(
-            F.sort_array(F.collect_list(F.concat_ws(":", "expectation", "column")))
-        )
-        return df, df.withColumn("failed_rules", broken.scalar())
+    if only_table_level(results):
+        return df, df.withColumn("failed_rules", broken_rules(results))
     return split_by_rules(df, suite)

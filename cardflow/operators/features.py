@@ -17,6 +17,7 @@ from cardflow.functions.columns import (
     spread_key,
 )
 from cardflow.operators.cleaning import standardize
+from cardflow.operators.joins import join_back
 from cardflow.schema import (
     CARD,
     FEATURE_TABLE_COLS,
@@ -37,19 +38,20 @@ def key_statistics(df: DataFrame, key: str, column: str) -> DataFrame:
     )
 
 
-def trailing_counts(
-    df: DataFrame, key: str, ts: str = TS, seconds: int = HOUR_SECONDS
-) -> DataFrame:
-    """Rows of a key within ``[t - seconds, t]``, once per key and second ``t``.
-
-    Rows are first counted per key and second. Each second then goes to its own
-    time bucket and to the next one, so a window over one bucket sees all of its
-    range and never more than ``2 * seconds`` rows, however frequent the key is.
-    """
-    second = F.unix_timestamp(ts)
-    counts = df.groupBy(F.col(key).alias("_key"), second.alias("_second")).agg(
+def second_counts(df: DataFrame, key: str, ts: str = TS) -> DataFrame:
+    """Rows per key and second, combined before the shuffle."""
+    return df.groupBy(F.col(key).alias("_key"), F.unix_timestamp(ts).alias("_second")).agg(
         F.count(F.lit(1)).alias("_n")
     )
+
+
+def trailing_counts(counts: DataFrame, seconds: int = HOUR_SECONDS) -> DataFrame:
+    """Rows of a key within ``[t - seconds, t]``, for each of its counted seconds ``t``.
+
+    Each second goes to its own time bucket and to the next one, so a window over
+    one bucket sees all of its range and never more than ``2 * seconds`` rows,
+    however frequent the key is.
+    """
     own = F.floor(F.col("_second") / seconds)
     trailing = (
         Window.partitionBy("_key", "_bucket").orderBy("_second").rangeBetween(-seconds, 0)
@@ -59,7 +61,7 @@ def trailing_counts(
         .withColumn("_bucket", F.explode(F.array(F.col("_own"), F.col("_own") + 1)))
         .withColumn("_trailing", F.sum("_n").over(trailing))
         .filter(F.col("_bucket") == F.col("_own"))
-        .select("_key", "_second", "_trailing")
+        .select("_key", "_second", "_n", "_trailing")
     )
 
 
@@ -69,9 +71,9 @@ def zscore_by(
     """Score of a value among the rows of its key; 0.0 where that has no spread."""
     stats = key_statistics(df, key, column)
     return (
-        df.join(stats, F.col(key).eqNullSafe(F.col("_key")), "left")
+        join_back(df, stats, {"_key": F.col(key)})
         .withColumn(out, centred(F.col(column), F.col("_mean"), F.col("_std")))
-        .drop("_key", "_mean", "_std")
+        .drop("_mean", "_std")
     )
 
 
@@ -83,14 +85,12 @@ def trailing_count(
     out: str = "tx_count_1h",
 ) -> DataFrame:
     """Rows of the same key in the trailing interval, all peers of a second included."""
-    counts = trailing_counts(df, key, ts, seconds)
-    matches = F.col(key).eqNullSafe(F.col("_key")) & (
-        F.unix_timestamp(ts) == F.col("_second")
-    )
+    counts = trailing_counts(second_counts(df, key, ts), seconds).drop("_n")
+    keys = {"_key": F.col(key), "_second": F.unix_timestamp(ts)}
     return (
-        df.join(counts, matches, "left")
+        join_back(df, counts, keys)
         .withColumn(out, F.col("_trailing").cast("int"))
-        .drop("_key", "_second", "_trailing")
+        .drop("_trailing")
     )
 
 
@@ -158,13 +158,11 @@ def add_features(df: DataFrame, history: DataFrame | None = None) -> DataFrame:
         start = df.agg(F.min(TS)).scalar() - F.expr("INTERVAL 1 HOUR")
         recent = recent.unionByName(history.select(*narrow).filter(F.col(TS) >= start))
     per_card = key_statistics(seen, CARD, "amount").withColumnRenamed("_key", "_card")
-    stats = trailing_counts(recent, CARD).join(
-        per_card, F.col("_key").eqNullSafe(F.col("_card")), "left"
-    ).drop("_card")
-    matches = F.col(CARD).eqNullSafe(F.col("_key")) & (F.unix_timestamp(TS) == F.col("_second"))
+    counts = trailing_counts(second_counts(recent, CARD)).drop("_n")
+    stats = join_back(counts, per_card, {"_card": F.col("_key")})
+    keys = {"_key": F.col(CARD), "_second": F.unix_timestamp(TS)}
     return (
-        add_row_features(df)
-        .join(stats, matches, "left")
+        join_back(add_row_features(df), stats, keys)
         .withColumn("amount_zscore", centred(F.col("amount"), F.col("_mean"), F.col("_std")))
         .withColumn("tx_count_1h", F.col("_trailing").cast("int"))
         .select(*FEATURE_TABLE_COLS)

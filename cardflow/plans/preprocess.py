@@ -7,17 +7,19 @@ from pyspark.sql import DataFrame
 from cardflow.operators.cleaning import clean_transactions, dedupe
 from cardflow.operators.expectations import (
     Rule,
+    broken_rules,
     feature_suite,
+    only_table_level,
     processed_suite,
     raw_suite,
-    route,
     run_suite,
     split_by_rules,
+    tag_failures,
 )
 from cardflow.operators.features import add_features
 from cardflow.schema import FEATURE_TABLE_COLS, PROCESSED_COLS
 from cardflow.sources.readers import is_empty_batch
-from cardflow.sources.writers import write_batch, write_dead_letter
+from cardflow.sources.writers import write_checked, write_dead_letter
 
 
 def valid_raw(df: DataFrame, dedupe_first: bool = False) -> DataFrame:
@@ -38,15 +40,25 @@ def valid_features(
 
 
 def _store(df: DataFrame, suite: list[Rule], root: str, stage: str, batch_id: str) -> DataFrame:
-    """Route one stage's rows; the passed rows are written and read back.
+    """Check a stage's rows, write them once, and return those that go on.
 
-    Reading the written stage keeps the next stage from repeating this one.
+    One pass writes passed and failed rows to separate folders. The suite's result
+    and the dead letter are then read from what was written.
     """
-    results = run_suite(df, suite, stage)
-    passed, failed = route(df, suite, results)
+    spark = df.sparkSession
+    tagged = tag_failures(df, suite)
+    path = write_checked(tagged, root, stage, batch_id)
+    # The schema is given, because a batch may have lost all its rows by now.
+    checked = spark.read.schema(f"{tagged.schema.toDDL()}, outcome STRING").parquet(path)
+    document = f"{root}/validation/{stage}/batch_id={batch_id}"
+    run_suite(checked.select(*df.columns), suite, stage).write.mode("overwrite").parquet(document)
+    results = spark.read.parquet(document)
+    if only_table_level(results):
+        failed = checked.drop("outcome").withColumn("failed_rules", broken_rules(results))
+    else:
+        failed = checked.filter("outcome = 'failed'").drop("outcome")
     write_dead_letter(failed, f"{root}/dead-letter", f"{stage}_validation", batch_id)
-    path = write_batch(passed, root, stage, batch_id)
-    return df.sparkSession.read.schema(passed.schema).parquet(path)
+    return checked.filter("outcome = 'passed'").select(*df.columns)
 
 
 def process_batch(

@@ -14,6 +14,8 @@ RECOMMENDED_CONF = {
     # Projections of some 40 columns exceed the size up to which the JVM compiles a
     # method. Such stages then run as compiled split methods, about three times faster.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Passed and failed rows go to two folders without a sort per task.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

@@ -38,8 +38,16 @@ def is_empty_batch(df: DataFrame) -> bool:
     return df.isEmpty()
 
 
-def read_table_jdbc(spark: SparkSession, url: str, table: str, ts: str, bounds: tuple[datetime, datetime], partitions: int, **options: str) -> DataFrame:
-    """Raw transactions over JDBC, read in parallel by time range."""
+def read_table(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    bounds: tuple[datetime, datetime],
+    partitions: int,
+    ts: str = TS,
+    **options: str,
+) -> DataFrame:
+    """A relational table over JDBC, read in parallel by ranges of its time column."""
     return spark.read.jdbc(
         url,
         table,
@@ -56,6 +64,12 @@ def read_batch(spark: SparkSession, path: str, schema: StructType | None = None)
     return reader.parquet(path)
 
 
+def read_stage(spark: SparkSession, root: str, stage: str) -> DataFrame:
+    """Rows of all batches of a stage that passed their checks, with ``batch_id``."""
+    rows = spark.read.parquet(f"{root}/{stage}")
+    return rows.filter("outcome = 'passed'").drop("outcome", "failed_rules")
+
+
 def read_batches(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Rows of several batch paths or globs as one scan."""
     return spark.read.parquet(*paths)

@@ -18,6 +18,18 @@ def write_batch(
     return path
 
 
+def write_checked(tagged: DataFrame, root: str, stage: str, batch_id: str) -> str:
+    """Replace one batch of a stage with checked rows, in one pass.
+
+    ``outcome=passed`` holds the rows that go on, ``outcome=failed`` the others.
+    """
+    path = f"{root}/{stage}/batch_id={batch_id}"
+    outcome = F.when(F.size("failed_rules") > 0, "failed").otherwise("passed")
+    named = tagged.withColumn("outcome", outcome)
+    named.write.mode("overwrite").partitionBy("outcome").parquet(path)
+    return path
+
+
 def write_dead_letter(failed: DataFrame, root: str, step: str, batch_id: str) -> str:
     """Replace the failed rows of a step and batch; ``failed_rules`` holds the reasons."""
     path = f"{root}/step={step}/batch_id={batch_id}"

@@ -5,15 +5,13 @@ The functions take batch DataFrames too where Spark has the same operator for bo
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from cardflow.operators.features import trailing_counts
 from cardflow.plans.preprocess import process_batch
 from cardflow.schema import CARD, HOUR_SECONDS, ID, LABEL, TS
 
@@ -27,7 +25,7 @@ def start_batches(
     every: str | None = "5 minutes",
     dedupe_first: bool = False,
 ) -> StreamingQuery:
-    """Validate, clean and route each micro-batch; without ``every``, all that is there.
+    """Validate, clean and route each micro-batch.
 
     The epoch names the batch folder, so a repeated epoch replaces its own output.
     The stream's checkpoint moves on only after all sinks of an epoch are written.
@@ -36,13 +34,7 @@ def start_batches(
     def run(batch: DataFrame, epoch: int) -> None:
         process_batch(batch, root, f"epoch_{epoch:012d}", dedupe_first=dedupe_first)
 
-    trigger = {"processingTime": every} if every else {"availableNow": True}
-    return (
-        stream.writeStream.foreachBatch(run)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    return _start(stream, run, checkpoint, every)
 
 
 def event_time(df: DataFrame, ts: str = TS, lateness: str = LATENESS) -> DataFrame:
@@ -84,53 +76,6 @@ def sliding_counts(
     )
 
 
-_OUT = T.StructType(
-    [
-        T.StructField("card_id", T.StringType()),
-        T.StructField("second", T.LongType()),
-        T.StructField("row_count", T.LongType()),
-        T.StructField("tx_count_1h", T.LongType()),
-    ]
-)
-_STATE = T.StructType(
-    [
-        T.StructField("seconds", T.ArrayType(T.LongType())),
-        T.StructField("counts", T.ArrayType(T.LongType())),
-    ]
-)
-
-
-def _count_card(
-    key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:
-        state.remove()
-        return
-    new = pd.concat(list(batches)).groupby("second")["row_count"].sum()
-    if state.exists:
-        seconds, counts = state.get
-        kept = pd.Series(list(counts), index=list(seconds), dtype="int64")
-        every = kept.add(new, fill_value=0).astype("int64").sort_index()
-    else:
-        every = new.astype("int64").sort_index()
-    total = every.cumsum()
-    index = every.index.to_numpy()
-    before = index.searchsorted(index - HOUR_SECONDS, side="left")
-    padded = [0, *total.tolist()]
-    trailing = pd.Series(total.to_numpy() - [padded[i] for i in before], index=every.index)
-    recent = every[every.index >= index[-1] - HOUR_SECONDS]
-    state.update((recent.index.tolist(), recent.tolist()))
-    state.setTimeoutTimestamp((int(index[-1]) + HOUR_SECONDS + 1) * 1000)
-    yield pd.DataFrame(
-        {
-            "card_id": key[0],
-            "second": new.index,
-            "row_count": new.to_numpy(),
-            "tx_count_1h": trailing.loc[new.index].to_numpy(),
-        }
-    )
-
-
 def stream_second_counts(stream: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """Rows per card and second, each emitted once the watermark has passed it.
 
@@ -139,24 +84,59 @@ def stream_second_counts(stream: DataFrame, lateness: str = LATENESS) -> DataFra
     return (
         event_time(stream, lateness=lateness)
         .groupBy(F.window(TS, "1 second"), CARD)
-        .agg(F.count(F.lit(1)).alias("row_count"))
+        .agg(F.count(F.lit(1)).alias("_n"))
         .select(
-            CARD,
-            F.col("window.start").alias("closed"),
-            F.unix_timestamp("window.start").alias("second"),
-            "row_count",
+            F.col(CARD).alias("_key"), F.unix_timestamp("window.start").alias("_second"), "_n"
         )
     )
 
 
-def stream_trailing_count(second_counts: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Trailing-hour count per card and second, exact, with one hour of state.
+def start_trailing_counts(
+    stream: DataFrame,
+    root: str,
+    checkpoint: str,
+    every: str | None = "5 minutes",
+    lateness: str = LATENESS,
+) -> StreamingQuery:
+    """Exact trailing-hour count per card and second, written to ``root/trailing``.
 
-    The input is the written output of ``stream_second_counts``, read as a stream:
-    Spark does not chain custom state to an aggregation in one query. A step gets at
-    most one row per second of a card, however busy the card is.
+    An epoch brings the seconds that the watermark has closed, all later than those
+    before. The state is the last hour of counts: a table that each epoch replaces
+    in the slot that the next epoch reads, so a repeated epoch starts from the same
+    state. The count is the batch operator over state and new seconds.
     """
-    timed = event_time(second_counts, "closed", lateness)
-    return timed.groupBy(CARD).applyInPandasWithState(
-        _count_card, _OUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        arrived = f"{root}/arrived/slot={epoch % 2}"
+        batch.write.mode("overwrite").parquet(arrived)
+        new = spark.read.schema(batch.schema).parquet(arrived)
+        known = new
+        if epoch > 0:
+            before = spark.read.schema(batch.schema).parquet(f"{root}/state/slot={(epoch - 1) % 2}")
+            known = before.unionByName(new)
+        first, last = new.agg(F.min("_second")).scalar(), known.agg(F.max("_second")).scalar()
+        trailing_counts(known).filter(F.col("_second") >= first).select(
+            F.col("_key").alias(CARD),
+            F.col("_second").alias("second"),
+            F.col("_n").alias("row_count"),
+            F.col("_trailing").alias("tx_count_1h"),
+        ).write.mode("overwrite").parquet(f"{root}/trailing/epoch={epoch}")
+        known.filter(F.col("_second") >= last - HOUR_SECONDS).write.mode("overwrite").parquet(
+            f"{root}/state/slot={epoch % 2}"
+        )
+
+    return _start(stream_second_counts(stream, lateness), run, checkpoint, every)
+
+
+def _start(
+    stream: DataFrame, run: Callable[[DataFrame, int], None], checkpoint: str, every: str | None
+) -> StreamingQuery:
+    """Run each micro-batch; without ``every``, all that is there, then stop."""
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return (
+        stream.writeStream.foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
     )

@@ -633,16 +633,14 @@ def stream_tumbling(spark, sf):
 
 def stream_trailing_count(spark, sf):
     stream, root = _raw_stream(spark, sf)
-    counts = streams.stream_second_counts(stream)
-    _drain(counts, f"{root}/counts")
-    written = spark.readStream.schema(counts.schema).parquet(f"{root}/counts/out")
-    return _drain(streams.stream_trailing_count(written), f"{root}/trailing")
+    streams.start_trailing_counts(stream, root, f"{root}/checkpoint", every=None).awaitTermination()
+    return spark.read.parquet(f"{root}/trailing").drop("epoch")
 
 
 def stream_batches(spark, sf):
     stream, root = _raw_stream(spark, sf)
     streams.start_batches(stream, root, f"{root}/checkpoint", every=None).awaitTermination()
-    rows = spark.read.parquet(f"{root}/features")
+    rows = readers.read_stage(spark, root, "features")
     return _rounded(
         rows.select(ID, CARD, "amount", "amount_normalized", "amount_zscore", "tx_count_1h", LABEL),
         "amount_normalized",
