@@ -95,9 +95,8 @@ def apply_scaler(
 ) -> DataFrame:
     """Scale with fitted statistics, read as a scalar subquery of one row."""
     fitted = stats.select(F.struct("amount_mean", "amount_std")).scalar()
-    return df.withColumn(
-        out, (F.col(column) - fitted["amount_mean"]) / fitted["amount_std"]
-    )
+    value = (F.col(column) - F.col("_fitted.amount_mean")) / F.col("_fitted.amount_std")
+    return df.withColumn("_fitted", fitted).withColumn(out, value).drop("_fitted")
 
 
 def standardize(
@@ -109,7 +108,8 @@ def standardize(
             F.avg(column).alias("mean"), F.stddev_samp(column).alias("std")
         ).alias("stats")
     ).scalar()
-    return df.withColumn(out, centred(F.col(column), stats["mean"], stats["std"]))
+    value = centred(F.col(column), F.col("_stats.mean"), F.col("_stats.std"))
+    return df.withColumn("_stats", stats).withColumn(out, value).drop("_stats")
 
 
 def clean_rows(df: DataFrame) -> DataFrame:

@@ -68,10 +68,13 @@ def test_hot_card_is_split_by_the_skew_join(spark, plan_of):
             20000, 20000,
         )
         copies = rows.withColumn(ID, F.when(F.col(CARD) == "hot", "same").otherwise(F.col(ID)))
-        tagged = expectations.tag_failures(copies, [expectations.unique(ID)])
+        tagged = expectations.tag_failures(copies, [expectations.unique(ID)], broadcast_rows=0)
         assert "skew=true" in plan_of(tagged, run=True)
         assert "skew=true" in plan_of(features.zscore_by(rows), run=True)
         assert tagged.filter(F.size("failed_rules") > 0).count() == 20000
+        few = expectations.tag_failures(copies, [expectations.unique(ID)])
+        assert "BroadcastHashJoin" in plan_of(few) and "SortMergeJoin" not in plan_of(few)
+        assert few.filter(F.size("failed_rules") > 0).count() == 20000
     finally:
         for key, value in saved.items():
             spark.conf.set(key, value)
