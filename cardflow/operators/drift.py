@@ -33,11 +33,23 @@ def shared_columns(
 
 
 def _long(df: DataFrame, columns: Sequence[str], is_ref: int) -> DataFrame:
-    doubles = df.select(*[F.expr(f"CAST(`{c}` AS DOUBLE) AS `{c}`") for c in columns])
+    """Present values with the position of their column: short keys to hash and sort."""
+    doubles = df.select(*[F.expr(f"CAST(`{c}` AS DOUBLE) AS `{i}`") for i, c in enumerate(columns)])
     return (
-        doubles.unpivot([], list(columns), "feature", "value")
+        doubles.unpivot([], doubles.columns, "code", "value")
         .filter("value IS NOT NULL AND NOT isnan(value)")
-        .withColumn("is_ref", F.lit(is_ref))
+        .select(F.col("code").cast("int").alias("code"), "value", F.lit(is_ref).alias("is_ref"))
+    )
+
+
+def _name(columns: Sequence[str]) -> Column:
+    return F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("code") + 1).alias("feature")
+
+
+def _value_counts(reference: DataFrame, current: DataFrame, names: Sequence[str]) -> DataFrame:
+    sides = _long(reference, names, 1).unionByName(_long(current, names, 0))
+    return sides.groupBy("code", "value").agg(
+        F.sum("is_ref").alias("n_ref"), F.sum(1 - F.col("is_ref")).alias("n_cur")
     )
 
 
@@ -50,16 +62,14 @@ def align(
     Missing values are left out.
     """
     names = shared_columns(reference, current, columns)
-    sides = _long(reference, names, 1).unionByName(_long(current, names, 0))
-    return sides.groupBy("feature", "value").agg(
-        F.sum("is_ref").alias("n_ref"), F.sum(1 - F.col("is_ref")).alias("n_cur")
-    )
+    counts = _value_counts(reference, current, names)
+    return counts.select(_name(names), "value", "n_ref", "n_cur")
 
 
 def value_distribution(counts: DataFrame) -> DataFrame:
     """Counts with running and whole totals per side, and the next larger value."""
     weighted = counts.withColumn("v_ref", F.col("n_ref") * F.col("value"))
-    return running_totals(weighted, "feature", "value", ["n_ref", "n_cur", "v_ref"])
+    return running_totals(weighted, "code", "value", ["n_ref", "n_cur", "v_ref"])
 
 
 def _js_terms(p: Column, q: Column) -> Column:
@@ -90,7 +100,7 @@ def column_statistics(
     tenth of the reference that ends below it, which needs no separate quantiles.
     """
     names = shared_columns(reference, current, columns)
-    values = value_distribution(align(reference, current, names))
+    values = value_distribution(_value_counts(reference, current, names))
     share_ref = F.col("upto_n_ref") / F.col("total_n_ref").cast("double")
     share_cur = F.col("upto_n_cur") / F.col("total_n_cur").cast("double")
     gap = F.abs(share_ref - share_cur)
@@ -107,7 +117,7 @@ def column_statistics(
     per_bin = (
         values.filter((F.col("total_n_ref") > 0) & (F.col("total_n_cur") > 0))
         .withColumn("bin", bin_of_value)
-        .groupBy("feature", "total_n_ref", "total_n_cur", "bin")
+        .groupBy("code", "total_n_ref", "total_n_cur", "bin")
         .agg(
             F.count(F.lit(1)).alias("n_values"),
             F.max(gap).alias("ks"),
@@ -123,7 +133,7 @@ def column_statistics(
     )
     bin_ref = F.greatest(p, F.lit(EMPTY_BIN_SHARE))
     bin_cur = F.greatest(q, F.lit(EMPTY_BIN_SHARE))
-    stats = per_bin.groupBy("feature", "total_n_ref", "total_n_cur").agg(
+    stats = per_bin.groupBy("code", "total_n_ref", "total_n_cur").agg(
         F.sum("n_values").alias("n_values"),
         F.max("ks").alias("ks"),
         F.sum("w1").alias("w1"),
@@ -139,7 +149,8 @@ def column_statistics(
     return (
         stats.withColumn("w1_norm", F.col("w1") / F.greatest(F.col("std_ref"), F.lit(MIN_STD)))
         .withColumn("js", F.when(few, F.col("js_values")).otherwise(F.col("js_bins")))
-        .drop("js_values", "js_bins")
+        .withColumn("feature", _name(names))
+        .drop("code", "js_values", "js_bins")
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 
 from cardflow.operators.cleaning import clean_transactions, dedupe
@@ -17,9 +19,14 @@ from cardflow.operators.expectations import (
     tag_failures,
 )
 from cardflow.operators.features import add_features
-from cardflow.schema import FEATURE_TABLE_COLS, PROCESSED_COLS
-from cardflow.sources.readers import is_empty_batch
-from cardflow.sources.writers import write_checked, write_dead_letter
+from cardflow.schema import FEATURE_TABLE_COLS, PROCESSED_COLS, RAW_COLS
+from cardflow.sources.readers import (
+    BATCH_FORMAT,
+    incremental_scan,
+    is_empty_batch,
+    read_watermark,
+)
+from cardflow.sources.writers import commit_watermark, write_checked, write_dead_letter
 
 
 def valid_raw(df: DataFrame, dedupe_first: bool = False) -> DataFrame:
@@ -79,3 +86,19 @@ def process_batch(
     processed = _store(cleaned, processed_suite(PROCESSED_COLS), root, "processed", batch_id)
     features = add_features(processed, history)
     return _store(features, feature_suite(FEATURE_TABLE_COLS), root, "features", batch_id)
+
+
+def run_increment(
+    table: DataFrame, root: str, batch_end: datetime, history: DataFrame | None = None
+) -> DataFrame | None:
+    """Process what has arrived since the last run, up to ``batch_end``.
+
+    The watermark moves after all sinks are written, and also for an empty batch. A
+    run that fails before that is repeated over the same rows.
+    """
+    spark, state = table.sparkSession, f"{root}/watermark"
+    last = read_watermark(spark, state)
+    raw = incremental_scan(table, batch_end, last, columns=RAW_COLS)
+    rows = process_batch(raw, root, batch_end.strftime(BATCH_FORMAT), history)
+    commit_watermark(spark, state, batch_end)
+    return rows

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardflow.operators.assemble import imbalance_weight
-from cardflow.operators.metrics import f1_binary
+from cardflow.operators.metrics import classification_report, f1_binary, promotion_decision
+from cardflow.operators.selection import temporal_split
 from cardflow.schema import LABEL, MODEL_COLS
 
 TRIALS = 15
@@ -110,3 +111,19 @@ def search(
     finally:
         train.unpersist()
         test.unpersist()
+
+
+def train_candidate(
+    dataset: DataFrame,
+    production_f1: DataFrame | None = None,
+    settings: Sequence[TreeParams] | None = None,
+) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """Search on the earlier rows and judge the winner on the later ones.
+
+    Returns the model, its classification report and the one-row promotion decision.
+    """
+    train, test = temporal_split(dataset)
+    model, _, _ = search(train, test, settings=settings)
+    scored = score(test, model)
+    decision = promotion_decision(f1_binary(scored), production_f1)
+    return model, classification_report(scored), decision

@@ -22,16 +22,20 @@ def incremental_scan(
     last: datetime | None = None,
     ts: str = TS,
     minutes: int = 5,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows with ``last < ts <= batch_end``; ``last`` defaults to one interval earlier.
 
+    ``columns`` names what to read, such as ``RAW_COLS``; None reads all.
+
     The bounds take the column's own type, so the comparison reaches the file or
     JDBC scan without a cast around the column.
     """
     last = last or batch_end - timedelta(minutes=minutes)
     kind = df.schema[ts].dataType
     low, high = F.lit(last).cast(kind), F.lit(batch_end).cast(kind)
-    return df.filter((F.col(ts) > low) & (F.col(ts) <= high))
+    rows = df.filter((F.col(ts) > low) & (F.col(ts) <= high))
+    return rows if columns is None else rows.select(*columns)
 
 
 def is_empty_batch(df: DataFrame) -> bool:
