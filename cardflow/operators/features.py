@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardflow.functions.columns import (
@@ -30,6 +30,9 @@ from cardflow.schema import (
     V_COLS,
 )
 
+# Rows of one time that a single task ranks.
+TIE_ROWS = 1_000_000
+
 
 def key_statistics(df: DataFrame, key: str, column: str) -> DataFrame:
     """Mean and sample deviation per key, combined before the shuffle."""
@@ -45,26 +48,53 @@ def second_counts(df: DataFrame, key: str, ts: str = TS) -> DataFrame:
     )
 
 
-def trailing_counts(counts: DataFrame, seconds: int = HOUR_SECONDS) -> DataFrame:
-    """Rows of a key within ``[t - seconds, t]``, for each of its counted seconds ``t``.
+def _trailing_sums(
+    counts: DataFrame, keys: Sequence[str], at: str, seconds: int = HOUR_SECONDS
+) -> DataFrame:
+    """Add ``_trailing``: the sum of ``_n`` within ``[t - seconds, t]`` for each ``t`` in ``at``.
 
-    Each second goes to its own time bucket and to the next one, so a window over
-    one bucket sees all of its range and never more than ``2 * seconds`` rows,
-    however frequent the key is.
+    ``(keys, at)`` must be unique. A count enters at ``t`` and leaves after
+    ``t + seconds``, so the sum is a running total of entries and exits: a sliding
+    frame would add its whole range up again for each row. Each count goes to its own
+    time bucket and, with its exit, to the next one. A window over one bucket has at
+    most three rows per time in it and the one before, however frequent a key is.
     """
-    own = F.floor(F.col("_second") / seconds)
-    trailing = (
-        Window.partitionBy("_key", "_bucket").orderBy("_second").rangeBetween(-seconds, 0)
+    own = F.floor(F.col(at) / seconds)
+
+    def entry(bucket: Column, when: Column, kind: int, delta: Column) -> Column:
+        return F.struct(
+            bucket.alias("_bucket"),
+            when.alias("_when"),
+            F.lit(kind).alias("_kind"),
+            delta.alias("_delta"),
+        )
+
+    carried, entered, left = 0, 1, 2
+    n, time = F.col("_n"), F.col(at)
+    events = F.array(
+        entry(own, time, entered, n),
+        entry(own + 1, time, carried, n),
+        entry(own + 1, time + seconds, left, -n),
+    )
+    # At the same time entries come before exits: the bound t - seconds is inside.
+    running = (
+        Window.partitionBy(*keys, "_bucket")
+        .orderBy("_when", "_kind")
+        .rowsBetween(Window.unboundedPreceding, 0)
     )
     return (
-        counts.withColumn("_own", own)
-        .withColumn("_bucket", F.explode(F.array(F.col("_own"), F.col("_own") + 1)))
-        .withColumn("_trailing", F.sum("_n").over(trailing))
-        .filter(F.col("_bucket") == F.col("_own"))
-        .select("_key", "_second", "_n", "_trailing")
+        counts.select("*", F.inline(events))
+        .withColumn("_trailing", F.sum("_delta").over(running))
+        .filter(F.col("_kind") == entered)
+        .drop("_bucket", "_when", "_kind", "_delta")
     )
 
 
+def trailing_counts(counts: DataFrame, seconds: int = HOUR_SECONDS) -> DataFrame:
+    """Rows of a key within ``[t - seconds, t]``, for each of its counted seconds ``t``."""
+    return _trailing_sums(counts, ["_key"], "_second", seconds)
+
+
 def zscore_by(
     df: DataFrame, key: str = CARD, column: str = "amount", out: str = "amount_zscore"
 ) -> DataFrame:
@@ -95,42 +125,45 @@ def trailing_count(
 
 
 def trailing_count_global(
-    df: DataFrame, elapsed: str, row_id: str, seconds: int = HOUR_SECONDS, out: str = "tx_count_1h"
+    df: DataFrame,
+    elapsed: str,
+    row_id: str,
+    seconds: int = HOUR_SECONDS,
+    out: str = "tx_count_1h",
+    tie_rows: int = TIE_ROWS,
 ) -> DataFrame:
     """Rows within ``[t - seconds, t]`` up to the own position in time order.
 
     Rows of one time are ordered by the first digits of the id's spread key, then
-    by id. A cell is one time and one prefix: a time with a third of all rows is
-    ranked as 65,536 cells. ``row_id`` must be unique.
+    by id, which must be unique. Where a time has more than ``tie_rows`` rows (one
+    grouped count finds out), it is ranked as 65,536 cells, one per prefix.
     """
-    cell_key = F.substring(spread_key(F.col(row_id)), 1, 4)
-    ranked = df.withColumn("_t", F.col(elapsed)).withColumn("_cell", cell_key)
-    cells = ranked.groupBy("_t", "_cell").agg(F.count(F.lit(1)).alias("_n"))
-    before = (
-        Window.partitionBy("_t").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = cells.select(
-        "_t", "_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
-    )
-
-    times = cells.groupBy("_t").agg(F.sum("_n").alias("_n"))
-    trailing = Window.partitionBy("_bucket").orderBy("_t").rangeBetween(-seconds, 0)
-    earlier = (
-        times.withColumn("_own", F.floor(F.col("_t") / seconds))
-        .withColumn("_bucket", F.explode(F.array(F.col("_own"), F.col("_own") + 1)))
-        .withColumn("_earlier", F.sum("_n").over(trailing) - F.col("_n"))
-        .filter(F.col("_bucket") == F.col("_own"))
-        .select("_t", "_earlier")
-    )
-    base = offsets.join(earlier, "_t").select(
-        "_t", "_cell", (F.col("_offset") + F.col("_earlier")).alias("_base")
+    prefix = F.substring(spread_key(F.col(row_id)), 1, 4)
+    ranked = df.withColumn("_t", F.col(elapsed)).withColumn("_cell", prefix)
+    times = ranked.groupBy("_t").agg(F.count(F.lit(1)).alias("_n"))
+    base = _trailing_sums(times, [], "_t", seconds).select(
+        "_t", (F.col("_trailing") - F.col("_n")).alias("_base")
     )
-    position = F.row_number().over(Window.partitionBy("_t", "_cell").orderBy(row_id))
+    together = ["_t"]
+    if (times.agg(F.max("_n")).first()[0] or 0) > tie_rows:
+        together = ["_t", "_cell"]
+        before = (
+            Window.partitionBy("_t").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+        )
+        offsets = (
+            ranked.groupBy("_t", "_cell")
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        )
+        base = offsets.join(base, "_t").select(
+            "_t", "_cell", (F.col("_offset") + F.col("_base")).alias("_base")
+        )
+    position = F.row_number().over(Window.partitionBy(*together).orderBy("_cell", row_id))
     return (
         ranked.withColumn("_position", position)
-        .join(base, ["_t", "_cell"])
+        .join(base, together)
         .withColumn(out, (F.col("_base") + F.col("_position")).cast("int"))
-        .drop("_t", "_cell", "_position", "_base")
+        .select(*df.columns, out)
     )
 
 

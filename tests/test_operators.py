@@ -70,8 +70,8 @@ def test_trailing_count_equals_brute_force(spark, seed):
         assert got[i] == want
 
 
-@pytest.mark.parametrize("seed", [3, 4])
-def test_global_trailing_count_equals_brute_force(spark, seed):
+@pytest.mark.parametrize("seed, tie_rows", [(3, 10**6), (4, 20)])
+def test_global_trailing_count_equals_brute_force(spark, seed, tie_rows):
     draw = random.Random(seed)
     data = [(i, float(4000 if i % 3 == 0 else draw.randint(0, 20000))) for i in range(900)]
     df = spark.createDataFrame(data, "id long, t double")
@@ -79,7 +79,7 @@ def test_global_trailing_count_equals_brute_force(spark, seed):
     order = sorted((r["t"], r["k"], r["id"]) for r in keyed)
     times = [t for t, _, _ in order]
     want = {i: p - bisect_left(times, t - 3600) + 1 for p, (t, _, i) in enumerate(order)}
-    got = features.trailing_count_global(df, "t", "id").collect()
+    got = features.trailing_count_global(df, "t", "id", tie_rows=tie_rows).collect()
     assert {r["id"]: r["tx_count_1h"] for r in got} == want
 
 
