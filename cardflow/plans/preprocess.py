@@ -40,7 +40,10 @@ def valid_raw(df: DataFrame, dedupe_first: bool = False) -> DataFrame:
 def valid_features(
     raw: DataFrame, history: DataFrame | None = None, dedupe_first: bool = False
 ) -> DataFrame:
-    """Raw rows to valid feature rows as one lazy plan."""
+    """Raw rows to valid feature rows without storing the stages in between.
+
+    Only the ids with copies are looked up at once, per suite that asks for them.
+    """
     cleaned = clean_transactions(valid_raw(raw, dedupe_first))
     processed = split_by_rules(cleaned, processed_suite(PROCESSED_COLS))[0]
     return split_by_rules(add_features(processed, history), feature_suite(FEATURE_TABLE_COLS))[0]

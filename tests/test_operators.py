@@ -134,7 +134,8 @@ def test_rules_on_missing_values_and_copies(spark):
     assert results["between"]["unexpected"] == 1
     assert results["in_set"]["unexpected"] == 1
     assert results["stdev"]["success"] and not results["exists"]["success"]
-    tagged = {(r["id"], r["x"] == 1.0): r["failed_rules"] for r in expectations.tag_failures(df, rules).collect()}
+    rows = expectations.tag_failures(df, rules).collect()
+    tagged = {(r["id"], r["x"] == 1.0): r["failed_rules"] for r in rows}
     assert tagged[("a", True)] == ["unique:id"]
     assert tagged[("a", False)] == ["unique:id", "between:x"]
     passed, failed = expectations.split_by_rules(df, rules)

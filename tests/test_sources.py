@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardflow.plans import dataset, preprocess, training
-from cardflow.schema import BASELINE_SCHEMA, ID, LABEL, TS, V_COLS
+from cardflow.schema import BASELINE_SCHEMA, LABEL, V_COLS
 from cardflow.sources import readers, writers
 from checks import fixtures as X
 
