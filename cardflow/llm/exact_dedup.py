@@ -35,6 +35,8 @@ STATE_CONF = {
     # All stores of an executor share this much memory; the rest of the state is on disk.
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    # No disk reserved ahead, which would be several megabytes for each partition.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     # A micro-batch writes what it changed, not its whole stores.
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
