@@ -6,11 +6,12 @@ k is the smallest pi(sigma(shingle) + k), that is pi shifted in a circle by k. W
 bands of 4 coordinates a pair of similarity 0.75 is missed with probability 5e-6.
 
 1. Documents with equal sets are one class; only the smallest id of a class goes on.
-2. The smallest id in a bucket is its pivot. A document is compared with the pivot that it
-   meets most often. Equal components are merged.
-3. In buckets that still hold several components, all pairs of documents of different
-   components are compared, and no others. So a group of near copies costs a comparison
-   for each copy, not for each pair, and no candidate is left out.
+2. The smallest id in a bucket is its pivot. Every document is compared with its pivots, and
+   components are merged.
+3. In buckets that still hold several components, pairs of documents of different components
+   are compared, but for those that the sizes of their sets or their distances to the pivot
+   rule out (Jaccard distance is a metric). So a group of near copies costs a comparison for
+   each copy, not for each pair, and no possible link is left out.
 
 Comparisons are on full sets of 64-bit shingle hashes: 100 * shared >= 75 * union. Nothing
 is collected but two yes/no answers for each round.
@@ -160,21 +161,26 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return arrow_map(docs, ["doc_id", "text"], batches, "hashes binary")
 
 
-def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (low, high) whose whole sets are similar enough."""
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """low, high, distance (1 - similarity of the whole sets), linked of pairs (low, high)."""
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["low", "high", "distance", "linked"]
         for batch in source:
-            keep = []
+            distance, link = [], []
             for one, other in zip(*(batch.column(k).to_pylist() for k in (2, 3)), strict=True):
                 a, b = np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64)
                 shared = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * shared >= PERCENT * (len(a) + len(b) - shared))
-            yield batch.select(["low", "high"]).filter(pa.array(keep, pa.bool_()))
+                union = len(a) + len(b) - shared
+                distance.append(1 - shared / union)
+                link.append(100 * shared >= PERCENT * union)
+            columns = [batch.column(0), batch.column(1), pa.array(distance, pa.float64()), pa.array(link, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     low, high = (sets.select(F.col("doc_id").alias(x), F.col("hashes").alias(f"of_{x}")) for x in ("low", "high"))
     both = pairs.select("low", "high").join(low, "low").join(high, "high").select("low", "high", "of_low", "of_high")
-    return both.mapInArrow(batches, pairs.select("low", "high").schema)
+    kind = both.schema["low"].dataType.simpleString()
+    return both.mapInArrow(batches, f"low {kind}, high {kind}, distance double, linked boolean")
 
 
 def _flat(parents: DataFrame) -> DataFrame:
@@ -212,6 +218,7 @@ def _combined(roots: DataFrame, later: DataFrame) -> DataFrame:
 
 
 def _ends_at_roots(edges: DataFrame, flat: DataFrame) -> DataFrame:
+    edges = edges.select("low", "high")
     for end in ("low", "high"):
         over = flat.select(F.col("node").alias(end), F.col("root").alias("above"))
         edges = edges.join(over, end, "left").withColumn(end, F.coalesce("above", end)).drop("above")
@@ -219,22 +226,36 @@ def _ends_at_roots(edges: DataFrame, flat: DataFrame) -> DataFrame:
     return edges.filter("low <> high").select(ends[0].alias("low"), ends[1].alias("high"))
 
 
-def _second_round(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """All pairs of a bucket whose documents are in different components."""
-    of_root = roots.select(F.col("node").alias("doc_id"), "root")
-    rows = members.join(of_root, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-    mixed = rows.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a < b").select("key")
-    rows = stored(rows.join(stored(mixed, "mixed-buckets"), "key"), "mixed-members")
-    trees = rows.select("key", "root").distinct()
-    meet = trees.select("key", F.col("root").alias("root")).join(
-        trees.select("key", F.col("root").alias("other")), "key"
-    )
-    meet = stored(meet.filter("root < other"), "meeting-trees")
-    ours = meet.join(rows.select("key", "root", F.col("doc_id").alias("a"), F.col("n_shingles").alias("n")), ["key", "root"])
-    theirs = rows.select("key", F.col("root").alias("other"), F.col("doc_id").alias("b"), F.col("n_shingles").alias("m"))
-    near = F.least("n", "m") * 100 >= F.greatest("n", "m") * PERCENT
-    pairs = ours.join(theirs, ["key", "other"]).filter(near)
-    return pairs.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).distinct()
+def _with_root(rows: DataFrame, roots: DataFrame, node: str, name: str) -> DataFrame:
+    over = roots.select(F.col("node").alias(node), F.col("root").alias(name))
+    return rows.join(over, node, "left").withColumn(name, F.coalesce(name, node))
+
+
+def _second_round(members: DataFrame, met: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs that may be linked across components: in one bucket, with different roots.
+
+    One of the two is then outside the component of the bucket's pivot. Jaccard distance is
+    a metric, so documents whose distances to the pivot differ by more than a link allows
+    can't be linked; nor can sets of too different sizes. A pair that meets in several
+    buckets is taken in the first.
+    """
+    apart = met.select(F.col("low").alias("pivot"), F.col("high").alias("doc_id"), "distance")
+    rows = members.join(apart, ["pivot", "doc_id"], "left").na.fill(0.0, ["distance"])
+    rows = _with_root(_with_root(rows, roots, "doc_id", "root"), roots, "pivot", "core")
+    rows = stored(rows, "rooted-members")
+    mixed = stored(rows.filter("root <> core").select("key").distinct(), "mixed-buckets")
+    rows = stored(rows.join(mixed, "key", "left_semi"), "mixed-members")
+    # At most one key for each band.
+    keys = stored(rows.groupBy("doc_id").agg(F.array_sort(F.collect_set("key")).alias("keys")), "mixed-keys")
+    rows = stored(rows.join(keys, "doc_id"), "mixed-members")
+    columns = ["doc_id", "root", "core", "n_shingles", "distance", "keys"]
+    one, other = (rows.select("key", *[F.col(c).alias(f"{c}_{x}") for c in columns]) for x in "ab")
+    fits = (F.col("root_b") == F.col("core_b")) | (F.col("root_a") < F.col("root_b"))
+    fits &= 100 * F.least("n_shingles_a", "n_shingles_b") >= PERCENT * F.greatest("n_shingles_a", "n_shingles_b")
+    fits &= F.abs(F.col("distance_a") - F.col("distance_b")) <= 1 - PERCENT / 100 + 1e-9
+    fits &= F.get(F.array_intersect("keys_a", "keys_b"), F.lit(0)) == one["key"]
+    pairs = one.filter("root_a <> core_a").join(other, (one["key"] == other["key"]) & fits)
+    return pairs.select(F.least("doc_id_a", "doc_id_b").alias("low"), F.greatest("doc_id_a", "doc_id_b").alias("high"))
 
 
 def label(docs: DataFrame) -> DataFrame:
@@ -252,12 +273,11 @@ def label(docs: DataFrame) -> DataFrame:
     members = stored(keyed.join(buckets, "key"), "members")
     sets = stored(shingle_sets(docs.join(members.select("doc_id").distinct(), "doc_id", "left_semi")), "sets")
 
-    met = members.filter("pivot < doc_id").groupBy("doc_id", "pivot").agg(F.count(F.lit(1)).alias("n"))
-    most = met.groupBy("doc_id").agg(F.max(F.struct("n", "pivot")).alias("most"))
-    pairs = stored(most.select(F.col("most.pivot").alias("low"), F.col("doc_id").alias("high")), "pairs")
-    roots = components(linked(pairs, sets))
-    pairs = stored(_second_round(members, roots), "pairs")
-    roots = _combined(roots, components(_ends_at_roots(linked(pairs, sets), roots)))
+    pairs = members.filter("pivot < doc_id").select(F.col("pivot").alias("low"), F.col("doc_id").alias("high"))
+    met = stored(compared(stored(pairs.distinct(), "pairs"), sets), "met")
+    roots = components(met.filter("linked"))
+    later = compared(stored(_second_round(members, met, roots), "pairs"), sets).filter("linked")
+    roots = _combined(roots, components(_ends_at_roots(later, roots)))
 
     at = classes.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     at = stored(at.select("set_digest", F.coalesce("root", "doc_id").alias("component_id")), "class-components")
