@@ -21,15 +21,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardflow.llm.common import arrow_map
 
 BUCKETS = 1 << 16
 LENGTHS = (1, 2, 3, 4)
-# Bounds of the sample: rows of one language, and languages.
-SAMPLE_ROWS = 800
+# Bounds of the sample: rows, shared evenly by the languages, and the most common languages.
+SAMPLE_ROWS = 4000
 SAMPLE_LANGUAGES = 200
 EPOCHS = 3
 ALPHA, BETA = 0.5, 1.0
@@ -199,34 +199,38 @@ def fit(docs: DataFrame, usable: Column) -> Model:
     known = known.select("doc_id", "text", "lang")
     total, df = document_frequencies(known)
     idf = np.log((1 + total) / (1 + df)) + 1
-    # A language's own order, so that a rare one has as many rows as it can.
-    seed = F.xxhash64("doc_id", F.lit(4)).alias("seed")
     common = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(SAMPLE_LANGUAGES).collect()
     languages = sorted(r["lang"] for r in common)
     if not languages:
         return Model([], idf, np.empty(0, np.int64), np.zeros((1, 0)), 1.0)
-    rows = []
-    # Shares that give about twice the bound; the smallest seeds of these are taken.
-    for n, r in enumerate(sorted(common, key=lambda r: r["lang"])):
-        of = known.filter(F.col("lang") == r["lang"]).select("doc_id", seed, "text")
-        share = min(1.0, 2 * SAMPLE_ROWS / r["count"])
-        bound = int(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1
-        counted = _counted(of.filter(F.col("seed") <= F.lit(bound)))
-        for row in counted.orderBy("seed", "doc_id").limit(SAMPLE_ROWS).collect():
-            rows.append((row.seed, n, np.frombuffer(row.buckets, "<i4").astype(np.int64), np.frombuffer(row.counts, "<i4")))
-    rows.sort(key=lambda r: r[:2])
-    return train([(b, c, n) for _, n, b, c in rows], languages, idf)
+    most = SAMPLE_ROWS // len(languages)
+    # For each language a share by seed that gives about twice the rows wanted; of these the
+    # first by seed.
+    chosen = F.lit(False)
+    for r in common:
+        share = min(1.0, (2 * most + 20) / r["count"])
+        chosen |= (F.col("lang") == r["lang"]) & (F.col("seed") <= F.lit(min(2**63 - 1, int(share * 2**64) - 2**63)))
+    drawn = known.withColumn("seed", F.xxhash64("doc_id", F.lit(4))).filter(chosen)
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("seed", "doc_id")) <= most
+    found = _counted(drawn.withColumn("first", first).filter("first")).collect()
+    found.sort(key=lambda r: (r.seed, r.lang, r.buckets))
+    rows = [
+        (np.frombuffer(r.buckets, "<i4").astype(np.int64), np.frombuffer(r.counts, "<i4"), languages.index(r.lang))
+        for r in found
+    ]
+    return train(rows, languages, idf)
 
 
 def _counted(rows: DataFrame) -> DataFrame:
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            found = [gram_counts(t) for t in batch.column(2).to_pylist()]
-            columns = [batch.column(0), batch.column(1)]
+            found = [gram_counts(t) for t in batch.column("text").to_pylist()]
+            columns = [batch.column("doc_id"), batch.column("seed"), batch.column("lang")]
             columns += [pa.array([f[k].astype("<i4").tobytes() for f in found], pa.binary()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "seed", "buckets", "counts"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "seed", "lang", "buckets", "counts"])
 
-    return arrow_map(rows, ["doc_id", "seed", "text"], batches, "seed long, buckets binary, counts binary")
+    outputs = "seed long, lang string, buckets binary, counts binary"
+    return arrow_map(rows, ["doc_id", "seed", "lang", "text"], batches, outputs)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

@@ -1,7 +1,7 @@
 """Quality rules: fixed checks of a text, and a log-likelihood ratio of hashed n-grams.
 
 The ratio compares two multinomials over buckets of hashed words and word pairs: one of
-trusted text (labelled good), one of all documents. A document's ratio is the sum over its
+trusted text (a bounded sample of documents labelled good), one of all documents. A document's ratio is the sum over its
 n-grams of log(trusted share / raw share) divided by their number. Documents below a
 threshold go. The threshold is a quantile of the ratios of the trusted documents, so it is
 the same in every run and nearly all text like the trusted one stays.
@@ -30,6 +30,8 @@ LEAST_WORDS = 20
 MOST_REPEATED_PERCENT = 30
 
 BUCKETS = 1 << 16
+# Bound of the sample of trusted documents, the first by a hash of their ids.
+TRUSTED_ROWS = 20_000
 # Share of the trusted documents that may fall below the threshold.
 TRUSTED_LOSS = 0.002
 
@@ -38,31 +40,47 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
 
 
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once, also where ``body`` has lambdas of its own."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def windows_of(words: Column) -> Column:
+    """Hashes of all runs of eight words, in order; null for texts with fewer than nine words."""
+    last = F.size(words) - WINDOW
+    window = lambda hashes: lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(WINDOW)])
+    found = _bound(
+        F.transform(words, lambda w: F.xxhash64(w)),
+        lambda hashes: F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), window(hashes)),
+    )
+    return F.when(last >= 1, found)
+
+
+def repeated_words(windows: Column) -> Column:
+    """Number of words covered by windows that occur twice or more."""
+    placed = F.sort_array(F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
+    beside = lambda rows, i: F.get(rows, i)["w"]
+    again = lambda rows: F.transform(
+        rows,
+        lambda x, i: F.when(x["w"].eqNullSafe(beside(rows, i - 1)) | x["w"].eqNullSafe(beside(rows, i + 1)), x["i"]),
+    )
+    starts = F.sort_array(F.filter(_bound(placed, again), lambda i: i.isNotNull()))
+    # Of the words in repeated windows each window adds those that the next doesn't have.
+    added = lambda at: F.transform(
+        at, lambda p, k: F.least(F.lit(WINDOW), F.coalesce(F.get(at, k + 1) - p, F.lit(WINDOW)))
+    )
+    covered = F.aggregate(_bound(starts, added), F.lit(0).cast("long"), lambda a, b: a + b)
+    # Sorting is only for texts that have a window twice.
+    twice = F.size(F.array_distinct(windows)) < F.size(windows)
+    return F.coalesce(F.when(twice, covered), F.lit(0)).cast("long")
+
+
 def base_columns(docs: DataFrame) -> DataFrame:
     """doc_id, words, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
     text = F.coalesce("text", F.lit("")).alias("text")
     rows = docs.select("doc_id", text, words_of(F.col("text")).alias("words"))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    rows = rows.withColumns({"lines": lines, "hashes": F.transform("words", lambda w: F.xxhash64(w))})
-    last = F.size("hashes") - WINDOW
-    window = lambda i: F.xxhash64(*[F.get("hashes", i + k) for k in range(WINDOW)])
-    windows = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), window)
-    rows = rows.withColumn("windows", F.when(last >= 1, windows))
-    # Sorting is only for texts that have a window twice.
-    twice = F.size(F.array_distinct("windows")) < F.size("windows")
-    placed = F.transform("windows", lambda w, i: F.struct(w.alias("w"), i.alias("i")))
-    rows = rows.withColumn("ordered", F.when(twice, F.sort_array(placed)))
-    beside = lambda i: F.get("ordered", i)["w"]
-    again = F.transform(
-        "ordered",
-        lambda x, i: F.when(x["w"].eqNullSafe(beside(i - 1)) | x["w"].eqNullSafe(beside(i + 1)), x["i"]),
-    )
-    rows = rows.withColumn("starts", F.sort_array(F.filter(again, lambda i: i.isNotNull())))
-    # Of the words in repeated windows each window adds those that the next doesn't have.
-    added = F.transform(
-        "starts", lambda p, k: F.least(F.lit(WINDOW), F.coalesce(F.get("starts", k + 1) - p, F.lit(WINDOW)))
-    )
-    covered = F.aggregate(added, F.lit(0).cast("long"), lambda a, b: a + b)
+    rows = rows.withColumns({"lines": lines, "windows": windows_of(F.col("words"))})
     return rows.select(
         "doc_id",
         "words",
@@ -70,16 +88,16 @@ def base_columns(docs: DataFrame) -> DataFrame:
         F.length(F.translate("text", " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
+        repeated_words(F.col("windows")).alias("n_repeat_words"),
     )
 
 
 def grams(words: Column) -> Column:
     """Buckets of the words and of the pairs of neighbours, in lower case."""
     bucket = lambda *parts: F.pmod(F.xxhash64(*parts), F.lit(BUCKETS)).cast("int")
-    low = F.transform(words, F.lower)
-    pairs = F.transform(F.slice(low, F.lit(2), F.greatest(F.size(low) - 1, F.lit(0))), lambda w, i: bucket(F.get(low, i), w))
-    return F.concat(F.transform(low, lambda w: bucket(w)), pairs)
+    rest = lambda low: F.slice(low, F.lit(2), F.greatest(F.size(low) - 1, F.lit(0)))
+    pairs = lambda low: F.transform(rest(low), lambda w, i: bucket(F.get(low, i), w))
+    return _bound(F.transform(words, F.lower), lambda low: F.concat(F.transform(low, lambda w: bucket(w)), pairs(low)))
 
 
 def ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -88,7 +106,10 @@ def ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     The row is as large as the number of buckets, whatever the size of the tables.
     """
     marked = docs.select("doc_id", words_of(F.col("text")).alias("words"))
-    marked = marked.join(trusted.select("doc_id", F.lit(1).alias("good")), "doc_id", "left")
+    seed = F.xxhash64("doc_id", F.lit(8))
+    sample = trusted.orderBy(seed, "doc_id").limit(TRUSTED_ROWS).select("doc_id", F.lit(1).alias("good"))
+    # Broadcast: the limit bounds it. Texts aren't shuffled.
+    marked = marked.join(F.broadcast(sample), "doc_id", "left")
     counted = (
         marked.select(F.coalesce("good", F.lit(0)).alias("good"), F.explode(grams(F.col("words"))).alias("bucket"))
         .groupBy("bucket")

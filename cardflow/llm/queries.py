@@ -8,17 +8,54 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardflow.llm import exact_dedup, mixing, near_dedup, quality_zstd, sentencepiece_bpe
+from cardflow.llm import (
+    exact_dedup,
+    language_id,
+    mixing,
+    near_dedup,
+    quality_rules,
+    quality_zstd,
+    secret_scan,
+    sentencepiece_bpe,
+    token_counts,
+    url_filter,
+)
 from cardflow.llm.common import remainder, table
 
 SENTENCEPIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
+TIKTOKEN_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+# Pages that put their key on the list: of spam hosts, or with less html than this.
+THIN_HTML = 1000
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digests(secret_scan.scan_documents(table(spark, sf_dir, "documents")))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return sentencepiece_bpe.encode_documents(docs, SENTENCEPIECE_MODEL, digests=True)
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document before and after three edits that follow from itself."""
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.count_edits(docs, token_counts.own_edits(), TIKTOKEN_RANKS, public_tokenizers.PATTERN)
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.fit(docs, remainder("doc_id", 4) != 2))
+    return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spam = url_filter.host_of(F.col("url")).rlike(r"(^|\.)spam")
+    return url_filter.judge(table(spark, sf_dir, "pages"), spam | (F.length("html") < THIN_HTML))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mix(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "source_size", "target", "taken")
@@ -28,6 +65,11 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.label(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return quality_rules.judge(docs, labels)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.resolve(table(spark, sf_dir, "documents"))
     digest = F.lower(F.hex("digest")).alias("text_sha256")
@@ -51,9 +93,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     return {
         "pipeline": corpus_pipeline.run,
+        "op1_secret_scan": op1_secret_scan,
         "op2_sentencepiece": op2_sentencepiece,
+        "op3_token_counts": op3_token_counts,
+        "op4_language_id": op4_language_id,
+        "op5_url_filter": op5_url_filter,
         "op6_mixing": op6_mixing,
         "op7_near_dedup": op7_near_dedup,
+        "op8_quality_rules": op8_quality_rules,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_quality_classifier": op10_quality_classifier,
     }

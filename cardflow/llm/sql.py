@@ -1,6 +1,32 @@
 """DuckDB SQL of the queries that plain SQL can express, over the registered views."""
 
 SQL = {
+    "op5_url_filter": """
+        WITH p AS (
+            SELECT page_id, html,
+                   translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
+            FROM pages
+        ), l AS (
+            SELECT *, bool_or(coalesce(regexp_matches(host, '(^|\\.)spam') OR length(html) < 1000, false))
+                      OVER (PARTITION BY host || path) AS listed
+            FROM p
+        ), r AS (
+            SELECT *, CASE
+                WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/en/1%' THEN 'example.org/en/1'
+                WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/es/%' THEN 'example.org/es/'
+                WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/fr/%' THEN 'com/fr/'
+                WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/de/%' THEN 'com/de/'
+                WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/%' THEN 'org/'
+                END AS rule
+            FROM l
+        )
+        SELECT page_id, host, path, rule, listed,
+               CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow'
+                    WHEN rule IS NOT NULL OR listed THEN 'block' ELSE 'allow' END AS verdict
+        FROM r
+    """,
     "op9_exact_dedup": """
         WITH n AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

@@ -4,8 +4,8 @@ A cascade gives exact membership in a list without a join. The first filter hold
 listed keys; the second the keys of the universe that pass the first without being listed;
 the third the listed keys that pass the second; and so on, until a filter lets nothing
 through that it shouldn't. A key's answer is told by the first filter that doesn't hold it.
-Exact for every key of the universe that the cascade was built over, here all hosts of the
-table.
+Exact for every key of the universe that the cascade was built over, here the hosts with
+paths of all pages.
 
 Keys are split into shards by a hash, as many as keep a shard's filters small, and every
 shard has its own cascade, built inside one group of keys. The cascades are read as one
@@ -13,8 +13,8 @@ table. Up to ``BROADCAST_BYTES`` it goes to every task; beyond that, the rows of
 the cascade of their shard, and rows of one shard are spread over many tasks.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path, fits no rule and
-is judged by its (empty) host like any other key. Repeated rows are judged alike. An empty
-list blocks nothing. Labels for hosts that no page has do no harm.
+is judged by its (empty) key like any other. Repeated rows are judged alike. An empty list
+blocks nothing.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ RULES = (
 )
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-SHARD_KEYS = 1 << 18
+SHARD_KEYS = 512
 BROADCAST_BYTES = 8 << 20
 # Bits for a key: about 2 % false positives in the first filter, 50 % in later ones.
 FIRST_BITS, LATER_BITS = 8, 2
@@ -134,31 +134,28 @@ def unpack(data: bytes) -> list[Bloom]:
     return levels
 
 
-def cascades(universe: DataFrame, listed: Column) -> DataFrame:
-    """shard, n_shards, filters from the distinct keys (column ``key``) of a table.
+def cascades(universe: DataFrame) -> DataFrame:
+    """shard, n_shards, filters from the distinct keys of a table (key, listed).
 
     Two keys of one 64-bit hash, one listed and one not, can't be told apart by any filter;
     building fails then, rather than answer wrongly.
     """
-    keys = universe.select(F.xxhash64("key").alias("hash"), listed.alias("listed")).distinct()
-    keys = stored(keys, "filter-keys")
+    keys = stored(universe.select(F.xxhash64("key").alias("hash"), "listed").distinct(), "filter-keys")
     shards = max(1, -(-keys.count() // SHARD_KEYS))
 
-    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
-        hashes = table["hash"].to_numpy().view(np.uint64)
-        is_listed = table["listed"].to_numpy(zero_copy_only=False)
+    def filters_of(shard: pa.Table) -> pa.Table:
+        hashes = shard["hash"].to_numpy().view(np.uint64)
+        is_listed = shard["listed"].to_numpy(zero_copy_only=False)
         if len(np.unique(hashes)) != len(hashes):
             raise RuntimeError("a listed key and another have the same hash")
-        filters = pack(build(hashes[is_listed], hashes[~is_listed]))
-        yield pa.RecordBatch.from_arrays(
-            [table["shard"].combine_chunks()[:1], pa.array([shards], pa.int64()), pa.array([filters], pa.binary())],
-            ["shard", "n_shards", "filters"],
-        )
+        packed = pack(build(hashes[is_listed], hashes[~is_listed]))
+        return pa.table({"shard": shard["shard"][:1], "n_shards": pa.array([shards], pa.int64()), "filters": pa.array([packed], pa.binary())})
 
-    # A group has at most about SHARD_KEYS distinct hashes: hash values are even.
+    # Spark reads the types themselves, and annotations of this module are strings.
+    filters_of.__annotations__ = {"shard": pa.Table, "return": pa.Table}
+    # A group has about SHARD_KEYS distinct hashes: hash values are even.
     by_shard = keys.withColumn("shard", F.pmod("hash", F.lit(shards))).groupBy("shard")
-    return stored(by_shard.applyInArrow(groups, "shard long, n_shards long, filters binary"), "cascades")
+    return stored(by_shard.applyInArrow(filters_of, "shard long, n_shards long, filters binary"), "cascades")
 
 
 def listed_among(rows: DataFrame, key: str, table: DataFrame, name: str) -> DataFrame:
@@ -207,16 +204,18 @@ def _probe_each():
     return F.arrow_udf(test, "boolean")
 
 
-def judge(pages: DataFrame, listed_hosts: Column, rules: tuple = RULES) -> DataFrame:
+def judge(pages: DataFrame, flagged: Column, rules: tuple = RULES) -> DataFrame:
     """page_id, host, path, rule, listed, verdict of every page.
 
-    ``listed_hosts`` says of a host (column ``key``) whether it is on the list; it is asked
-    once for each distinct host, when the cascades are built. A page that no rule fits is
-    blocked if its host is listed.
+    A key (host and path) is listed if ``flagged`` holds for one of its pages; that is found
+    once for each distinct key, when the cascades are built. A page that no rule fits is
+    blocked if its key is listed.
     """
-    parsed = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    table = cascades(parsed.select(F.col("host").alias("key")).distinct(), listed_hosts)
-    rows = listed_among(parsed, "host", table, "listed")
+    url = F.col("url")
+    parsed = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), F.coalesce(flagged, F.lit(False)).alias("flag"))
+    parsed = parsed.withColumn("key", F.concat("host", "path"))
+    table = cascades(parsed.groupBy("key").agg(F.max("flag").alias("listed")))
+    rows = listed_among(parsed.drop("flag"), "key", table, "listed")
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     other = F.when(F.col("listed"), F.lit("block")).otherwise(F.lit("allow"))
     return rows.select("page_id", "host", "path", rule.alias("rule"), "listed", F.coalesce(verdict, other).alias("verdict"))
