@@ -99,6 +99,7 @@ def mix(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
     (counted from 0) up to ``last``, or where ``around``, those before ``last`` and those
     from ``first`` on.
     """
+    carried = tuple(c for c in carried if c != "doc_id")
     sized = docs.select("doc_id", "source", *carried, size_of("text").alias("size"))
     sized = stored(sized, "sizes")
     everyone = Window.partitionBy(F.lit(1))

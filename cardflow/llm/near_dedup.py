@@ -9,9 +9,9 @@ bands of 4 coordinates a pair of similarity 0.75 is missed with probability 5e-6
 2. The smallest id in a bucket is its pivot. Every document is compared with its pivots, and
    components are merged.
 3. In buckets that still hold several components, pairs of documents of different components
-   are compared, but for those that the sizes of their sets or their distances to the pivot
-   rule out (Jaccard distance is a metric). So a group of near copies costs a comparison for
-   each copy, not for each pair, and no possible link is left out.
+   are compared, but for those that the sizes of their sets, their distances to the pivot
+   (Jaccard distance is a metric) or longer signatures rule out. So a group of near copies
+   costs a comparison for each copy, not for each pair.
 
 Comparisons are on full sets of 64-bit shingle hashes: 100 * shared >= 75 * union. Nothing
 is collected but two yes/no answers for each round.
@@ -42,9 +42,13 @@ PERCENT = 75
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
-# Bytes hashed at a time, and shingles whose coordinates are made at a time.
+# Bytes hashed at a time, and coordinates of shingles made at a time.
 SEGMENT = 1 << 20
-COLUMNS = 512
+CELLS = 1 << 16
+# Longer signatures of one bit a coordinate. Those of two sets of similarity 0.75 differ in
+# 128 bits on average, and in more than 180 with a probability of about 1e-6.
+LONG_BITS = 1024
+MOST_DIFFERENT = 180
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -108,8 +112,9 @@ def signature(hashes: np.ndarray, size: int) -> np.ndarray:
     start = (hashes.astype(np.uint32) * np.uint32(0x9E3779B1)) ^ np.uint32(0x5BD1E995)
     shift = np.arange(size, dtype=np.uint32)[:, None]
     least = np.full(size, 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(start), COLUMNS):
-        x = start[None, at : at + COLUMNS] + shift
+    columns = max(1, CELLS // size)
+    for at in range(0, len(start), columns):
+        x = start[None, at : at + columns] + shift
         # pi: a bijection again, the same for all coordinates.
         x ^= x >> np.uint32(16)
         x *= np.uint32(0x85EBCA6B)
@@ -149,16 +154,23 @@ def sketches(docs: DataFrame) -> DataFrame:
     return arrow_map(docs, ["doc_id", "text"], batches, "n_shingles long, set_digest binary, bands array<long>")
 
 
+def long_signature(hashes: np.ndarray) -> list[int]:
+    """The lowest bits of ``LONG_BITS`` coordinates, in 64-bit numbers."""
+    return np.packbits((signature(hashes, LONG_BITS) & 1).astype(bool)).view(np.int64).tolist()
+
+
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """doc_id and the whole set as sorted 64-bit hashes in binary."""
+    """doc_id, the whole set as sorted 64-bit hashes in binary, and its long signature."""
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for batch in source:
-            sets = [shingles(hasher(t)).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["doc_id", "hashes"])
+            sets = [shingles(hasher(t)) for t in batch.column(1).to_pylist()]
+            bits = pa.array([long_signature(s) for s in sets], pa.list_(pa.int64()))
+            hashes = pa.array([s.tobytes() for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), hashes, bits], ["doc_id", "hashes", "bits"])
 
-    return arrow_map(docs, ["doc_id", "text"], batches, "hashes binary")
+    return arrow_map(docs, ["doc_id", "text"], batches, "hashes binary, bits array<long>")
 
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -231,13 +243,14 @@ def _with_root(rows: DataFrame, roots: DataFrame, node: str, name: str) -> DataF
     return rows.join(over, node, "left").withColumn(name, F.coalesce(name, node))
 
 
-def _second_round(members: DataFrame, met: DataFrame, roots: DataFrame) -> DataFrame:
+def _second_round(members: DataFrame, met: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs that may be linked across components: in one bucket, with different roots.
 
     One of the two is then outside the component of the bucket's pivot. Jaccard distance is
     a metric, so documents whose distances to the pivot differ by more than a link allows
-    can't be linked; nor can sets of too different sizes. A pair that meets in several
-    buckets is taken in the first.
+    can't be linked; nor can sets of too different sizes. Pairs whose long signatures differ
+    too much are refused like pairs that share no band, with as small a chance to err. A pair
+    that meets in several buckets is taken in the first.
     """
     apart = met.select(F.col("low").alias("pivot"), F.col("high").alias("doc_id"), "distance")
     rows = members.join(apart, ["pivot", "doc_id"], "left").na.fill(0.0, ["distance"])
@@ -247,12 +260,15 @@ def _second_round(members: DataFrame, met: DataFrame, roots: DataFrame) -> DataF
     rows = stored(rows.join(mixed, "key", "left_semi"), "mixed-members")
     # At most one key for each band.
     keys = stored(rows.groupBy("doc_id").agg(F.array_sort(F.collect_set("key")).alias("keys")), "mixed-keys")
-    rows = stored(rows.join(keys, "doc_id"), "mixed-members")
-    columns = ["doc_id", "root", "core", "n_shingles", "distance", "keys"]
+    rows = rows.join(keys, "doc_id").join(sets.select("doc_id", "bits"), "doc_id")
+    rows = stored(rows, "mixed-members")
+    columns = ["doc_id", "root", "core", "n_shingles", "distance", "keys", "bits"]
     one, other = (rows.select("key", *[F.col(c).alias(f"{c}_{x}") for c in columns]) for x in "ab")
     fits = (F.col("root_b") == F.col("core_b")) | (F.col("root_a") < F.col("root_b"))
     fits &= 100 * F.least("n_shingles_a", "n_shingles_b") >= PERCENT * F.greatest("n_shingles_a", "n_shingles_b")
     fits &= F.abs(F.col("distance_a") - F.col("distance_b")) <= 1 - PERCENT / 100 + 1e-9
+    bits = [(F.get("bits_a", F.lit(k)), F.get("bits_b", F.lit(k))) for k in range(LONG_BITS // 64)]
+    fits &= sum((F.bit_count(a.bitwiseXOR(b)) for a, b in bits), F.lit(0)) <= MOST_DIFFERENT
     fits &= F.get(F.array_intersect("keys_a", "keys_b"), F.lit(0)) == one["key"]
     pairs = one.filter("root_a <> core_a").join(other, (one["key"] == other["key"]) & fits)
     return pairs.select(F.least("doc_id_a", "doc_id_b").alias("low"), F.greatest("doc_id_a", "doc_id_b").alias("high"))
@@ -276,7 +292,7 @@ def label(docs: DataFrame) -> DataFrame:
     pairs = members.filter("pivot < doc_id").select(F.col("pivot").alias("low"), F.col("doc_id").alias("high"))
     met = stored(compared(stored(pairs.distinct(), "pairs"), sets), "met")
     roots = components(met.filter("linked"))
-    later = compared(stored(_second_round(members, met, roots), "pairs"), sets).filter("linked")
+    later = compared(stored(_second_round(members, met, roots, sets), "pairs"), sets).filter("linked")
     roots = _combined(roots, components(_ends_at_roots(later, roots)))
 
     at = classes.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
