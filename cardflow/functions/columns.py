@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from cardflow.schema import HIGH_AMOUNT, HOUR_SECONDS, NIGHT_HOURS
 
 
+def moment(time: datetime, kind: str | DataType = "timestamp") -> Column:
+    """A time without a zone as a literal of the session's zone, not of the driver's."""
+    return F.lit(time.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(kind)
+
+
 def is_night_hour(hour: Column) -> Column:
     return F.coalesce(hour.isin(*NIGHT_HOURS).cast("int"), F.lit(0))
 

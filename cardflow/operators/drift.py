@@ -22,7 +22,6 @@ from cardflow.schema import (
 BINS = 10
 EMPTY_BIN_SHARE = 1e-4
 FEW_VALUES = 5
-SMALL_REFERENCE_ROWS = 1000
 MIN_STD = 0.001
 
 
@@ -251,43 +250,49 @@ def two_proportion_z(
 def prediction_drift(
     reference: DataFrame,
     current: DataFrame,
-    threshold: float = DRIFT_P_THRESHOLD,
-    small: int = SMALL_REFERENCE_ROWS,
+    threshold: float | None = None,
+    method: str = "test",
 ) -> DataFrame:
     """Share of predicted frauds now against the share of labels in the reference.
 
-    A reference of at most ``small`` rows is tested by p-value, a larger one by
-    the distance of the two distributions.
+    ``method`` "test": drifted if the p-value is below ``threshold`` (0.05).
+    "distance": if the Jensen-Shannon distance is ``threshold`` (0.1) or more.
     """
     result = two_proportion_z(reference, current, LABEL, "predicted_fraud")
-    drifted = F.when(F.col("n_ref") <= small, F.col("p_value") < threshold).otherwise(
-        F.col("js") >= DRIFT_DISTANCE_THRESHOLD
-    )
+    limit = _limit(method, threshold)
+    drifted = F.col("p_value") < limit if method == "test" else F.col("js") >= limit
     return result.withColumn("drifted", drifted)
 
 
+def _limit(method: str, threshold: float | None) -> float:
+    limits = {"test": DRIFT_P_THRESHOLD, "distance": DRIFT_DISTANCE_THRESHOLD}
+    if method not in limits:
+        raise ValueError(f"method is one of {sorted(limits)}, not {method!r}")
+    return limits[method] if threshold is None else threshold
+
+
 def column_drift(
     reference: DataFrame,
     current: DataFrame,
     columns: Sequence[str] = MODEL_COLS,
-    threshold: float = DRIFT_P_THRESHOLD,
-    small: int = SMALL_REFERENCE_ROWS,
+    threshold: float | None = None,
+    method: str = "test",
 ) -> DataFrame:
-    """Method, score and verdict per shared feature.
+    """Method, score and verdict per shared feature, by one rule for all sizes.
 
-    References of at most ``small`` rows: KS test, or chi-square for few values,
-    or a proportion test for two, drifted below ``threshold``. Larger ones:
-    normalised Wasserstein distance, or Jensen-Shannon for few values, drifted
-    from 0.1 on.
+    ``method`` "test": KS test, or chi-square for few values, or a proportion test
+    for two, drifted below ``threshold`` (0.05). "distance": normalised Wasserstein
+    distance, or Jensen-Shannon for few values, drifted from ``threshold`` (0.1) on.
     """
+    limit = _limit(method, threshold)
     stats = column_statistics(reference, current, columns)
     few, two = F.col("n_values") <= FEW_VALUES, F.col("n_values") <= 2
     z = _pooled_z(F.col("share_ref"), F.col("share_cur"), F.col("total_n_ref"), F.col("total_n_cur"))
-    is_small = F.col("total_n_ref") <= small
-    method = (
-        F.when(is_small & two, "z")
-        .when(is_small & few, "chi2")
-        .when(is_small, "ks")
+    is_test = F.lit(method == "test")
+    kind = (
+        F.when(is_test & two, "z")
+        .when(is_test & few, "chi2")
+        .when(is_test, "ks")
         .when(few, "js")
         .otherwise("wasserstein")
     )
@@ -301,11 +306,9 @@ def column_drift(
         .when(F.col("method") == "js", F.col("js"))
         .otherwise(F.col("w1_norm"))
     )
-    verdict = F.when(is_small, F.col("score") < threshold).otherwise(
-        F.col("score") >= DRIFT_DISTANCE_THRESHOLD
-    )
+    verdict = F.col("score") < limit if method == "test" else F.col("score") >= limit
     return (
-        stats.withColumn("method", method)
+        stats.withColumn("method", kind)
         .withColumn("score", score)
         .withColumn("drifted", verdict)
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardflow.operators.cleaning import present
-from cardflow.operators.joins import BROADCAST_ROWS, join_back_rare
+from cardflow.operators.joins import join_back
 from cardflow.schema import (
     ID,
     LABEL,
@@ -208,14 +208,12 @@ def summarize_suite(results: DataFrame) -> DataFrame:
     )
 
 
-def tag_failures(
-    df: DataFrame, suite: Sequence[Rule], broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def tag_failures(df: DataFrame, suite: Sequence[Rule]) -> DataFrame:
     """Add ``failed_rules``: the names of all row rules and uniqueness rules a row fails.
 
     The names are gathered with ``concat_ws``, which skips nulls inside generated
-    code. Values with copies are found by a grouped count, which runs at once. Where
-    they are few, as they should be, the rows are marked without a shuffle.
+    code. Values with copies are found by a grouped count; where they take few bytes,
+    as they should, Spark sends them to the rows instead of shuffling the rows.
     """
     columns = df.columns
     names = []
@@ -228,7 +226,7 @@ def tag_failures(
             copies = _copies(df, rule.column).withColumnsRenamed(
                 {"_value": f"_value{i}", "_rows": f"_rows{i}"}
             )
-            df = join_back_rare(df, copies, {f"_value{i}": F.col(rule.column)}, broadcast_rows)
+            df = join_back(df, copies, {f"_value{i}": F.col(rule.column)})
             names.append(F.when(F.col(f"_rows{i}").isNotNull(), F.lit(rule.name)))
     text = F.concat_ws(",", *names) if names else F.lit("")
     empty = F.array().cast("array<string>")

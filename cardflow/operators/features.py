@@ -30,10 +30,6 @@ from cardflow.schema import (
     V_COLS,
 )
 
-# Rows of one time that a single task ranks.
-TIE_ROWS = 1_000_000
-
-
 def key_statistics(df: DataFrame, key: str, column: str) -> DataFrame:
     """Mean and sample deviation per key, combined before the shuffle."""
     return df.groupBy(F.col(key).alias("_key")).agg(
@@ -130,38 +126,30 @@ def trailing_count_global(
     row_id: str,
     seconds: int = HOUR_SECONDS,
     out: str = "tx_count_1h",
-    tie_rows: int = TIE_ROWS,
 ) -> DataFrame:
     """Rows within ``[t - seconds, t]`` up to the own position in time order.
 
     Rows of one time are ordered by the first digits of the id's spread key, then
-    by id, which must be unique. Where a time has more than ``tie_rows`` rows (one
-    grouped count finds out), it is ranked as 65,536 cells, one per prefix.
+    by id, which must be unique. A time is ranked as up to 65,536 cells, one per
+    prefix, and offsets are added from cell totals. A row without a time stays and
+    has no count.
     """
-    prefix = F.substring(spread_key(F.col(row_id)), 1, 4)
+    prefix = F.coalesce(F.substring(spread_key(F.col(row_id)), 1, 4), F.lit(""))
     ranked = df.withColumn("_t", F.col(elapsed)).withColumn("_cell", prefix)
-    times = ranked.groupBy("_t").agg(F.count(F.lit(1)).alias("_n"))
+    cells = ranked.filter("_t is not null").groupBy("_t", "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    times = cells.groupBy("_t").agg(F.sum("_n").alias("_n"))
     base = _trailing_sums(times, [], "_t", seconds).select(
         "_t", (F.col("_trailing") - F.col("_n")).alias("_base")
     )
-    together = ["_t"]
-    if (times.agg(F.max("_n")).first()[0] or 0) > tie_rows:
-        together = ["_t", "_cell"]
-        before = (
-            Window.partitionBy("_t").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-        )
-        offsets = (
-            ranked.groupBy("_t", "_cell")
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        )
-        base = offsets.join(base, "_t").select(
-            "_t", "_cell", (F.col("_offset") + F.col("_base")).alias("_base")
-        )
-    position = F.row_number().over(Window.partitionBy(*together).orderBy("_cell", row_id))
+    before = Window.partitionBy("_t").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cells.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    base = offsets.join(base, "_t").select(
+        "_t", "_cell", (F.col("_offset") + F.col("_base")).alias("_base")
+    )
+    position = F.row_number().over(Window.partitionBy("_t", "_cell").orderBy("_cell", row_id))
     return (
         ranked.withColumn("_position", position)
-        .join(base, together)
+        .join(base, ["_t", "_cell"], "left")
         .withColumn(out, (F.col("_base") + F.col("_position")).cast("int"))
         .select(*df.columns, out)
     )

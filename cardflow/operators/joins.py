@@ -7,11 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardflow.session import checkpoint
-
-# Up to this many rows of a few narrow columns a side is sent to every executor.
-BROADCAST_ROWS = 200_000
-
 
 def join_back(df: DataFrame, stats: DataFrame, keys: dict[str, Column]) -> DataFrame:
     """Left join of rows to one row per key; ``keys`` maps columns of ``stats`` to keys.
@@ -23,15 +18,3 @@ def join_back(df: DataFrame, stats: DataFrame, keys: dict[str, Column]) -> DataF
     """
     matches = [key.eqNullSafe(stats[name]) for name, key in keys.items()]
     return df.join(stats, reduce(lambda a, b: a & b, matches), "left").drop(*keys)
-
-
-def join_back_rare(
-    df: DataFrame, stats: DataFrame, keys: dict[str, Column], limit: int = BROADCAST_ROWS
-) -> DataFrame:
-    """``join_back`` for statistics that few keys have.
-
-    They are computed once and counted. Up to ``limit`` rows are broadcast, which
-    leaves the wide rows where they are. Beyond it the rows are shuffled.
-    """
-    stored = checkpoint(stats)
-    return join_back(df, F.broadcast(stored) if stored.count() <= limit else stored, keys)

@@ -21,8 +21,8 @@ from cardflow.schema import (
 
 
 def order_by_time(df: DataFrame) -> DataFrame:
-    """Sort by ``Time`` where the table has it, else by ``timestamp``."""
-    return df.orderBy("Time" if "Time" in df.columns else TS)
+    """Sort by ``Time`` where the table has it, else by ``timestamp``; then by id if there is one."""
+    return df.orderBy("Time" if "Time" in df.columns else TS, *[c for c in (ID,) if c in df.columns])
 
 
 def pick_by_priority(
@@ -92,12 +92,34 @@ def _key_levels(key: Column) -> list[Column]:
     return [F.substring(key, 1 + 4 * i, 4) for i in range(8)]
 
 
+# Rows without a time come after all others.
+NO_TIME = "9000-01-01 00:00:00"
+
+
+def _time_or_last(ts: str) -> Column:
+    return F.coalesce(F.col(ts).cast("timestamp"), F.lit(NO_TIME).cast("timestamp"))
+
+
+def _row_key(row_id: str, seed: int | None = None) -> Column:
+    """Spread key of an id; rows without an id share the first key."""
+    return F.coalesce(spread_key(F.col(row_id), seed), F.lit("0" * 32))
+
+
+def _content_key(df: DataFrame) -> Column:
+    """Sixteen hex digits of a row's content, which order rows of one id or none."""
+    return F.lpad(F.hex(F.xxhash64(*df.columns)), 16, "0")
+
+
+def _content_levels(key: Column) -> list[Column]:
+    return [F.substring(key, 1 + 4 * i, 4) for i in range(4)]
+
+
 def _time_cut(
     df: DataFrame, ts: str, row_id: str, fraction: float
 ) -> tuple[Column, datetime] | None:
     """Condition for the first ``int(n * fraction)`` rows, and the day of the cut."""
     keys = df.select(
-        F.col(ts).cast("timestamp").alias("_time"), spread_key(F.col(row_id)).alias("_key")
+        _time_or_last(ts).alias("_time"), _row_key(row_id).alias("_key"), _content_key(df).alias("_content")
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         wanted = int(keys.count() * fraction)
@@ -109,16 +131,18 @@ def _time_cut(
             F.date_trunc("second", time),
             time,
             *_key_levels(F.col("_key")),
+            *_content_levels(F.col("_content")),
         ]
         found = _find_cut(keys, levels, wanted)
     finally:
         keys.unpersist()
-    time = F.col(ts).cast("timestamp")
+    time = _time_or_last(ts)
     levels = [
         F.date_trunc("day", time),
         F.date_trunc("second", time),
         time,
-        *_key_levels(spread_key(F.col(row_id))),
+        *_key_levels(_row_key(row_id)),
+        *_content_levels(_content_key(df)),
     ]
     return _up_to(levels, found), found[0]
 
@@ -136,7 +160,9 @@ def temporal_split(
 ) -> tuple[DataFrame, DataFrame]:
     """First ``int(n * fraction)`` rows by time, and the rest.
 
-    Rows of one time follow the spread key of their id. Both sides are filters on
+    Rows of one time follow the spread key of their id, then their content; rows
+    without an id come first among them, rows without a time after all others. Only
+    rows equal in every column stay together. Both sides are filters on
     the input. They also bound the time column by the day of the cut, which lets a
     file scan skip the other side.
     """
@@ -146,7 +172,11 @@ def temporal_split(
     train, day = cut
     kind = df.schema[ts].dataType
     start, end = F.lit(day).cast(kind), F.lit(day + timedelta(days=1)).cast(kind)
-    return df.filter((F.col(ts) < end) & train), df.filter((F.col(ts) >= start) & ~train)
+    unknown = F.col(ts).isNull()
+    return (
+        df.filter(((F.col(ts) < end) | unknown) & train),
+        df.filter(((F.col(ts) >= start) | unknown) & ~train),
+    )
 
 
 def stratified_snapshot(
@@ -160,12 +190,13 @@ def stratified_snapshot(
 
     The whole table where it is not larger. Otherwise ``max(1, int(size * rate))``
     positives and the rest negatives, each limited by its stratum; other labels
-    count in the rate but are not drawn. Drawn are the smallest spread keys.
+    count in the rate but are not drawn. Drawn are the smallest spread keys; rows of
+    one id, or without one, follow their content.
     """
     keys = df.select(
-        F.col(label).alias("_label"), spread_key(F.col(row_id), seed).alias("_key")
+        F.col(label).alias("_label"), _row_key(row_id, seed).alias("_key"), _content_key(df).alias("_content")
     ).persist(StorageLevel.MEMORY_AND_DISK)
-    levels = _key_levels(spread_key(F.col(row_id), seed))
+    levels = [*_key_levels(_row_key(row_id, seed)), *_content_levels(_content_key(df))]
     try:
         totals = keys.agg(
             F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_label") == 1).alias("positives")
@@ -178,7 +209,8 @@ def stratified_snapshot(
             part = F.col(label) == value
             if wanted:
                 stratum = keys.filter(F.col("_label") == value)
-                found = _find_cut(stratum, _key_levels(F.col("_key")), wanted)
+                known = [*_key_levels(F.col("_key")), *_content_levels(F.col("_content"))]
+                found = _find_cut(stratum, known, wanted)
                 drawn = drawn | (part & _up_to(levels, found) if found else part)
         return df.filter(drawn)
     finally:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from cardflow.operators.drift import drift_summary, should_retrain
 from cardflow.operators.features import canonicalize_inference
-from cardflow.sources.readers import read_recent, read_reference
+from cardflow.sources.readers import is_missing, read_recent, read_reference
 from cardflow.sources.writers import write_summary
 
 
@@ -21,17 +22,21 @@ def run_drift(
     as_of: datetime,
     days: int = 7,
     out_root: str | None = None,
-) -> DataFrame | None:
+) -> DataFrame:
     """Compare the recent prediction log with the reference snapshot.
 
-    None where there is no reference yet. The summary is stored by date and then
-    read back, so using it does not compare again.
+    Without a reference, or without a log folder yet, the result is "not drifted".
+    The summary is stored by date and then read back, so using it does not compare
+    again.
     """
     reference = read_reference(spark, reference_path)
-    if reference is None:
-        return None
-    log = canonicalize_inference(read_recent(spark, log_root, as_of, days, log_schema))
-    summary = drift_summary(reference, log)
+    try:
+        recent = read_recent(spark, log_root, as_of, days, log_schema)
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
+        recent = spark.createDataFrame([], log_schema)
+    summary = drift_summary(reference, canonicalize_inference(recent))
     if out_root is None:
         return summary
     path = write_summary(summary, out_root, f"{as_of:%Y-%m-%d}")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from cardflow.functions.columns import moment
 from cardflow.operators.features import select_available
 from cardflow.schema import BASELINE_SCHEMA, LABEL, MODEL_COLS, TS
 
@@ -33,7 +34,7 @@ def incremental_scan(
     """
     last = last or batch_end - timedelta(minutes=minutes)
     kind = df.schema[ts].dataType
-    low, high = F.lit(last).cast(kind), F.lit(batch_end).cast(kind)
+    low, high = moment(last, kind), moment(batch_end, kind)
     rows = df.filter((F.col(ts) > low) & (F.col(ts) <= high))
     return rows if columns is None else rows.select(*columns)
 
@@ -79,7 +80,7 @@ def read_batches(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
-def _missing(error: AnalysisException) -> bool:
+def is_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
@@ -87,9 +88,9 @@ def read_baseline(spark: SparkSession, candidates: Sequence[str]) -> DataFrame:
     """The first candidate CSV that exists."""
     for path in candidates:
         try:
-            return spark.read.schema(BASELINE_SCHEMA).csv(path, header=True)
+            return spark.read.schema(BASELINE_SCHEMA).option("enforceSchema", False).csv(path, header=True)
         except AnalysisException as error:
-            if not _missing(error):
+            if not is_missing(error):
                 raise
     raise FileNotFoundError(f"no baseline among {list(candidates)}")
 
@@ -99,7 +100,7 @@ def read_reference(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         snapshot = spark.read.parquet(path)
     except AnalysisException as error:
-        if _missing(error):
+        if is_missing(error):
             return None
         raise
     return select_available(snapshot, [*MODEL_COLS, LABEL])[0]
@@ -117,7 +118,7 @@ def select_batches(
     pruned = df.filter(
         (name >= start.strftime(BATCH_FORMAT)) & (name <= end.strftime(BATCH_FORMAT))
     )
-    return pruned.filter((time >= F.lit(start)) & (time < F.lit(end)))
+    return pruned.filter((time >= moment(start)) & (time < moment(end)))
 
 
 def week_window(as_of: datetime, reason: str = "scheduled") -> tuple[datetime, datetime]:
@@ -138,7 +139,7 @@ def filter_week(
 ) -> DataFrame:
     start, end = week_window(as_of, reason)
     kind = df.schema[ts].dataType
-    return df.filter((F.col(ts) >= F.lit(start).cast(kind)) & (F.col(ts) < F.lit(end).cast(kind)))
+    return df.filter((F.col(ts) >= moment(start, kind)) & (F.col(ts) < moment(end, kind)))
 
 
 def read_weekly(spark: SparkSession, root: str) -> DataFrame:
@@ -189,6 +190,6 @@ def read_watermark(spark: SparkSession, path: str) -> datetime | None:
     try:
         return spark.read.parquet(path).agg(F.max("batch_end")).first()[0]
     except AnalysisException as error:
-        if _missing(error):
+        if is_missing(error):
             return None
         raise

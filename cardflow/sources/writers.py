@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardflow.functions.columns import moment
+
 
 def write_batch(
     df: DataFrame, root: str, stage: str, batch_id: str, files: int | None = None
@@ -83,4 +85,4 @@ def write_summary(df: DataFrame, root: str, date: str) -> str:
 
 def commit_watermark(spark: SparkSession, path: str, batch_end: datetime) -> None:
     """Record a batch end. Call it after the sinks of the batch have been written."""
-    spark.range(1).select(F.lit(batch_end).alias("batch_end")).write.mode("append").parquet(path)
+    spark.range(1).select(moment(batch_end).alias("batch_end")).write.mode("append").parquet(path)

@@ -246,8 +246,8 @@ CTES = {
         ["column_stats"],
         """
     SELECT feature, n_values, t_ref,
-      CASE WHEN t_ref <= 1000 THEN 'ks' ELSE 'wasserstein' END AS method,
-      CASE WHEN t_ref <= 1000 THEN %s ELSE w1_norm END AS score
+      'ks' AS method,
+      %s AS score
     FROM column_stats""",
     ),
     "prediction": (
@@ -273,10 +273,9 @@ CTES = {
       n_total AS n_total_features, n_drifted / n_total::DOUBLE > 0.3e0 AS data_drift_detected,
       pred AS pred_drift_detected, n_drifted / n_total::DOUBLE > 0.3e0 OR pred AS overall_drift,
       0.3e0 AS threshold_data, 0.05e0 AS threshold_pred, reference_rows, current_rows
-    FROM (SELECT count(*) FILTER (CASE WHEN t_ref <= 1000 THEN score < 0.05e0
-                                       ELSE score >= 0.1e0 END) AS n_drifted,
+    FROM (SELECT count(*) FILTER (score < 0.05e0) AS n_drifted,
             count(*) AS n_total FROM column_scores),
-      (SELECT CASE WHEN n_ref <= 1000 THEN p_value < 0.05e0 ELSE js >= 0.1e0 END AS pred
+      (SELECT p_value < 0.05e0 AS pred
        FROM prediction_scored),
       (SELECT count(*) AS reference_rows FROM reference),
       (SELECT count(*) AS current_rows FROM inference)""",
@@ -912,13 +911,13 @@ def oracle_sql() -> dict[str, str]:
         "prediction_drift": _with(
             f"""SELECT n_ref, ones_ref, n_cur, ones_cur, {_six("share_ref", "share_ref")},
       {_six("share_cur", "share_cur")}, {_six("z", "z")}, {_six("p_value", "p_value")}, {_six("js", "js")},
-      CASE WHEN n_ref <= 1000 THEN p_value < 0.05e0 ELSE js >= 0.1e0 END AS drifted
+      p_value < 0.05e0 AS drifted
     FROM prediction_scored""",
             "prediction_scored",
         ),
         "drift_columns": _with(
             """SELECT feature, n_values, method, round(score, 4) AS score,
-      CASE WHEN t_ref <= 1000 THEN score < 0.05e0 ELSE score >= 0.1e0 END AS drifted
+      score < 0.05e0 AS drifted
     FROM column_scores""",
             "column_scores",
         ),
