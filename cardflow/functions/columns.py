@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column
@@ -28,6 +29,16 @@ def amount_log1p(amount: Column) -> Column:
     return F.log1p(amount)
 
 
+def elapsed_time(seconds: Column, epoch: int) -> Column:
+    """Time of a count of elapsed seconds; null where the count is missing or NaN."""
+    return F.timestamp_seconds(F.when(~F.isnan(seconds), seconds) + F.lit(epoch))
+
+
+def content_id(columns: Sequence[str], prefix: str) -> Column:
+    """Id from a row's content: rows share it only where all columns are equal."""
+    return F.concat(F.lit(prefix), F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})))
+
+
 def hour_from_elapsed(seconds: Column) -> Column:
     """Hour of day of a count of elapsed seconds that starts at midnight."""
     return F.pmod(F.floor(seconds / HOUR_SECONDS), F.lit(24)).cast("int")

@@ -100,16 +100,20 @@ def apply_scaler(
 
 
 def standardize(
-    df: DataFrame, column: str = "amount", out: str = "amount_normalized"
+    df: DataFrame,
+    column: str = "amount",
+    out: str = "amount_normalized",
+    stats: DataFrame | None = None,
 ) -> DataFrame:
-    """Centre and scale by the sample deviation of all rows; 0.0 where it is zero."""
-    stats = df.agg(
-        F.struct(
-            F.avg(column).alias("mean"), F.stddev_samp(column).alias("std")
-        ).alias("stats")
-    ).scalar()
-    value = centred(F.col(column), F.col("_stats.mean"), F.col("_stats.std"))
-    return df.withColumn("_stats", stats).withColumn(out, value).drop("_stats")
+    """Centre and scale by the sample deviation of all rows; 0.0 where it is zero.
+
+    ``stats`` gives the two in one row ``_mean, _std`` instead.
+    """
+    if stats is None:
+        stats = df.agg(F.avg(column).alias("_mean"), F.stddev_samp(column).alias("_std"))
+    fitted = stats.agg(F.first(F.struct("_mean", "_std"))).scalar()
+    value = centred(F.col(column), F.col("_stats._mean"), F.col("_stats._std"))
+    return df.withColumn("_stats", fitted).withColumn(out, value).drop("_stats")
 
 
 def clean_rows(df: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from cardflow.functions.columns import (
     amount_log1p,
     centred,
+    content_id,
+    elapsed_time,
     hour_from_elapsed,
     is_high_amount,
     is_night_hour,
@@ -19,6 +21,7 @@ from cardflow.functions.columns import (
 from cardflow.operators.cleaning import standardize
 from cardflow.operators.joins import join_back
 from cardflow.schema import (
+    BASELINE_EPOCH,
     CARD,
     FEATURE_TABLE_COLS,
     HOUR_SECONDS,
@@ -178,9 +181,15 @@ def add_features(df: DataFrame, history: DataFrame | None = None) -> DataFrame:
         seen = seen.unionByName(history.select(*narrow))
         start = df.agg(F.min(TS)).scalar() - F.expr("INTERVAL 1 HOUR")
         recent = recent.unionByName(history.select(*narrow).filter(F.col(TS) >= start))
-    per_card = key_statistics(seen, CARD, "amount").withColumnRenamed("_key", "_card")
-    counts = trailing_counts(second_counts(recent, CARD)).drop("_n")
-    stats = join_back(counts, per_card, {"_card": F.col("_key")})
+    per_card = key_statistics(seen, CARD, "amount")
+    counts = trailing_counts(second_counts(recent, CARD))
+    return attach_features(df, per_card, counts)
+
+
+def attach_features(df: DataFrame, per_card: DataFrame, counts: DataFrame) -> DataFrame:
+    """Processed rows with given statistics per card and trailing counts per card and second."""
+    cards = per_card.select(F.col("_key").alias("_card"), "_mean", "_std")
+    stats = join_back(counts.drop("_n"), cards, {"_card": F.col("_key")})
     keys = {"_key": F.col(CARD), "_second": F.unix_timestamp(TS)}
     return (
         join_back(add_row_features(df), stats, keys)
@@ -201,11 +210,25 @@ def select_available(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame,
     return df.select(*found), [c for c in columns if c not in df.columns]
 
 
-def canonicalize_baseline(df: DataFrame, row_id: str) -> DataFrame:
-    """Baseline rows (``Time, V*, Amount, Class``) to model columns and label."""
+def canonicalize_baseline(
+    df: DataFrame, row_id: str | None = None, epoch: int = BASELINE_EPOCH
+) -> DataFrame:
+    """Baseline rows (``Time, V*, Amount, Class``) to model columns, label, id and time.
+
+    ``Time`` counts seconds from ``epoch``, so baseline rows have a place in time among
+    the rows of other sources; a row without it has no time. Without ``row_id`` the id
+    is made from the content. Rows that share an id are then equal in every column, so
+    it doesn't matter which of them the trailing count takes first.
+    """
+    if row_id is None:
+        df = df.withColumn(ID, content_id(df.columns, "BASE_"))
+        row_id = ID
+    else:
+        df = df.withColumn(ID, F.concat(F.lit("BASE_"), F.col(row_id)))
     named = df.withColumnRenamed("Amount", "amount").withColumns(
         {
             LABEL: F.col("Class").cast("int"),
+            TS: elapsed_time(F.col("Time"), epoch),
             "hour_of_day": hour_from_elapsed(F.col("Time")),
             "is_international": F.lit(0),
         }
@@ -214,7 +237,8 @@ def canonicalize_baseline(df: DataFrame, row_id: str) -> DataFrame:
         "amount_zscore", F.col("amount_normalized")
     )
     counted = trailing_count_global(scaled, "Time", row_id)
-    return counted.select(row_id, "Time", *MODEL_COLS, LABEL)
+    keys = [c for c in (row_id,) if c != ID]
+    return counted.select(*keys, "Time", *MODEL_COLS, LABEL, ID, TS)
 
 
 def canonicalize_inference(df: DataFrame) -> DataFrame:

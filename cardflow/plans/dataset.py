@@ -38,6 +38,14 @@ def plan_sources(
     ).unionByName(chosen.select(F.lit("batch").alias("source"), F.col("batch_id").alias("name")))
 
 
+def planned(rows: DataFrame | None, plan: DataFrame, source: str, column: str) -> DataFrame | None:
+    """Rows of the partitions of a source that the plan names; the others are not read."""
+    if rows is None:
+        return None
+    names = plan.filter(F.col("source") == source).select(F.col("name").alias(column))
+    return rows.join(names, column, "left_semi")
+
+
 def build_reference(
     root: str,
     version: str,
@@ -50,7 +58,11 @@ def build_reference(
     """Publish the drift reference of a promoted model; None when it was not promoted."""
     if not promoted:
         return None
-    dataset = assemble_dataset(baseline, weekly, current)
+    return publish_reference(assemble_dataset(baseline, weekly, current), root, version, row_id)
+
+
+def publish_reference(dataset: DataFrame, root: str, version: str, row_id: str = ID) -> str:
+    """Publish a sample of an assembled dataset as the drift reference."""
     snapshot = stratified_snapshot(dataset, row_id=row_id)
     kept = select_available(snapshot, [*MODEL_COLS, LABEL])[0]
-    return publish_snapshot(kept, root, version)[0]
+    return publish_snapshot(kept, root, version)

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 
-from cardflow.operators.cleaning import clean_transactions, dedupe
+from cardflow.operators.cleaning import clean_rows, clean_transactions, dedupe, standardize
 from cardflow.operators.expectations import (
     Rule,
     broken_rules,
@@ -18,7 +18,8 @@ from cardflow.operators.expectations import (
     split_by_rules,
     tag_failures,
 )
-from cardflow.operators.features import add_features
+from cardflow.operators.features import add_features, attach_features
+from cardflow.plans.state import Carried
 from cardflow.schema import FEATURE_TABLE_COLS, PROCESSED_COLS, RAW_COLS
 from cardflow.sources.readers import (
     BATCH_FORMAT,
@@ -77,18 +78,34 @@ def process_batch(
     batch_id: str,
     history: DataFrame | None = None,
     dedupe_first: bool = False,
+    carry: bool = False,
 ) -> DataFrame | None:
     """Run a batch through all stages under ``root``; None when it has no rows.
 
-    Every write replaces the batch's own folder, so a repeated run changes nothing.
+    The rows are landed first, so the source is read once and what is checked is what
+    is stored. With ``carry``, scaler, card statistics and hour counts go on from the
+    batches before, which must come in the order of their ids; uniqueness is a rule of
+    the batch. Every write replaces the batch's own folder, so a repeated run changes
+    nothing.
     """
+    spark, landed = raw.sparkSession, f"{root}/landed/batch_id={batch_id}"
+    raw.write.mode("overwrite").parquet(landed)
+    raw = spark.read.schema(raw.schema).parquet(landed)
     if is_empty_batch(raw):
         return None
+    state = Carried(spark, root, batch_id) if carry else None
     stored = _store(dedupe(raw) if dedupe_first else raw, raw_suite(), root, "raw", batch_id)
-    cleaned = clean_transactions(stored)
-    processed = _store(cleaned, processed_suite(PROCESSED_COLS), root, "processed", batch_id)
-    features = add_features(processed, history)
-    return _store(features, feature_suite(FEATURE_TABLE_COLS), root, "features", batch_id)
+    cleaned = clean_rows(stored)
+    scaled = standardize(cleaned, stats=state and state.scaler(cleaned)).select(*PROCESSED_COLS)
+    processed = _store(scaled, processed_suite(PROCESSED_COLS), root, "processed", batch_id)
+    if state:
+        features = attach_features(processed, state.cards(processed), state.trailing(processed))
+    else:
+        features = add_features(processed, history)
+    rows = _store(features, feature_suite(FEATURE_TABLE_COLS), root, "features", batch_id)
+    if state:
+        state.commit()
+    return rows
 
 
 def run_increment(
@@ -96,12 +113,14 @@ def run_increment(
 ) -> DataFrame | None:
     """Process what has arrived since the last run, up to ``batch_end``.
 
+    Statistics go on from the increments before, unless ``history`` gives earlier rows.
     The watermark moves after all sinks are written, and also for an empty batch. A
     run that fails before that is repeated over the same rows.
     """
     spark, state = table.sparkSession, f"{root}/watermark"
     last = read_watermark(spark, state)
     raw = incremental_scan(table, batch_end, last, columns=RAW_COLS)
-    rows = process_batch(raw, root, batch_end.strftime(BATCH_FORMAT), history)
+    name = batch_end.strftime(BATCH_FORMAT)
+    rows = process_batch(raw, root, name, history, carry=history is None)
     commit_watermark(spark, state, batch_end)
     return rows

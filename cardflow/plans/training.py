@@ -11,10 +11,11 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardflow.operators.assemble import imbalance_weight
+from cardflow.operators.cleaning import apply_scaler
 from cardflow.operators.metrics import classification_report, f1_binary, promotion_decision
 from cardflow.operators.selection import temporal_split
 from cardflow.schema import LABEL, MODEL_COLS
@@ -76,8 +77,33 @@ def train_gbt(
     return Pipeline(stages=[assembler, trees]).fit(weighted)
 
 
-def score(df: DataFrame, model: PipelineModel) -> DataFrame:
-    """Input columns and ``prediction`` (0 or 1), from the stored feature row."""
+@dataclass(frozen=True)
+class ScoringModel:
+    """Trees and the scaler statistics that their training rows were scaled with."""
+
+    trees: PipelineModel
+    scaler: DataFrame
+
+
+def save_model(model: ScoringModel, path: str) -> str:
+    model.scaler.write.mode("overwrite").parquet(f"{path}/scaler")
+    model.trees.write().overwrite().save(f"{path}/trees")
+    return path
+
+
+def load_model(spark: SparkSession, path: str) -> ScoringModel:
+    return ScoringModel(
+        PipelineModel.load(f"{path}/trees"), spark.read.parquet(f"{path}/scaler")
+    )
+
+
+def score(df: DataFrame, model: PipelineModel | ScoringModel) -> DataFrame:
+    """Input columns and ``prediction`` (0 or 1), from the stored feature row.
+
+    A model with a scaler scores, and returns, the amount as that scales it.
+    """
+    if isinstance(model, ScoringModel):
+        df, model = apply_scaler(df, model.scaler), model.trees
     scored = model.transform(df)
     return scored.select(*df.columns, F.col("prediction").cast("int").alias("prediction"))
 

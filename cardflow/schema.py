@@ -23,6 +23,8 @@ NIGHT_HOURS = [22, 23, 0, 1, 2, 3, 4]
 MAX_AMOUNT = 50000.0
 HIGH_AMOUNT = 500.0
 HOUR_SECONDS = 3600
+# Baseline rows count seconds from here: 2013-09-01 00:00:00 UTC.
+BASELINE_EPOCH = 1377993600
 SNAPSHOT_ROWS = 10_000
 SNAPSHOT_SEED = 42
 TRAIN_FRACTION = 0.8

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
@@ -88,22 +88,37 @@ def read_baseline(spark: SparkSession, candidates: Sequence[str]) -> DataFrame:
     """The first candidate CSV that exists."""
     for path in candidates:
         try:
-            return spark.read.schema(BASELINE_SCHEMA).option("enforceSchema", False).csv(path, header=True)
+            return spark.read.schema(BASELINE_SCHEMA).option("enforceSchema", False).csv(
+                path, header=True
+            )
         except AnalysisException as error:
             if not is_missing(error):
                 raise
     raise FileNotFoundError(f"no baseline among {list(candidates)}")
 
 
-def read_reference(spark: SparkSession, path: str) -> DataFrame | None:
-    """Reference snapshot in model columns and label, None where there is none yet."""
+def if_present(read: Callable[..., DataFrame], *args) -> DataFrame | None:
+    """What a reader returns, None where its path is absent."""
     try:
-        snapshot = spark.read.parquet(path)
+        return read(*args)
     except AnalysisException as error:
         if is_missing(error):
             return None
         raise
-    return select_available(snapshot, [*MODEL_COLS, LABEL])[0]
+
+
+def read_published(spark: SparkSession, root: str) -> DataFrame | None:
+    """The newest published version of a snapshot, None before the first."""
+    published = if_present(read_batch, spark, f"{root}/published")
+    if published is None:
+        return None
+    return read_batch(spark, f"{root}/version={published.agg(F.max('version')).first()[0]}")
+
+
+def read_reference(spark: SparkSession, root: str) -> DataFrame | None:
+    """Reference snapshot in model columns and label, None where there is none yet."""
+    snapshot = read_published(spark, root)
+    return None if snapshot is None else select_available(snapshot, [*MODEL_COLS, LABEL])[0]
 
 
 def select_batches(

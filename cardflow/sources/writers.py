@@ -57,12 +57,17 @@ def finalize_week(df: DataFrame, root: str, week_key: str, keep: bool) -> str |
     return compact_week(df, root, week_key) if keep else None
 
 
-def publish_snapshot(df: DataFrame, root: str, version: str) -> tuple[str, str]:
-    """Write a version, then the same rows as ``current``."""
-    versioned, current = f"{root}/version={version}", f"{root}/current"
-    df.write.mode("overwrite").parquet(versioned)
-    df.sparkSession.read.parquet(versioned).write.mode("overwrite").parquet(current)
-    return versioned, current
+def publish_snapshot(df: DataFrame, root: str, version: str) -> str:
+    """Write a version, then a row that says that it is complete.
+
+    Readers take the newest published version, so none ever sees a half-written one.
+    """
+    spark, path = df.sparkSession, f"{root}/version={version}"
+    df.write.mode("overwrite").parquet(path)
+    spark.range(1).select(F.lit(version).alias("version")).write.mode("append").parquet(
+        f"{root}/published"
+    )
+    return path
 
 
 def write_predictions(df: DataFrame, root: str, run_ts: str) -> str:

@@ -27,12 +27,13 @@ def start_batches(
 ) -> StreamingQuery:
     """Validate, clean and route each micro-batch.
 
+    Scaler, card statistics and hour counts go on from epoch to epoch (``plans/state.py``).
     The epoch names the batch folder, so a repeated epoch replaces its own output.
     The stream's checkpoint moves on only after all sinks of an epoch are written.
     """
 
     def run(batch: DataFrame, epoch: int) -> None:
-        process_batch(batch, root, f"epoch_{epoch:012d}", dedupe_first=dedupe_first)
+        process_batch(batch, root, f"epoch_{epoch:012d}", dedupe_first=dedupe_first, carry=True)
 
     return _start(stream, run, checkpoint, every)
 
@@ -76,6 +77,30 @@ def sliding_counts(
     )
 
 
+def session_counts(
+    df: DataFrame, key: str = CARD, gap: str = "30 minutes", ts: str = TS
+) -> DataFrame:
+    """Rows per key and session; a session ends when ``gap`` passes without a row.
+
+    A table is counted per key and second first, so a busy key brings its seconds to
+    the session window, not its rows.
+    """
+    if df.isStreaming:
+        counted = df.groupBy(key, F.session_window(ts, gap)).agg(F.count(F.lit(1)).alias("row_count"))
+    else:
+        second = F.timestamp_seconds(F.unix_timestamp(F.col(ts).cast("timestamp")))
+        seconds = df.groupBy(key, second.alias(ts)).agg(F.count(F.lit(1)).alias("_n"))
+        counted = seconds.groupBy(key, F.session_window(ts, gap)).agg(
+            F.sum("_n").alias("row_count")
+        )
+    return counted.select(
+        key,
+        F.col("session_window.start").alias("session_start"),
+        F.col("session_window.end").alias("session_end"),
+        "row_count",
+    )
+
+
 def stream_second_counts(stream: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """Rows per card and second, each emitted once the watermark has passed it.
 

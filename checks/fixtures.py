@@ -14,6 +14,8 @@ from cardflow.schema import LABEL, TS, V_COLS
 
 EPOCH = 1704067200  # 2024-01-01 00:00:00 UTC
 HALF = datetime(2024, 1, 16)
+# Ends of three arrivals; the last one takes the rest.
+ARRIVALS = [datetime(2024, 1, 10), datetime(2024, 1, 20, 12), datetime(2030, 1, 1)]
 
 _EVENT_CATEGORY = {
     "click": "online",

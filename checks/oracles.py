@@ -493,6 +493,29 @@ VALID_SELECT = f"""
       {_six("amount_zscore", "amount_zscore")}, tx_count_1h, is_fraud_label
     FROM v_features WHERE abs(amount_zscore) <= 20 AND tx_count_1h <= 1000"""
 
+# The same as of each arrival: statistics over the rows of this one and those before.
+ARRIVAL = """CASE WHEN "timestamp" <= TIMESTAMP '2024-01-10' THEN 1
+      WHEN "timestamp" <= TIMESTAMP '2024-01-20 12:00:00' THEN 2 ELSE 3 END"""
+AS_OF_RUN = {
+    "arrived": f"SELECT *, {ARRIVAL} AS arrival FROM tx_raw",
+    "arrived_failures": "SELECT *, concat_ws(',', %s) AS failed_rules FROM"
+    " (SELECT *, count(*) OVER (PARTITION BY transaction_id, arrival) AS copies FROM arrived)",
+    "raw_ok": "SELECT * FROM arrived_failures WHERE failed_rules = ''",
+    "v_clean": f"""
+    SELECT transaction_id, card_id, arrival, date_trunc('second', "timestamp") AS "timestamp",
+      least(amount, 50000e0) AS amount,
+      coalesce((least(amount, 50000e0) - avg(least(amount, 50000e0)) OVER (ORDER BY arrival))
+        / nullif(stddev_samp(least(amount, 50000e0)) OVER (ORDER BY arrival), 0), 0e0) AS amount_normalized,
+      {V_LIST}, is_fraud_label FROM raw_ok""",
+    "v_processed": VALID["v_processed"],
+    "v_features": """
+    SELECT *, coalesce((amount - avg(amount) OVER (PARTITION BY card_id ORDER BY arrival))
+        / nullif(stddev_samp(amount) OVER (PARTITION BY card_id ORDER BY arrival), 0), 0e0) AS amount_zscore,
+      CAST(count(*) OVER (PARTITION BY card_id ORDER BY "timestamp"
+        RANGE BETWEEN INTERVAL 3600 SECOND PRECEDING AND CURRENT ROW) AS INTEGER) AS tx_count_1h
+    FROM v_processed""",
+}
+
 RATIO = "coalesce({a} / nullif({b}, 0)::DOUBLE, 0e0)"
 
 
@@ -537,10 +560,12 @@ SNAPSHOT_KEY = "md5('42|' || transaction_id)"
 
 UNION_COLUMNS = ", ".join(ENGINEERED + V)
 
+BASELINE_TIME = """(TIMESTAMP '2013-09-01' + to_seconds(CAST("Time" AS BIGINT)))"""
+
 DATASET = {
     "assembled": f"""
     SELECT 'BASE_' || event_id AS transaction_id, {UNION_COLUMNS}, is_fraud_label,
-      NULL::TIMESTAMP AS "timestamp", 'baseline' AS source FROM canonical
+      {BASELINE_TIME} AS "timestamp", 'baseline' AS source FROM canonical
     UNION ALL
     SELECT transaction_id, {UNION_COLUMNS}, is_fraud_label, "timestamp",
       CASE WHEN "timestamp" < {HALF} THEN 'weekly' ELSE 'current' END FROM features"""
@@ -608,6 +633,8 @@ def _chi2() -> str:
 
 def oracle_sql() -> dict[str, str]:
     batch_run = _with(VALID_SELECT, "raw_failures", extra=VALID)
+    failures = AS_OF_RUN["arrived_failures"] % _raw_rule_names()
+    as_of_run = _with(VALID_SELECT, "tx_raw", extra=AS_OF_RUN | {"arrived_failures": failures})
     summary_columns = """data_drift_score, n_drifted_features, n_total_features,
       data_drift_detected, pred_drift_detected, overall_drift, threshold_data, threshold_pred,
       reference_rows, current_rows"""
@@ -734,8 +761,8 @@ def oracle_sql() -> dict[str, str]:
             "features",
         ),
         "baseline_canonical": _with(
-            f"""SELECT event_id, "Time", {_rounded_features(ENGINEERED)}, {V_LIST}, is_fraud_label
-    FROM canonical""",
+            f"""SELECT event_id, "Time", {_rounded_features(ENGINEERED)}, {V_LIST}, is_fraud_label,
+      'BASE_' || event_id AS transaction_id, {_micros(BASELINE_TIME)} FROM canonical""",
             "canonical",
         ),
         "inference_canonical": _with(
@@ -783,7 +810,34 @@ def oracle_sql() -> dict[str, str]:
         ),
         "valid_features": batch_run,
         "batch_run": batch_run,
-        "stream_batches": batch_run,
+        "stream_batches": as_of_run,
+        "increment_run": as_of_run,
+        "assembled_split": _with(
+            f"""
+    SELECT source, CASE WHEN rn <= CAST(floor(n * 0.8e0) AS BIGINT) THEN 'train' ELSE 'test' END AS part,
+      count(*) AS "rows", strftime(min(t), '%Y-%m-%d %H:%M:%S') AS first_time,
+      strftime(max(t), '%Y-%m-%d %H:%M:%S') AS last_time
+    FROM (
+      SELECT *, count(*) OVER () AS n, row_number() OVER (ORDER BY t, md5(id)) AS rn FROM (
+        SELECT 'baseline' AS source, {BASELINE_TIME} AS t, event_id::VARCHAR AS id FROM baseline
+        UNION ALL
+        SELECT CASE WHEN "timestamp" >= TIMESTAMP '2024-01-15' AND "timestamp" < TIMESTAMP '2024-01-22'
+          THEN 'current' ELSE 'weekly' END, "timestamp", transaction_id FROM features))
+    GROUP BY ALL""",
+            "baseline",
+            "features",
+        ),
+        "sessions_30m": _with(
+            f"""
+    SELECT card_id, {_micros("min(s)", "session_start")},
+      {_micros("max(s) + INTERVAL 30 MINUTE", "session_end")}, sum(n)::BIGINT AS row_count FROM (
+      SELECT *, count(*) FILTER (begins) OVER (PARTITION BY card_id ORDER BY s) AS session FROM (
+        SELECT *, coalesce(s - lag(s) OVER (PARTITION BY card_id ORDER BY s) > INTERVAL 30 MINUTE, true)
+          AS begins FROM (
+          SELECT card_id, date_trunc('second', "timestamp") AS s, count(*) AS n FROM tx_raw GROUP BY ALL)))
+    GROUP BY card_id, session""",
+            "tx_raw",
+        ),
         "union_dataset": _with(
             f"""SELECT transaction_id, {_rounded_features(ENGINEERED)}, {V_LIST}, is_fraud_label,
       {_micros()}, source FROM assembled""",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cardflow.functions import columns as C
 from cardflow.operators import assemble, cleaning, drift, expectations, features, metrics, selection
-from cardflow.plans import dataset, preprocess, training
+from cardflow.plans import dataset, preprocess, training, training_run
 from cardflow.schema import (
     CARD,
     FEATURE_TABLE_COLS,
@@ -225,7 +225,7 @@ def history_features(spark, sf):
 
 def baseline_canonical(spark, sf):
     rows = features.canonicalize_baseline(X.baseline(spark, sf), "event_id")
-    return _rounded(rows, "amount_normalized", "amount_log1p", "amount_zscore")
+    return _rounded(_text_time(rows), "amount_normalized", "amount_log1p", "amount_zscore")
 
 
 def inference_canonical(spark, sf):
@@ -303,15 +303,39 @@ def valid_features(spark, sf):
 
 
 def _sources(spark, sf):
-    baseline = features.canonicalize_baseline(X.baseline(spark, sf), "event_id").withColumn(
-        ID, F.concat(F.lit("BASE_"), F.col("event_id"))
-    )
+    kept = [ID, *MODEL_COLS, LABEL, TS]
     rows = X.features(spark, sf)
-    kept = [ID, *MODEL_COLS, LABEL]
     return (
-        baseline.select(*kept),
-        rows.filter(F.col(TS) < F.lit(X.HALF)).select(*kept, TS),
-        rows.filter(F.col(TS) >= F.lit(X.HALF)).select(*kept, TS),
+        features.canonicalize_baseline(X.baseline(spark, sf), "event_id").select(*kept),
+        rows.filter(F.col(TS) < F.lit(X.HALF)).select(*kept),
+        rows.filter(F.col(TS) >= F.lit(X.HALF)).select(*kept),
+    )
+
+
+def _stored_sources(spark, sf) -> tuple[str, list[str]]:
+    """Daily batches, weeks and a baseline CSV as a training run finds them."""
+    root = _scratch(spark)
+    day = F.concat(F.date_format(TS, "yyyyMMdd"), F.lit("_000000"))
+    rows = X.features(spark, sf).withColumn("batch_id", day)
+    passed = rows.withColumn("outcome", F.lit("passed"))
+    passed.write.partitionBy("batch_id", "outcome").parquet(f"{root}/features")
+    weekly = spark.read.parquet(f"{root}/features").drop("outcome")
+    weekly = weekly.withColumn("week_key", C.week_key(F.col(TS)))
+    weekly.write.partitionBy("week_key").parquet(f"{root}/weekly")
+    base = X.baseline(spark, sf).select("Time", *V_COLS, "Amount", "Class")
+    base.write.csv(f"{root}/baseline", header=True)
+    return root, [f"{root}/absent.csv", f"{root}/baseline"]
+
+
+def assembled_split(spark, sf):
+    """Baseline, finished weeks and this run's batches, planned, read, united and split."""
+    root, candidates = _stored_sources(spark, sf)
+    rows, _ = training_run.assemble_sources(spark, root, candidates, AS_OF)
+    part = F.when(F.col("is_train"), "train").otherwise("test")
+    return selection.mark_train(rows).groupBy("source", part.alias("part")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.date_format(F.min(TS), "yyyy-MM-dd HH:mm:ss").alias("first_time"),
+        F.date_format(F.max(TS), "yyyy-MM-dd HH:mm:ss").alias("last_time"),
     )
 
 
@@ -408,7 +432,7 @@ def reference_snapshot(spark, sf):
     """Sources assembled, sampled, published and read back as the drift reference."""
     root = _scratch(spark)
     dataset.build_reference(root, "20240131_000000", True, *_sources(spark, sf))
-    current = readers.read_reference(spark, f"{root}/current")
+    current = readers.read_reference(spark, root)
     return _rounded(current, "amount_normalized", "amount_log1p", "amount_zscore")
 
 
@@ -549,11 +573,12 @@ def dead_letter(spark, sf):
 
 
 def snapshot_publish(spark, sf):
-    """The version and the current copy of a snapshot hold the same rows."""
+    """The newest published version is the one that readers get."""
     root = _scratch(spark)
     rows = X.clean(spark, sf).select(ID, "amount", LABEL)
-    paths = writers.publish_snapshot(rows, root, "20240131_000000")
-    version, current = (readers.read_batch(spark, p) for p in paths)
+    writers.publish_snapshot(rows.filter(F.col(LABEL) == 0), root, "20240130_000000")
+    version = readers.read_batch(spark, writers.publish_snapshot(rows, root, "20240131_000000"))
+    current = readers.read_published(spark, root)
     return version.withColumn("copy", F.lit("version")).unionByName(
         current.withColumn("copy", F.lit("current"))
     )
@@ -637,9 +662,7 @@ def stream_trailing_count(spark, sf):
     return spark.read.parquet(f"{root}/trailing").drop("epoch")
 
 
-def stream_batches(spark, sf):
-    stream, root = _raw_stream(spark, sf)
-    streams.start_batches(stream, root, f"{root}/checkpoint", every=None).awaitTermination()
+def _feature_rows(spark, root):
     rows = readers.read_stage(spark, root, "features")
     return _rounded(
         rows.select(ID, CARD, "amount", "amount_normalized", "amount_zscore", "tx_count_1h", LABEL),
@@ -648,6 +671,34 @@ def stream_batches(spark, sf):
     )
 
 
+def stream_batches(spark, sf):
+    """Three arrivals, each a micro-batch that goes on from those before."""
+    root, raw, low = _scratch(spark), X.tx_raw(spark, sf), None
+    for end in X.ARRIVALS:
+        arrived = readers.incremental_scan(raw, end, low or datetime(2000, 1, 1))
+        arrived.write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(RAW_SCHEMA).parquet(f"{root}/in")
+        streams.start_batches(stream, root, f"{root}/checkpoint", every=None).awaitTermination()
+        low = end
+    return _feature_rows(spark, root)
+
+
+def increment_run(spark, sf):
+    """The table in three increments, then an empty one."""
+    root, raw = _scratch(spark), X.tx_raw(spark, sf)
+    writers.commit_watermark(spark, f"{root}/watermark", datetime(2000, 1, 1))
+    for end in X.ARRIVALS:
+        preprocess.run_increment(raw, root, end)
+    if preprocess.run_increment(raw, root, datetime(2030, 1, 2)) is not None:
+        raise AssertionError("an increment without rows has a result")
+    return _feature_rows(spark, root)
+
+
+def sessions_30m(spark, sf):
+    rows = streams.session_counts(X.tx_raw(spark, sf))
+    return _text_time(_text_time(rows, "session_start"), "session_end")
+
+
 def category_summary(spark, sf):
     """Flagship: raw rows to features, summed up per merchant category."""
     rows = X.features(spark, sf)
@@ -712,6 +763,7 @@ ALL = [
     imbalance_weight,
     time_order,
     temporal_split,
+    assembled_split,
     stratified_snapshot,
     pick_by_priority,
     pick_best_version,
@@ -742,10 +794,12 @@ ALL = [
     batch_run,
     tumbling_5m,
     sliding_1h,
+    sessions_30m,
     stream_dedupe,
     stream_tumbling,
     stream_trailing_count,
     stream_batches,
+    increment_run,
 ]
 
 

@@ -38,14 +38,14 @@ def test_training_run(spark, tmp_path):
     root = f"{tmp_path}/reference"
     kept = stored.select(ID, *MODEL_COLS, LABEL)
     assert dataset.build_reference(root, "v1", True, kept)
-    reference = readers.read_reference(spark, f"{root}/current")
+    reference = readers.read_reference(spark, root)
     assert reference.count() == stored.count()
 
     scored = training.score(stored, model).select(*MODEL_COLS, "prediction")
     writers.write_predictions(scored, f"{tmp_path}/log", "20240131_000000")
     schema = spark.read.parquet(f"{tmp_path}/log").drop("run_ts").schema
     summary = monitor.run_drift(
-        spark, f"{root}/current", f"{tmp_path}/log", schema, datetime.now(), 7, f"{tmp_path}/drift"
+        spark, root, f"{tmp_path}/log", schema, datetime.now(), 7, f"{tmp_path}/drift"
     )
     row = summary.first()
     assert row["n_total_features"] == len(MODEL_COLS) and not row["data_drift_detected"]
