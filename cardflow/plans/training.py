@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +22,8 @@ from cardflow.schema import LABEL, MODEL_COLS
 
 TRIALS = 15
 SEED = 42
+# What trees see in place of a missing value.
+MISSING = "-1e6"
 
 
 @dataclass(frozen=True)
@@ -57,13 +59,19 @@ def train_gbt(
     label: str = LABEL,
     seed: int = SEED,
 ) -> PipelineModel:
-    """Fit weighted boosted trees. Positives weigh ``positive_weight``, negatives 1."""
+    """Fit weighted boosted trees. Positives weigh ``positive_weight``, negatives 1.
+
+    A missing value lies below all others, so that trees can tell it apart.
+    """
     weighted = df.withColumn(
         "_weight", F.when(F.col(label) == 1, F.lit(params.positive_weight)).otherwise(1.0)
     )
-    assembler = VectorAssembler(
-        inputCols=list(features), outputCol="_features", handleInvalid="keep"
+    known = ", ".join(
+        f"coalesce(nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE)), {MISSING}) AS `_f_{c}`"
+        for c in features
     )
+    complete = SQLTransformer(statement=f"SELECT *, {known} FROM __THIS__")
+    assembler = VectorAssembler(inputCols=[f"_f_{c}" for c in features], outputCol="_features")
     trees = GBTClassifier(
         featuresCol="_features",
         labelCol=label,
@@ -74,7 +82,7 @@ def train_gbt(
         maxBins=32,
         seed=seed,
     )
-    return Pipeline(stages=[assembler, trees]).fit(weighted)
+    return Pipeline(stages=[complete, assembler, trees]).fit(weighted)
 
 
 @dataclass(frozen=True)
