@@ -709,7 +709,7 @@ def oracle_sql() -> dict[str, str]:
         "standardize_amount": _with(
             f"""SELECT transaction_id, amount,
       {_six("(amount - avg(amount) OVER ()) / stddev_samp(amount) OVER ()", "amount_normalized")}
-    FROM tx_raw WHERE amount >= 0""",
+    FROM tx_raw""",
             "tx_raw",
         ),
         "scaler_fit": f"""SELECT {_six("avg(value)", "amount_mean")},
@@ -728,8 +728,9 @@ def oracle_sql() -> dict[str, str]:
             f"""
     SELECT transaction_id, amount,
       CAST(coalesce(hour_of_day IN (22, 23, 0, 1, 2, 3, 4), false) AS INTEGER) AS is_night_hour,
-      {_six("ln(1 + amount)", "amount_log1p")}, CAST(amount > 500 AS INTEGER) AS is_high_amount
-    FROM tx_raw WHERE amount >= 0""",
+      {_six("CASE WHEN amount > -1 THEN ln(1 + amount) END", "amount_log1p")},
+      CAST(amount > 500 AS INTEGER) AS is_high_amount
+    FROM tx_raw""",
             "tx_raw",
         ),
         "card_zscore": _with(

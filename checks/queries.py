@@ -163,7 +163,7 @@ def normalize_category(spark, sf):
 
 
 def standardize_amount(spark, sf):
-    rows = cleaning.standardize(X.tx_raw(spark, sf).filter("amount >= 0"))
+    rows = cleaning.standardize(X.tx_raw(spark, sf))
     return _rounded(rows.select(ID, "amount", "amount_normalized"), "amount_normalized")
 
 
@@ -189,7 +189,7 @@ def clean_transactions(spark, sf):
 
 
 def night_log_high(spark, sf):
-    rows = features.add_row_features(X.tx_raw(spark, sf).filter("amount >= 0"))
+    rows = features.add_row_features(X.tx_raw(spark, sf))
     return _rounded(
         rows.select(ID, "amount", "is_night_hour", "amount_log1p", "is_high_amount"), "amount_log1p"
     )
