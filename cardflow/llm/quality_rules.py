@@ -1,7 +1,7 @@
 """Quality rules: fixed checks of a text, and a log-likelihood ratio of hashed n-grams.
 
 The ratio compares two multinomials over buckets of hashed words and word pairs: one of
-trusted text (a bounded sample of documents labelled good), one of all documents. A document's ratio is the sum over its
+trusted text (all documents labelled good), one of all documents. A document's ratio is the sum over its
 n-grams of log(trusted share / raw share) divided by their number. Documents below a
 threshold go. The threshold is a quantile of the ratios of the trusted documents, so it is
 the same in every run and nearly all text like the trusted one stays.
@@ -17,10 +17,13 @@ and drops nothing. Labels of unknown or null ids and other labels than 1 don't c
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardflow.llm.common import stored
+from cardflow.operators.selection import _find_cut, _up_to
 
 # Fixed values of the base rules.
 SPACES = "[\\x20\\x09-\\x0D]+"
@@ -30,8 +33,6 @@ LEAST_WORDS = 20
 MOST_REPEATED_PERCENT = 30
 
 BUCKETS = 1 << 16
-# Bound of the sample of trusted documents, the first by a hash of their ids.
-TRUSTED_ROWS = 20_000
 # Share of the trusted documents that may fall below the threshold.
 TRUSTED_LOSS = 0.002
 
@@ -105,13 +106,10 @@ def ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
 
     The row is as large as the number of buckets, whatever the size of the tables.
     """
-    marked = docs.select("doc_id", words_of(F.col("text")).alias("words"))
-    seed = F.xxhash64("doc_id", F.lit(8))
-    sample = trusted.orderBy(seed, "doc_id").limit(TRUSTED_ROWS).select("doc_id", F.lit(1).alias("good"))
-    # Broadcast: the limit bounds it. Texts aren't shuffled.
-    marked = marked.join(F.broadcast(sample), "doc_id", "left")
+    # Spark broadcasts the ids where they take few bytes. Texts are split after the join.
+    marked = docs.select("doc_id", "text").join(trusted.select("doc_id", F.lit(1).alias("good")), "doc_id", "left")
     counted = (
-        marked.select(F.coalesce("good", F.lit(0)).alias("good"), F.explode(grams(F.col("words"))).alias("bucket"))
+        marked.select(F.coalesce("good", F.lit(0)).alias("good"), F.explode(grams(words_of(F.col("text")))).alias("bucket"))
         .groupBy("bucket")
         .agg(F.sum("good").alias("good"), F.count(F.lit(1)).alias("raw"))
     )
@@ -128,6 +126,20 @@ def ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     return found.select(F.when(F.col("good") > 0, ratio).otherwise(F.array_repeat(F.lit(0.0), BUCKETS)).alias("ratio"))
 
 
+def lowest(values: DataFrame, share: float) -> DataFrame:
+    """One row, ``t``: the smallest value that at least ``share`` of the column ``ratio`` doesn't exceed.
+
+    Exact: the value is found by counts of ever narrower ranges, so nothing is sorted as a
+    whole. Null without values.
+    """
+    wanted = max(1, math.ceil(values.count() * share))
+    # Products with powers of two are exact; a range has at most 1,024 parts at each step.
+    levels = [*[F.floor(F.col("ratio") * float(1 << bits)) for bits in (4, 14, 24, 34, 44)], F.col("ratio")]
+    found = _find_cut(values, levels, wanted)
+    part = values.filter(_up_to(levels, found)) if found else values
+    return part.agg(F.max("ratio").alias("t"))
+
+
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, the base columns, base_failed, ratio, kept of every document."""
     good = labels.filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
@@ -145,6 +157,6 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = stored(rows, "rules")
     # Of trusted documents that pass the base rules.
     passed = rows.filter(~F.col("base_failed")).join(good, "doc_id", "left_semi")
-    threshold = stored(passed.agg(F.percentile_approx("ratio", TRUSTED_LOSS, 100_000).alias("t")), "threshold")
+    threshold = stored(lowest(stored(passed.select("ratio"), "passed"), TRUSTED_LOSS), "threshold")
     enough = F.col("ratio") >= F.coalesce(threshold.scalar(), F.lit(float("-inf")))
     return rows.withColumn("kept", ~F.col("base_failed") & enough)

@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import math
 import random
 import urllib.parse
 
@@ -216,6 +217,21 @@ def test_quality_rules_by_definition(spark):
         assert not (row.base_failed and row.kept)
 
 
+def test_quality_rules_count_all_trusted_documents(spark):
+    docs = spark.range(21_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), "id").alias("text"))
+    table = quality_rules.ratios(docs, docs.select("doc_id")).first()["ratio"]
+    assert len(table) == quality_rules.BUCKETS and set(table) == {0.0}
+
+
+def test_quality_rules_threshold_is_exact(spark):
+    values = spark.range(150_000).select((F.xxhash64("id") / 3e18 * F.rand(3)).alias("ratio")).persist()
+    values = values.unionByName(values.limit(500))
+    known = sorted(r.ratio for r in values.collect())
+    for share in (0.002, 0.5, 1.0):
+        assert quality_rules.lowest(values, share).first()["t"] == known[math.ceil(len(known) * share) - 1]
+    assert quality_rules.lowest(values.limit(0), 0.002).first()["t"] is None
+
+
 def test_quality_rules_edges(docs, nothing):
     labels = docs.select("doc_id", F.lit(1).alias("quality"))
     assert quality_rules.judge(docs, labels).count() == len(TEXTS)
