@@ -3,9 +3,11 @@
 import base64
 import gzip
 import hashlib
+import json
 import math
 import random
 import urllib.parse
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -60,6 +62,42 @@ def test_secret_spans_map_exactly():
     assert [text[a:b] for a, b, _ in spans] == ["pass%77ord%3Dabcdef12"]
 
 
+PACKED = gzip.compress(SECRET.encode() + random.Random(4).randbytes(300).hex(" ").encode(), mtime=0)
+CODE = base64.b64encode(b"some text before it, " * 3 + SECRET.encode()).decode()
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "".join(f"\\x{b:02x}" for b in PACKED),
+        "".join(f"\\u{b:04x}" for b in zlib.compress(SECRET.encode())),
+        "".join(f"&#{b};" for b in PACKED),
+        str(PACKED),
+        json.dumps(PACKED.decode("latin-1")),
+        *["api/v1/"[n:] + CODE for n in range(4)],
+        json.dumps("\n" + CODE),
+        "api/v1/" + base64.b64encode(PACKED).decode(),
+        base64.encodebytes(PACKED).decode(),
+        base64.encodebytes(b"." * 45 + SECRET.encode()).decode(),
+        json.dumps(base64.encodebytes(PACKED).decode()),
+        base64.b64encode(b"\xff\xfe\x00" * 9 + SECRET.encode()).decode(),
+    ],
+)
+def test_secret_in_escaped_bytes_and_broken_base64(text):
+    base, spans, unopened = secret_scan.find(text)
+    assert not base and unopened == 0
+    assert "assign" in {kind for *_, kind in spans}
+    assert all(0 <= start < end <= len(text) for start, end, _ in spans)
+
+
+def test_secret_spans_in_broken_base64_map_exactly():
+    head = b"." * 45
+    text = "x/" + base64.encodebytes(head + b"password=abcdef1234").decode()
+    _, spans, _ = secret_scan.find(text)
+    [(start, end, _)] = spans
+    assert (start, end) == (2 + 60, len(text.rstrip("\n=")))
+
+
 def test_cycle_and_bomb_end():
     bomb = base64.b64encode(gzip.compress(b"a" * (secret_scan.UNPACK_BYTES + 1))).decode()
     assert secret_scan.find(bomb)[2] == 1
