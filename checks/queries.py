@@ -548,14 +548,13 @@ def _labelled(spark, sf):
 def gbt_train_score(spark, sf):
     train, test = _labelled(spark, sf)
     weight = assemble.imbalance_weight(train).first()["weight"]
-    model = training.train_gbt(train, training.TreeParams(4, 0.15, 8, weight))
+    model = training.train_gbt(train, training.TreeParams(positive_weight=weight))
     return training.score(test, model).select(ID, LABEL, "prediction")
 
 
 def param_search(spark, sf):
     train, test = _labelled(spark, sf)
-    settings = [training.TreeParams(3, 0.1, 3, 10.0), training.TreeParams(4, 0.2, 3, 20.0)]
-    model, _, _ = training.search(train, test, settings=settings)
+    model, _, _ = training.search(train, test)
     return metrics.f1_binary(training.score(test, model))
 
 

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from cardflow.plans import training
 from checks import queries as registered
 
 SMALL = "/root/testdata/sf0.001"
@@ -45,5 +46,28 @@ def test_model_queries_run(spark, name):
         assert {r["prediction"] for r in rows} <= {0, 1}
 
 
+def test_model_queries_fit_the_operators_defaults(spark, monkeypatch):
+    fitted = []
+
+    class Stop(Exception):
+        pass
+
+    def note(df, params, *args, **kwargs):
+        fitted.append(params)
+        raise Stop
+
+    def note_search(train, test, settings=None, n=training.TRIALS, seed=training.SEED):
+        fitted.append((settings, n, seed))
+        raise Stop
+
+    monkeypatch.setattr(training, "train_gbt", note)
+    monkeypatch.setattr(training, "search", note_search)
+    for name in ("gbt_train_score", "param_search"):
+        with pytest.raises(Stop):
+            QUERIES[name](spark, SMALL)
+    default = training.TreeParams(positive_weight=fitted[0].positive_weight)
+    assert fitted == [default, (None, training.TRIALS, training.SEED)]
+
+
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
