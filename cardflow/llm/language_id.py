@@ -28,9 +28,10 @@ from cardflow.llm.common import arrow_map
 
 BUCKETS = 1 << 16
 LENGTHS = (1, 2, 3, 4)
-# Bounds of the sample: rows, shared evenly by the languages, and the most common languages.
+# Bound of the sample: rows, shared evenly by the languages.
 SAMPLE_ROWS = 4000
-SAMPLE_LANGUAGES = 200
+# Rows of each language, so that the bound grows with more than 200 of them.
+LEAST_ROWS = 20
 EPOCHS = 3
 ALPHA, BETA = 0.5, 1.0
 L1, L2 = 0.02, 0.02
@@ -199,18 +200,20 @@ def fit(docs: DataFrame, usable: Column) -> Model:
     known = known.select("doc_id", "text", "lang")
     total, df = document_frequencies(known)
     idf = np.log((1 + total) / (1 + df)) + 1
-    common = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(SAMPLE_LANGUAGES).collect()
+    common = known.groupBy("lang").count().collect()
     languages = sorted(r["lang"] for r in common)
     if not languages:
         return Model([], idf, np.empty(0, np.int64), np.zeros((1, 0)), 1.0)
-    most = SAMPLE_ROWS // len(languages)
+    most = max(LEAST_ROWS, SAMPLE_ROWS // len(languages))
     # For each language a share by seed that gives about twice the rows wanted; of these the
     # first by seed.
-    chosen = F.lit(False)
+    shares = []
     for r in common:
         share = min(1.0, (2 * most + 20) / r["count"])
-        chosen |= (F.col("lang") == r["lang"]) & (F.col("seed") <= F.lit(min(2**63 - 1, int(share * 2**64) - 2**63)))
-    drawn = known.withColumn("seed", F.xxhash64("doc_id", F.lit(4))).filter(chosen)
+        shares.append((r["lang"], min(2**63 - 1, int(share * 2**64) - 2**63)))
+    bounds = docs.sparkSession.createDataFrame(shares, "lang string, bound long")
+    # Broadcast: one row for each language, and texts aren't shuffled before they are drawn.
+    drawn = known.withColumn("seed", F.xxhash64("doc_id", F.lit(4))).join(F.broadcast(bounds), "lang").filter("seed <= bound")
     first = F.row_number().over(Window.partitionBy("lang").orderBy("seed", "doc_id")) <= most
     found = _counted(drawn.withColumn("first", first).filter("first")).collect()
     found.sort(key=lambda r: (r.seed, r.lang, r.buckets))

@@ -207,6 +207,12 @@ def test_language_held_out(spark):
     assert all(0 <= r.score <= 1 for r in found) and len(found) == len(rows)
 
 
+def test_every_language_is_learned(spark):
+    rows = spark.range(430).select(F.col("id").alias("doc_id"), F.concat(F.lit("l"), F.col("id") % 215).alias("lang"))
+    model = language_id.fit(rows.withColumn("text", F.repeat(F.concat("lang", F.lit(" ")), F.lit(3))), F.lit(True))
+    assert len(model.languages) == 215
+
+
 def test_language_edges(docs, nothing):
     rows = language_id.identify(docs, language_id.fit(docs, F.lit(True))).collect()
     assert len(rows) == len(TEXTS) and {r.lang_pred for r in rows} == {"en", "und"}
