@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cardflow.llm import (
     byte_bpe,
+    collocations,
     exact_dedup,
     language_id,
     mixing,
@@ -89,6 +90,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return byte_bpe.encode_documents(docs, TIKTOKEN_RANKS, public_tokenizers.PATTERN, digests=True)
@@ -109,5 +114,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_quality_classifier": op10_quality_classifier,
+        "op11_collocations": op11_collocations,
         "op13_byte_bpe": op13_byte_bpe,
     }

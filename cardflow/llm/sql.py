@@ -40,4 +40,50 @@ SQL = {
                sha256(same) AS text_sha256
         FROM n WINDOW w AS (PARTITION BY same)
     """,
+    "op11_collocations": """
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[.,;:!?\\x0A-\\x0D]')) AS piece
+            FROM documents
+        ), tokens AS (
+            SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS ws FROM pieces
+        ), grams AS (
+            SELECT lang, 1 AS k, unnest(list_transform(range(1, len(ws) - 1 + 2), lambda i: ws[i])) AS phrase FROM tokens
+            UNION ALL
+            SELECT lang, 2 AS k, unnest(list_transform(range(1, len(ws) - 2 + 2), lambda i: ws[i] || ' ' || ws[i + 1])) AS phrase FROM tokens
+            UNION ALL
+            SELECT lang, 3 AS k, unnest(list_transform(range(1, len(ws) - 3 + 2), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) AS phrase FROM tokens
+        ), f AS MATERIALIZED (
+            SELECT lang, k, phrase, count(*) AS n FROM grams GROUP BY ALL
+        ), total AS (
+            SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
+        ), cand AS MATERIALIZED (
+            SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND n >= 10
+        ), parts AS (
+            SELECT lang, k, phrase, a, 1 AS cut, ws[1] AS first, array_to_string(ws[2:k], ' ') AS rest FROM cand
+            UNION ALL
+            SELECT lang, k, phrase, a, 2, array_to_string(ws[1:2], ' '), ws[3] FROM cand WHERE k = 3
+        ), cuts AS (
+            SELECT p.lang, p.phrase, p.k, p.a, p.cut, l.n AS l, r.n AS r,
+                   (1000000::HUGEINT * p.a * p.a) // (l.n::HUGEINT * r.n) AS score
+            FROM parts p
+            JOIN f l ON l.lang = p.lang AND l.phrase = p.first
+            JOIN f r ON r.lang = p.lang AND r.phrase = p.rest
+        ), best AS (
+            SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+        ), around AS (
+            SELECT lang, phrase, max(a) AS a FROM (
+                SELECT lang, array_to_string(ws[1:2], ' ') AS phrase, a FROM cand WHERE k = 3
+                UNION ALL SELECT lang, array_to_string(ws[2:3], ' '), a FROM cand WHERE k = 3
+            ) GROUP BY ALL
+        ), kept AS (
+            SELECT b.* FROM best b LEFT JOIN around o ON o.lang = b.lang AND o.phrase = b.phrase AND b.k = 2
+            WHERE o.a IS NULL OR 100 * o.a < 50 * b.a
+        )
+        SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank,
+               phrase, a, l, r, total.n AS n, score::BIGINT AS score
+        FROM kept JOIN total ON total.lang = kept.lang
+        QUALIFY rank <= 2000
+    """,
 }
