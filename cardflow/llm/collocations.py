@@ -163,7 +163,7 @@ def common_prefixes(docs: DataFrame, longest: int) -> frozenset[str]:
     """Prefixes, after their language, with very many endings in a sample; ``COMMON`` at most."""
     every = max(1, docs.count() // SAMPLE_ROWS)
     sample = docs.filter(F.pmod(F.xxhash64("text"), F.lit(every)) == 0)
-    endings = counted_windows(sample, longest).groupBy("lang", "prefix").agg(F.count_distinct("last").alias("endings"))
+    endings = counted_windows(sample, longest).groupBy("lang", "prefix").agg(F.count(F.lit(1)).alias("endings"))
     endings = stored(endings, "endings")
     least = max(LEAST, (endings.agg(F.sum("endings")).first()[0] or 0) // COMMON + 1)
     found = endings.filter(F.col("endings") >= least).select(F.concat_ws(" ", "lang", "prefix"))
