@@ -12,6 +12,7 @@ from cardflow.llm import (
     byte_bpe,
     collocations,
     exact_dedup,
+    hard_negatives,
     language_id,
     mixing,
     near_dedup,
@@ -94,6 +95,12 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("id") % 100 == 0)
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return byte_bpe.encode_documents(docs, TIKTOKEN_RANKS, public_tokenizers.PATTERN, digests=True)
@@ -115,5 +122,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_exact_dedup": op9_exact_dedup,
         "op10_quality_classifier": op10_quality_classifier,
         "op11_collocations": op11_collocations,
+        "op12_hard_negatives": op12_hard_negatives,
         "op13_byte_bpe": op13_byte_bpe,
     }

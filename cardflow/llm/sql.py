@@ -86,4 +86,26 @@ SQL = {
         FROM kept JOIN total ON total.lang = kept.lang
         QUALIFY rank <= 2000
     """,
+    "op12_hard_negatives": """
+        WITH rows AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), pairs AS (
+            SELECT a.vec_id AS anchor_id, a.label AS anchor_label, r.vec_id, r.label,
+                   list_dot_product(a.v, r.v)::BIGINT AS score
+            FROM rows a JOIN rows r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id
+        ), positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE label = anchor_label
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT p.anchor_id, p.positive_id,
+               row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank,
+               n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+        FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND n.label <> n.anchor_label
+             AND 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score
+        QUALIFY rank <= 10
+    """,
 }
