@@ -20,10 +20,10 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cardflow.llm.common import stored
-from cardflow.operators.selection import _find_cut, _up_to
 
 # Fixed values of the base rules.
 SPACES = "[\\x20\\x09-\\x0D]+"
@@ -33,6 +33,10 @@ LEAST_WORDS = 20
 MOST_REPEATED_PERCENT = 30
 
 BUCKETS = 1 << 16
+# The filter of the trusted ids: one megabyte. With very many ids it lets more texts through
+# to the join, which decides.
+FILTER_BITS = 1 << 23
+FILTER_HASHES = 4
 # Share of the trusted documents that may fall below the threshold.
 TRUSTED_LOSS = 0.002
 
@@ -101,18 +105,49 @@ def grams(words: Column) -> Column:
     return _bound(F.transform(words, F.lower), lambda low: F.concat(F.transform(low, lambda w: bucket(w)), pairs(low)))
 
 
+def _places(key: Column) -> list[Column]:
+    """Bits of the filter that stand for a key."""
+    return [F.pmod(F.xxhash64(key, F.lit(k)), F.lit(FILTER_BITS)) for k in range(FILTER_HASHES)]
+
+
+def bloom_filter(ids: DataFrame) -> DataFrame:
+    """One row, ``bits``: a Bloom filter of the column ``doc_id``, of a fixed size."""
+    place = ids.select(F.explode(F.array(*_places(F.col("doc_id")))).alias("at"))
+    at = F.col("at")
+    words = place.groupBy(F.shiftright(at, 6).cast("int").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(at & 63L as int))")).alias("bits")
+    )
+    every = ids.sparkSession.range(FILTER_BITS // 64).select(F.col("id").cast("int").alias("word"))
+    filled = every.join(words, "word", "left").na.fill(0)
+    sorted_words = F.array_sort(F.collect_list(F.struct("word", "bits")))
+    return filled.agg(F.transform(sorted_words, lambda w: w["bits"]).alias("bits"))
+
+
+def may_hold(bits: Column, key: Column) -> Column:
+    """Whether the filter may hold a key; certainly for those it was made of."""
+    hit = F.lit(True)
+    for at in _places(key):
+        word = F.get(bits, F.shiftright(at, 6).cast("int"))
+        hit &= F.call_function("getbit", word, at.bitwiseAND(F.lit(63).cast("long")).cast("int")) == 1
+    return hit
+
+
 def ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """One row, ``ratio``: log(trusted share / raw share) of every bucket, add-one smoothed.
 
-    The row is as large as the number of buckets, whatever the size of the tables.
+    The row is as large as the number of buckets, whatever the size of the tables. Counting
+    all documents moves no text. Of texts that the filter may hold, a join finds the trusted
+    ones, and always in the same way.
     """
-    # Spark broadcasts the ids where they take few bytes. Texts are split after the join.
-    marked = docs.select("doc_id", "text").join(trusted.select("doc_id", F.lit(1).alias("good")), "doc_id", "left")
-    counted = (
-        marked.select(F.coalesce("good", F.lit(0)).alias("good"), F.explode(grams(words_of(F.col("text")))).alias("bucket"))
+    count = lambda rows, name: (
+        rows.select(F.explode(grams(words_of(F.col("text")))).alias("bucket"))
         .groupBy("bucket")
-        .agg(F.sum("good").alias("good"), F.count(F.lit(1)).alias("raw"))
+        .agg(F.count(F.lit(1)).alias(name))
     )
+    ids = trusted.select("doc_id").distinct()
+    bits = stored(bloom_filter(ids), "filter").scalar()
+    likely = docs.select("doc_id", "text").filter(may_hold(bits, F.col("doc_id")))
+    counted = count(docs, "raw").join(count(likely.join(ids.hint("merge"), "doc_id", "left_semi"), "good"), "bucket", "full")
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     filled = every.join(counted, "bucket", "left").na.fill(0)
     found = filled.agg(
@@ -129,15 +164,27 @@ def ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
 def lowest(values: DataFrame, share: float) -> DataFrame:
     """One row, ``t``: the smallest value that at least ``share`` of the column ``ratio`` doesn't exceed.
 
-    Exact: the value is found by counts of ever narrower ranges, so nothing is sorted as a
-    whole. Null without values.
+    Exact: the value lies between two bounds with a known number of values below them, which
+    are drawn together by counts of ever narrower parts, so nothing is sorted as a whole.
+    Null without values.
     """
+    ratio = F.col("ratio")
     wanted = max(1, math.ceil(values.count() * share))
-    # Products with powers of two are exact; a range has at most 1,024 parts at each step.
-    levels = [*[F.floor(F.col("ratio") * float(1 << bits)) for bits in (4, 14, 24, 34, 44)], F.col("ratio")]
-    found = _find_cut(values, levels, wanted)
-    part = values.filter(_up_to(levels, found)) if found else values
-    return part.agg(F.max("ratio").alias("t"))
+    inside = values
+    # Products with powers of two are exact; a part has at most 1,024 parts at the next step.
+    for scale in (4, 14, 24, 34, 44):
+        part = F.floor(ratio * float(1 << scale))
+        counts = inside.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+        upto = counts.withColumn("upto", F.sum("n").over(W.partitionBy(F.lit(0)).orderBy("part")))
+        found = upto.filter(F.col("upto") >= wanted).orderBy("part").limit(1).first()
+        if found is None:
+            break
+        wanted -= found["upto"] - found["n"]
+        inside = inside.filter(part == found["part"])
+    # What is left are values that agree to 44 bits: counted, they are a few numbers.
+    counts = inside.groupBy("ratio").agg(F.count(F.lit(1)).alias("n"))
+    upto = counts.withColumn("upto", F.sum("n").over(W.partitionBy(F.lit(0)).orderBy("ratio")))
+    return upto.filter(F.col("upto") >= wanted).agg(F.min("ratio").alias("t"))
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
