@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -141,12 +141,8 @@ def start_trailing_counts(
             before = spark.read.schema(batch.schema).parquet(f"{root}/state/slot={(epoch - 1) % 2}")
             known = before.unionByName(new)
         first, last = new.agg(F.min("_second")).scalar(), known.agg(F.max("_second")).scalar()
-        trailing_counts(known).filter(F.col("_second") >= first).select(
-            F.col("_key").alias(CARD),
-            F.col("_second").alias("second"),
-            F.col("_n").alias("row_count"),
-            F.col("_trailing").alias("tx_count_1h"),
-        ).write.mode("overwrite").parquet(f"{root}/trailing/epoch={epoch}")
+        counted = trailing_counts(known).filter(F.col("_second") >= first)
+        counted.select(*_trailing_columns()).write.mode("overwrite").parquet(f"{root}/trailing/epoch={epoch}")
         known.filter(F.col("_second") >= last - HOUR_SECONDS).write.mode("overwrite").parquet(
             f"{root}/state/slot={epoch % 2}"
         )
@@ -154,6 +150,52 @@ def start_trailing_counts(
     return _start(stream_second_counts(stream, lateness), run, checkpoint, every)
 
 
+def open_state(spark: SparkSession, checkpoint: str, value: str) -> DataFrame:
+    """Groups that a stopped stream's watermark has not passed: ``key``, and ``value`` as given.
+
+    They are read from the state of the last finished micro-batch. An aggregate in append
+    mode has emitted, and dropped, every other group, so emitted and open groups together
+    are all rows that came in time.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select("key", F.col("value").cast(value).alias("value"))
+
+
+def tumbling_with_open(emitted: DataFrame, checkpoint: str) -> DataFrame:
+    """What ``tumbling_counts`` has emitted over a stream, with the intervals still open."""
+    state = open_state(emitted.sparkSession, checkpoint, "struct<row_count: bigint, fraud_count: bigint>")
+    still = state.select(F.col("key.window.start").alias("window_start"), "value.*")
+    return emitted.select(*still.columns).unionByName(still)
+
+
+def trailing_with_open(spark: SparkSession, root: str, checkpoint: str) -> DataFrame:
+    """What ``start_trailing_counts`` has written, with the seconds still open.
+
+    All open seconds are later than the emitted ones, whose last hour is all they need.
+    """
+    columns = [CARD, "second", "row_count", "tx_count_1h"]
+    schema = f"{CARD} string, second bigint, row_count bigint, tx_count_1h bigint"
+    emitted = spark.read.schema(f"{schema}, epoch int").parquet(f"{root}/trailing").select(*columns)
+    state = open_state(spark, checkpoint, "struct<_n: bigint>")
+    still = state.select(
+        F.col(f"key.{CARD}").alias("_key"), F.unix_timestamp("key.window.start").alias("_second"), "value._n"
+    )
+    first = still.agg(F.min("_second")).scalar()
+    closed = emitted.select(F.col(CARD).alias("_key"), F.col("second").alias("_second"), F.col("row_count").alias("_n"))
+    needed = closed.filter(F.col("_second") >= first - HOUR_SECONDS).unionByName(still)
+    counted = trailing_counts(needed).filter(F.col("_second") >= first)
+    return emitted.unionByName(counted.select(*_trailing_columns()))
+
+
+def _trailing_columns() -> list[Column]:
+    return [
+        F.col("_key").alias(CARD),
+        F.col("_second").alias("second"),
+        F.col("_n").alias("row_count"),
+        F.col("_trailing").alias("tx_count_1h"),
+    ]
+
+
 def _start(
     stream: DataFrame, run: Callable[[DataFrame, int], None], checkpoint: str, every: str | None
 ) -> StreamingQuery:

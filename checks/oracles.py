@@ -342,6 +342,14 @@ def _cte(name: str) -> str:
     return text
 
 
+# The later fifth of the feature rows, with the rule that the trees learn as their label.
+LATER_BY_RULE = """
+    SELECT transaction_id, ((is_night_hour = 1 AND is_high_amount = 1) OR is_international = 1)::INTEGER AS label
+    FROM (SELECT *, count(*) OVER () AS n,
+            row_number() OVER (ORDER BY "timestamp", md5(transaction_id)) AS rn FROM features)
+    WHERE rn > CAST(floor(n * 0.8e0) AS BIGINT)"""
+
+
 def _with(select: str, *names: str, extra: dict[str, str] | None = None) -> str:
     """The statement with every table expression it needs, each defined once."""
     ordered: list[str] = []
@@ -594,10 +602,6 @@ VERSION = {
     "fresh": "SELECT * FROM incoming WHERE transaction_id NOT IN (SELECT transaction_id FROM target)",
 }
 
-# Closed by the watermark: ten minutes before the last row, in milliseconds.
-WATERMARK = "(SELECT date_trunc('millisecond', max(\"timestamp\")) - INTERVAL 10 MINUTE FROM tx_raw)"
-
-
 def _request_columns() -> str:
     return f'CAST(hour_of_day AS DOUBLE) AS "Time", amount AS "Amount", {V_LIST}'
 
@@ -899,6 +903,16 @@ def oracle_sql() -> dict[str, str]:
             row_number() OVER (ORDER BY "timestamp", md5(transaction_id)) AS rn FROM clean)""",
             "clean",
         ),
+        "gbt_train_score": _with(
+            f"SELECT transaction_id, label AS is_fraud_label, label AS prediction FROM ({LATER_BY_RULE})",
+            "features",
+        ),
+        "param_search": _with(
+            f"""
+    SELECT hit AS precision, hit AS recall, hit AS f1
+    FROM (SELECT coalesce(max(label), 0)::DOUBLE AS hit FROM ({LATER_BY_RULE}))""",
+            "features",
+        ),
         "stratified_snapshot": _with(
             _stratified("clean", 1000, "transaction_id, is_fraud_label, amount"), "clean"
         ),
@@ -1048,8 +1062,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_tumbling": _with(
             f"""SELECT {_micros("w", "window_start")}, row_count, fraud_count FROM (
       SELECT time_bucket(INTERVAL 5 MINUTE, "timestamp") AS w, count(*) AS row_count,
-        count(*) FILTER (is_fraud_label = 1) AS fraud_count FROM tx_raw GROUP BY w)
-    WHERE w + INTERVAL 5 MINUTE <= {WATERMARK}""",
+        count(*) FILTER (is_fraud_label = 1) AS fraud_count FROM tx_raw GROUP BY w)""",
             "tx_raw",
         ),
         "stream_trailing_count": _with(
@@ -1057,8 +1070,7 @@ def oracle_sql() -> dict[str, str]:
       SELECT card_id, s, row_count, CAST(sum(row_count) OVER (PARTITION BY card_id ORDER BY s
         RANGE BETWEEN INTERVAL 3600 SECOND PRECEDING AND CURRENT ROW) AS BIGINT) AS tx_count_1h
       FROM (SELECT card_id, date_trunc('second', "timestamp") AS s, count(*) AS row_count
-            FROM tx_raw GROUP BY ALL))
-    WHERE s + INTERVAL 1 SECOND <= {WATERMARK}""",
+            FROM tx_raw GROUP BY ALL))""",
             "tx_raw",
         ),
     }

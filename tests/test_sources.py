@@ -121,3 +121,18 @@ def test_trees_find_an_easy_rule(spark):
     )
     assert trials[0][1] == 1.0
     assert training.score(rows, model).filter(F.col("prediction") != F.col(LABEL)).isEmpty()
+
+
+def test_missing_values_have_a_bin_of_their_own(spark):
+    rows = spark.range(300).select(
+        F.when(F.col("id") % 3 != 0, (F.col("id") % 7).cast("double")).alias("a"),
+        F.when(F.col("id") % 5 == 0, float("nan")).otherwise(F.lit(float("inf"))).alias("b"),
+        (F.col("id") % 3 == 0).cast("int").alias(LABEL),
+    )
+    model, best, trials = training.search(
+        rows, rows, settings=[training.TreeParams(2, 0.1, 2, 1.0), training.TreeParams(3, 0.1, 2, 1.0)], features=["a", "b"]
+    )
+    assert [f1 for _, f1 in trials] == [1.0, 1.0] and best.max_depth == 2
+    assert training.score(rows, model).columns == ["a", "b", LABEL, "prediction"]
+    binned = training._binned(rows, training.bin_features(rows, ["a", "b"]), LABEL)
+    assert binned.rdd.getNumPartitions() == 1 and binned.columns == ["_label", "_features"]

@@ -41,17 +41,30 @@ def test_trailing_count_over_micro_batches_equals_brute_force(spark, tmp_path):
     _write_parts(spark, f"{tmp_path}/in", parts)
     source = _source(spark, f"{tmp_path}/in")
     streams.start_trailing_counts(source, str(tmp_path), f"{tmp_path}/checkpoint", None).awaitTermination()
-    got = spark.read.parquet(f"{tmp_path}/trailing").collect()
-    assert len({r["epoch"] for r in got}) > 1
+    written = spark.read.parquet(f"{tmp_path}/trailing").collect()
+    assert len({r["epoch"] for r in written}) > 1
+    got = streams.trailing_with_open(spark, str(tmp_path), f"{tmp_path}/checkpoint").collect()
     base = int((START - datetime(1970, 1, 1)).total_seconds())
-    rows = [r for part in parts[:3] for r in part]
-    assert len(got) == len({(c, s) for _, c, s in rows})
+    rows = [r for part in parts for r in part]
+    assert len(got) == len({(c, s) for _, c, s in rows}) == len(written) + 1
     for r in got:
         second = r["second"] - base
         want = sum(c == r[CARD] and second - 3600 <= s <= second for _, c, s in rows)
         assert r["tx_count_1h"] == want
 
 
+def test_open_windows_join_the_emitted_ones(spark, tmp_path):
+    """A stream that has closed nothing yet, and one that goes on, equal the batch form."""
+    label = F.lit(1).alias("is_fraud_label")
+    for parts in ([_rows(0, 5, 0, 1)], [_rows(0, 5, 0, 1), _rows(5, 30, 200, 70)], [_rows(35, 3, 9000, 400)]):
+        _write_parts(spark, f"{tmp_path}/in", parts)
+        stream = streams.event_time(_source(spark, f"{tmp_path}/in").select("*", label))
+        emitted = _drain(streams.tumbling_counts(stream), str(tmp_path))
+        got = streams.tumbling_with_open(emitted, f"{tmp_path}/checkpoint")
+        batch = streams.tumbling_counts(spark.read.parquet(f"{tmp_path}/in").select("*", label))
+        assert got.exceptAll(batch).isEmpty() and batch.exceptAll(got).isEmpty()
+
+
 def test_dedupe_across_micro_batches(spark, tmp_path):
     _write_parts(spark, f"{tmp_path}/in", [_rows(0, 20, 0, 1), _rows(10, 20, 12, 1)])
     out = _drain(streams.stream_dedupe(_source(spark, f"{tmp_path}/in")), str(tmp_path))
