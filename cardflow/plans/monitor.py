@@ -25,13 +25,14 @@ def run_drift(
 ) -> DataFrame:
     """Compare the recent prediction log with the reference snapshot.
 
-    Without a reference, or without a log folder yet, the result is "not drifted".
+    Without a reference, or without a log folder yet, the result is "not drifted". A log
+    file that can't be read is left out; ``read_tolerant`` gives an account of such files.
     The summary is stored by date and then read back, so using it does not compare
     again.
     """
     reference = read_reference(spark, reference_path)
     try:
-        recent = read_recent(spark, log_root, as_of, days, log_schema)
+        recent = read_recent(spark, log_root, as_of, days, log_schema, tolerant=True)
     except AnalysisException as error:
         if not is_missing(error):
             raise

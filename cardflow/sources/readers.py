@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime, timedelta
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -163,41 +165,105 @@ def read_weekly(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_recent(
-    spark: SparkSession, root: str, as_of: datetime, days: int, schema: StructType | None = None
+    spark: SparkSession,
+    root: str,
+    as_of: datetime,
+    days: int,
+    schema: StructType | None = None,
+    tolerant: bool = False,
 ) -> DataFrame:
-    """Rows of files modified within the last ``days`` before ``as_of``."""
+    """Rows of files modified within the last ``days`` before ``as_of``.
+
+    A ``tolerant`` read leaves out what can't be read of a file.
+    """
     since = (as_of - timedelta(days=days)).strftime("%Y-%m-%dT%H:%M:%S")
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.option("modifiedAfter", since).option("recursiveFileLookup", True).parquet(root)
+    return reader.option("ignoreCorruptFiles", tolerant).option("modifiedAfter", since).option("recursiveFileLookup", True).parquet(root)
+
+
+# Outcomes of a file in a tolerant read.
+READ, DAMAGED, UNREADABLE = "read", "damaged", "unreadable"
 
 
 def read_tolerant(
     spark: SparkSession, root: str, schema: StructType
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows of all readable files, and the paths of files that gave none.
-
-    Listing reads names only: Spark prunes the content of ``binaryFile``.
+    """Rows of all readable parts of files, and an account of every file.
+
+    The account has path, expected (rows by the file's footer), decoded, lost, outcome. A
+    file without a readable footer is ``unreadable``, with unknown expected rows. One whose
+    pages fail is ``damaged``: rows before the failure are kept, the rest is ``lost``. An
+    empty file is read. Counting expected rows reads footers only, as no column is asked
+    for (``rows.count()`` does the same); counting decoded rows reads everything, so the
+    account costs a second pass.
     """
-    rows = (
-        spark.read.schema(schema)
-        .option("ignoreCorruptFiles", True)
+    tolerant = (
+        spark.read.option("ignoreCorruptFiles", True)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
-        .parquet(root)
     )
-    listed = (
+    rows = tolerant.schema(schema).parquet(root)
+    path = _bare(F.col("_metadata.file_path")).alias("path")
+    expected = rows.select(path).groupBy("path").agg(F.count(F.lit(1)).alias("expected"))
+    # Two counts by a hash of all columns ask for every one of them; a plain count asks for none.
+    every = F.xxhash64(*[F.col(f"`{c}`") for c in schema.names]).alias("hash")
+    zero = F.lit(0).cast("long")
+    decoded = rows.select(path, every).groupBy("path").agg(
+        (F.count(F.nullif("hash", zero)) + F.count_if(F.col("hash") == zero)).alias("decoded")
+    )
+    # Listing reads names only: Spark prunes the content of ``binaryFile``.
+    listed = _binary(spark).load(root).select(_bare(F.col("path")).alias("path"))
+    found = listed.join(expected, "path", "left").join(decoded, "path", "left")
+    silent = listed.join(expected, "path", "left_anti")
+    found = found.join(_footers(spark, silent), "path", "left")
+    rows_expected = F.coalesce("expected", "footer_rows")
+    rows_decoded = F.coalesce("decoded", F.lit(0))
+    outcome = (
+        F.when(rows_expected.isNull(), UNREADABLE).when(rows_decoded < rows_expected, DAMAGED).otherwise(READ)
+    )
+    account = found.select(
+        "path",
+        rows_expected.alias("expected"),
+        rows_decoded.alias("decoded"),
+        (F.coalesce(rows_expected, rows_decoded) - rows_decoded).alias("lost"),
+        outcome.alias("outcome"),
+    )
+    return rows, account
+
+
+def _bare(path: Column) -> Column:
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
+def _binary(spark: SparkSession) -> DataFrameReader:
+    return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
-        .load(root)
-        .select("path")
     )
-    read = rows.select(F.col("_metadata.file_path").alias("path")).distinct()
-    bare = F.regexp_replace("path", "^file:/+", "/")
-    skipped = listed.withColumn("path", bare).join(
-        read.withColumn("path", bare), "path", "left_anti"
-    )
-    return rows, skipped
+
+
+def _footers(spark: SparkSession, silent: DataFrame) -> DataFrame:
+    """path, footer_rows (null if the footer can't be read) of files that gave no row.
+
+    Only the paths of such files come to the driver; they are read in tasks.
+    """
+
+    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = []
+            for content in batch.column(1):
+                try:
+                    counts.append(pq.read_metadata(pa.BufferReader(content.as_buffer())).num_rows)
+                except (pa.ArrowException, OSError):
+                    counts.append(None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], ["path", "footer_rows"])
+
+    paths = [row["path"] for row in silent.collect()]
+    if not paths:
+        return spark.createDataFrame([], "path string, footer_rows bigint")
+    content = spark.read.format("binaryFile").load(paths).select(_bare(F.col("path")).alias("path"), "content")
+    return content.mapInArrow(footers, "path string, footer_rows bigint")
 
 
 def read_watermark(spark: SparkSession, path: str) -> datetime | None:

@@ -138,3 +138,28 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("version"),
         stage.alias("stage"),
     )
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def put_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """A file with the given content, wherever Spark can write."""
+    files, place = _file_system(spark, path)
+    out = files.create(place, True)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+
+
+def damage_pages(spark: SparkSession, folder: str, path: str) -> None:
+    """The only Parquet file of ``folder`` at ``path``, with its first page overwritten.
+
+    Its footer stays as it was.
+    """
+    content = bytearray(spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder).first()["content"])
+    content[4:44] = b"\xff" * 40
+    put_bytes(spark, path, bytes(content))

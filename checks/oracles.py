@@ -681,7 +681,15 @@ def oracle_sql() -> dict[str, str]:
         "recent_files": _with(f"SELECT {RAW_TEXT} FROM tx_raw", "tx_raw"),
         "baseline_csv": _with(f'SELECT "Time", {V_LIST}, "Amount", "Class" FROM baseline', "baseline"),
         "tolerant_read": _with(
-            'SELECT count(*) AS "rows", 0::BIGINT AS skipped FROM tx_raw', "tx_raw"
+            """
+    SELECT x.* FROM (
+      SELECT count(*) FILTER (is_fraud_label IS DISTINCT FROM 1) AS good,
+        count(*) FILTER (is_fraud_label = 1) AS bad FROM tx_raw) AS n,
+    LATERAL (VALUES ('read', good, good, 0::BIGINT, 1::BIGINT, good),
+      ('damaged', bad, 0::BIGINT, bad, 0::BIGINT, good),
+      ('unreadable', NULL, 0::BIGINT, 0::BIGINT, 0::BIGINT, good))
+      AS x(outcome, expected, decoded, lost, empty_files, rows_read)""",
+            "tx_raw",
         ),
         "dedupe_tx": _with(
             f"SELECT transaction_id, card_id, {_micros()}, amount, is_fraud_label FROM deduped",

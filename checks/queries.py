@@ -108,12 +108,22 @@ def baseline_csv(spark, sf):
 
 
 def tolerant_read(spark, sf):
-    """Rows of a folder read file by file, and how many files gave none."""
-    root = _scratch(spark)
-    writers.write_batch(X.tx_raw(spark, sf), root, "raw", "20240101_000000", files=4)
-    rows, skipped = readers.read_tolerant(spark, root, RAW_SCHEMA)
-    return rows.agg(
-        F.count(F.lit(1)).alias("rows"), skipped.agg(F.count(F.lit(1))).scalar().alias("skipped")
+    """A folder with whole files, an empty one, one with a bad page, one without a footer.
+
+    The bad page is the first one of the file with the fraud rows, so all of them are lost.
+    """
+    root, raw = _scratch(spark), X.tx_raw(spark, sf)
+    fraud = F.coalesce(F.col(LABEL) == 1, F.lit(False))
+    writers.write_batch(raw.filter(~fraud), f"{root}/in", "raw", "20240101_000000", files=4)
+    writers.write_batch(raw.limit(0), f"{root}/in", "raw", "20240101_000500", files=1)
+    whole = writers.write_batch(raw.filter(fraud), root, "whole", "20240101_001000", files=1)
+    X.damage_pages(spark, whole, f"{root}/in/damaged.parquet")
+    X.put_bytes(spark, f"{root}/in/cut-off.parquet", b"PAR1 no footer")
+    rows, files = readers.read_tolerant(spark, f"{root}/in", RAW_SCHEMA)
+    seen = rows.agg(F.count(ID)).scalar()
+    return files.groupBy("outcome").agg(
+        F.sum("expected").alias("expected"), F.sum("decoded").alias("decoded"), F.sum("lost").alias("lost"),
+        F.count_if(F.col("expected") == 0).alias("empty_files"), F.max(seen).alias("rows_read"),
     )
 
 

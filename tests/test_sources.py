@@ -44,10 +44,34 @@ def test_baseline_candidates(spark, tmp_path):
 
 def test_corrupt_file_is_skipped_and_reported(spark, tmp_path):
     spark.range(10).write.parquet(f"{tmp_path}/ok")
-    Path(tmp_path, "broken.parquet").write_bytes(b"no parquet at all")
-    rows, skipped = readers.read_tolerant(spark, str(tmp_path), spark.range(1).schema)
-    assert rows.count() == 10
-    assert [r["path"].split("/")[-1] for r in skipped.collect()] == ["broken.parquet"]
+    spark.range(0).write.parquet(f"{tmp_path}/none")
+    spark.range(7).coalesce(1).write.parquet(f"{tmp_path}/out/whole")
+    Path(tmp_path, "ok", "broken.parquet").write_bytes(b"no parquet at all")
+    X.damage_pages(spark, f"{tmp_path}/out/whole", f"{tmp_path}/none/damaged.parquet")
+    schema = spark.range(1).schema
+    for folder, n in (("ok", 10), ("none", 0)):
+        assert len(readers.read_tolerant(spark, f"{tmp_path}/{folder}", schema)[0].collect()) == n
+    files = [r for f in ("ok", "none") for r in readers.read_tolerant(spark, f"{tmp_path}/{f}", schema)[1].collect()]
+    by_name = {r["path"].split("/")[-1]: r for r in files}
+    assert by_name["broken.parquet"][1:5] == (None, 0, 0, "unreadable")
+    assert by_name["damaged.parquet"][1:5] == (7, 0, 7, "damaged")
+    whole = [r for r in files if r["outcome"] == "read"]
+    assert sum(r["decoded"] for r in whole) == 10 and any(r["expected"] == 0 for r in whole)
+
+
+def test_account_names_a_later_page_of_many(spark, tmp_path):
+    """Rows before the damage are kept, and only the rest of the file is lost."""
+    rows = spark.range(0, 200_000, 1, 1).select("id", (F.col("id") * 7).alias("b"))
+    rows.write.option("compression", "none").parquet(f"{tmp_path}/whole")
+    file = next(Path(tmp_path, "whole").glob("*.parquet"))
+    content = bytearray(file.read_bytes())
+    content[len(content) // 2 - 200_000 : len(content) // 2 + 200_000] = b"\xff" * 400_000
+    Path(tmp_path, "in").mkdir()
+    Path(tmp_path, "in", "a.parquet").write_bytes(content)
+    read, files = readers.read_tolerant(spark, f"{tmp_path}/in", rows.schema)
+    account = files.first()
+    assert account["outcome"] == "damaged" and account["expected"] == 200_000
+    assert account["decoded"] == read.agg(F.count("b")).first()[0] == 200_000 - account["lost"]
 
 
 def test_old_files_are_not_read(spark, tmp_path):
