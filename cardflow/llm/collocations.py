@@ -6,11 +6,11 @@ lead columns padded with the empty string, make a window; no shorter n-gram is e
 1. Tasks read texts in Arrow batches, cut them into words by their bytes, and count the
    windows of a million words together. So a window that is very common reaches the shuffle
    once for a million words.
-2. Windows are dealt by all their words but the last, and counted. The last word of a rare
+2. Windows are shuffled in bundles by their first word, and counted. The last word of a rare
    window, and the last two of a rare prefix, are replaced by the padding: their count goes
-   on as part of the shorter prefix, which is all that a sum of prefixes needs. A prefix with
-   very many endings is dealt by the last word too. Which ones are is found in a sample and
-   has no influence on results.
+   on as part of the shorter prefix, which is all that a sum of prefixes needs. The windows
+   of a common first word are dealt by the second word, too, those of a common first pair by
+   the third. Which ones are common is found in a sample and has no influence on results.
 3. ROLLUP sums the collapsed windows over ever shorter prefixes, down to the language: the
    counts of all phrases up to the longest that occur often enough, and of all words.
 4. Candidates meet the counts of their parts by joins of these short tables. Scores are
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cardflow.llm.common import arrow_map, stored
+from cardflow.llm.common import BATCH_ROWS, stored
 
 LONGEST = 3
 LEAST = 10
@@ -48,8 +49,8 @@ UNKNOWN = "und"
 
 # Words counted together in a task, and bytes of texts taken together.
 WORDS_TOGETHER = 1 << 20
-# Texts (about) from which common prefixes are learned, how common these are among the
-# endings of all prefixes (one of so many), and over how many places they are dealt.
+# Texts (about) from which common first words are learned, their share of all windows (one
+# of so many), and over how many places their windows are dealt.
 SAMPLE_ROWS = 2000
 COMMON = 2000
 PLACES = 64
@@ -70,8 +71,19 @@ def _codes(values: np.ndarray) -> np.ndarray:
     return pa.array(values).dictionary_encode().indices.to_numpy().astype(np.int64)
 
 
-def windows(texts: pa.StringArray, langs: pa.StringArray, longest: int) -> Iterator[tuple[list[pa.Array], np.ndarray]]:
-    """Language and words (columns) of the distinct padded windows of texts, and their counts."""
+@dataclass
+class Windows:
+    """Distinct padded windows of some texts as numbers of languages and words, and their counts."""
+
+    langs: pa.Array
+    lang: np.ndarray
+    words: pa.Array  # the last one is the padding
+    leads: list[np.ndarray]
+    counts: np.ndarray
+
+
+def windows(texts: pa.StringArray, langs: pa.StringArray, longest: int) -> Iterator[Windows]:
+    """All windows of texts, counted some million words at a time."""
     texts = texts.cast(pa.large_string()).fill_null("")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     if not len(texts) or offsets[0] == offsets[-1]:
@@ -118,30 +130,60 @@ def windows(texts: pa.StringArray, langs: pa.StringArray, longest: int) -> Itera
         one = np.empty(len(counts), np.int64)
         one[code] = np.arange(n)
         named = pa.concat_arrays([here.dictionary.cast(pa.string()), pa.array([""])])
-        columns = [spoken.dictionary.take(pa.array(lang[first:last][one]))]
-        yield [*columns, *(named.take(pa.array(lead[one])) for lead in leads)], counts
+        yield Windows(spoken.dictionary, lang[first:last][one], named, [lead[one] for lead in leads], counts)
+
+
+def _place(number: int) -> str:
+    """Empty for most; the place by the second word, and after a plus that by the third."""
+    second, third = divmod(number, PLACES + 1)
+    return f"{second}+{third}" if third else f"{second}" if second else ""
+
+
+def bundles(found: Windows, common: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Windows by first word: (first word, place, language) as one string, and a line for each
+    window with the other words and the count."""
+    size = len(found.words)
+    pairs, first = np.unique(found.lang * size + found.leads[0], return_inverse=True)
+    word, lang = found.words.take(pa.array(pairs % size)), found.langs.take(pa.array(pairs // size))
+    place = np.zeros(len(first), np.int64)
+    if len(common):
+        is_common = pc.is_in(pc.binary_join_element_wise(word, lang, " "), common).to_numpy(zero_copy_only=False)
+        spread = np.array([1 + zlib.crc32(w.encode()) % PLACES for w in found.words.to_pylist()])
+        at = np.flatnonzero(is_common[first])
+        place[at] = spread[found.leads[1][at]] * (PLACES + 1)
+        if len(found.leads) > 2:
+            named = (found.words.take(pa.array(lead[at])) for lead in found.leads[:2])
+            pair = pc.binary_join_element_wise(*named, found.langs.take(pa.array(found.lang[at])), " ")
+            at = at[pc.is_in(pair, common).to_numpy(zero_copy_only=False)]
+            place[at] += spread[found.leads[2][at]]
+    bundle = first * (PLACES + 1) ** 2 + place
+    # Windows that begin alike follow each other, which compresses them well.
+    order = (bundle * size + found.leads[1]).argsort()
+    bundle = bundle[order]
+    starts = np.flatnonzero(np.append(True, bundle[1:] != bundle[:-1]))
+    others = [found.words.take(pa.array(lead[order])) for lead in found.leads[1:]]
+    lines = pc.binary_join_element_wise(*others, pa.array(found.counts[order]).cast(pa.string()), " ")
+    lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(bundle)), pa.int32()), lines)
+    at, where = first[order][starts], place[order][starts]
+    named = pc.binary_join_element_wise(
+        word.take(pa.array(at)), pa.array([_place(p) for p in where.tolist()], pa.string()), lang.take(pa.array(at)), " "
+    )
+    return named, pc.binary_join(lists, "\n")
 
 
 def counted_windows(docs: DataFrame, longest: int, common: frozenset[str] = frozenset()) -> DataFrame:
-    """lang, prefix (all words but the last), last, n, place: windows as counted in the tasks.
+    """first, lines: windows as counted in the tasks, bundled by their first words.
 
-    ``place`` is 0, or for common prefixes one of ``PLACES`` that follows from the last word.
+    A bundle takes far fewer bytes in the shuffle than its windows as rows. The windows of a
+    common first word are dealt over ``PLACES`` bundles by their second word, those of a
+    common first pair over as many again by their third.
     """
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed = pa.array(sorted(common), pa.string())
         for batch in gathered(source):
-            for (lang, *leads), counts in windows(batch.column(1), batch.column(0), longest):
-                prefix = leads[0]
-                for lead in leads[1:-1]:
-                    prefix = pc.binary_join_element_wise(prefix, lead, " ")
-                place = np.zeros(len(counts), np.int32)
-                if common:
-                    both = pc.binary_join_element_wise(lang, prefix, " ")
-                    found = np.flatnonzero(pc.is_in(both, listed).to_numpy(zero_copy_only=False))
-                    place[found] = [1 + zlib.crc32(x.encode()) % PLACES for x in leads[-1].take(pa.array(found)).to_pylist()]
-                columns = [lang, prefix, leads[-1], pa.array(counts), pa.array(place)]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "prefix", "last", "n", "place"])
+            for found in windows(batch.column(1), batch.column(0), longest):
+                yield pa.RecordBatch.from_arrays(list(bundles(found, listed)), ["first", "lines"])
 
     def gathered(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Batches put together, up to about as many bytes as words that are counted together."""
@@ -155,38 +197,56 @@ def counted_windows(docs: DataFrame, longest: int, common: frozenset[str] = froz
         if held:
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     texts = docs.select(F.col("lang").cast("string").alias("lang"), "text")
-    return arrow_map(texts, ["lang", "text"], batches, "prefix string, last string, n long, place int")
+    return texts.mapInArrow(batches, "first string, lines string")
+
 
+def _windows_of(bundled: DataFrame) -> DataFrame:
+    """first, parts (the other words and the count) of each window."""
+    lines = bundled.select("first", F.explode(F.split("lines", "\n")).alias("line"))
+    return lines.select("first", F.split("line", " ").alias("parts"))
 
-def common_prefixes(docs: DataFrame, longest: int) -> frozenset[str]:
-    """Prefixes, after their language, with very many endings in a sample; ``COMMON`` at most."""
+
+def common_beginnings(docs: DataFrame, longest: int) -> frozenset[str]:
+    """First words and first pairs with very many windows in a sample, with their language.
+
+    There are ``2 * COMMON`` at most.
+    """
     every = max(1, docs.count() // SAMPLE_ROWS)
-    sample = docs.filter(F.pmod(F.xxhash64("text"), F.lit(every)) == 0)
-    endings = counted_windows(sample, longest).groupBy("lang", "prefix").agg(F.count(F.lit(1)).alias("endings"))
-    endings = stored(endings, "endings")
-    least = max(LEAST, (endings.agg(F.sum("endings")).first()[0] or 0) // COMMON + 1)
-    found = endings.filter(F.col("endings") >= least).select(F.concat_ws(" ", "lang", "prefix"))
-    return frozenset(row[0] for row in found.collect())
+    sample = counted_windows(docs.filter(F.pmod(F.xxhash64("text"), F.lit(every)) == 0), longest)
+    head = F.split("first", " ", 3)
+    word, lang = F.get(head, F.lit(0)).alias("word"), F.get(head, F.lit(2)).alias("lang")
+    counts = _windows_of(sample).groupBy(word, F.get("parts", F.lit(0)).alias("next"), lang).agg(F.count(F.lit(1)).alias("n"))
+    counts = stored(counts, "beginnings")
+    least = max(LEAST, (counts.agg(F.sum("n")).first()[0] or 0) // COMMON + 1)
+    words = counts.groupBy("word", "lang").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    pairs = counts.filter((F.col("n") >= least) & (F.col("next") != ""))
+    names = words.select(F.concat_ws(" ", "word", "lang")).union(pairs.select(F.concat_ws(" ", "word", "next", "lang")))
+    return frozenset(row[0] for row in names.collect())
 
 
 def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
     """lang, words (array), n of all phrases that occur often enough; of no words: of all words."""
-    place = ["lang", "prefix", "place"]
-    dealt = counted_windows(docs, longest, common_prefixes(docs, longest)).repartition(*place)
-    # The shuffle of the windows serves their prefixes, too.
-    full = dealt.groupBy(*place, "last").agg(F.sum("n").alias("n"))
-    often = (F.col("n") >= least) & (F.col("last") != "")
-    prefixes = full.groupBy(*place).agg(F.sum("n").alias("n"), F.sum(F.when(~often, F.col("n"))).alias("rest"))
-    # A prefix that is dealt over several places may be rare in one of them only.
-    known = (F.col("n") >= least) | (F.col("place") > 0)
-    head = [F.get(F.split("prefix", " "), F.lit(k)) for k in range(longest - 1)]
+    dealt = _windows_of(counted_windows(docs, longest, common_beginnings(docs, longest)).repartition("first"))
+    others = [F.get("parts", F.lit(k)).alias(f"w{k + 2}") for k in range(longest - 1)]
+    dealt = dealt.select("first", *others, F.get("parts", F.lit(longest - 1)).cast("long").alias("n"))
+    # One shuffle serves the windows and their prefixes: nothing in the condition can move
+    # below it in one of the two only.
     names = [f"w{k + 1}" for k in range(longest)]
-    kept = full.filter(often).select("lang", *(w.alias(x) for w, x in zip(head, names, strict=False)), F.col("last").alias(names[-1]), "n")
-    # With two words, a prefix is one word and stays.
-    cut = [*head[:-1], F.when(known, head[-1]).otherwise(F.lit(""))] if longest > 2 else head
-    cut = [w.alias(x) for w, x in zip([*cut, F.lit("")], names, strict=True)]
-    collapsed = kept.unionByName(prefixes.filter("rest is not null").select("lang", *cut, F.col("rest").alias("n")))
+    full = dealt.groupBy("first", *names[1:]).agg(F.sum("n").alias("n"))
+    often = F.when(F.coalesce(names[-1], F.lit("")) == "", F.lit(0)).otherwise(F.col("n")) >= least
+    prefixes = full.groupBy("first", *names[1:-1]).agg(F.sum("n").alias("n"), F.sum(F.when(~often, F.col("n"))).alias("rest"))
+    head = F.split("first", " ", 3)
+    lang, word = F.get(head, F.lit(2)).alias("lang"), F.get(head, F.lit(0)).alias("w1")
+    kept = full.filter(often).select(lang, word, *names[1:], "n")
+    # The last word of a rare prefix is cut off; a prefix of one word stays. A common pair,
+    # dealt by its third word, may be rare in one of its places only.
+    pad, known = F.lit(""), (F.col("n") >= least) | F.get(head, F.lit(1)).contains("+")
+    cut = [F.col(x) for x in names[1:-2]]
+    cut += [F.when(known, F.col(names[-2])).otherwise(pad)] if longest > 2 else []
+    cut = [w.alias(x) for w, x in zip([*cut, pad], names[1:], strict=True)]
+    collapsed = kept.unionByName(prefixes.filter("rest is not null").select(lang, word, *cut, F.col("rest").alias("n")))
     collapsed = collapsed.groupBy("lang", *names).agg(F.sum("n").alias("n"))
 
     rolled = collapsed.rollup("lang", *names).agg(F.sum("n").alias("n"), F.grouping_id().alias("level"))
