@@ -4,8 +4,8 @@ Only the longest windows are counted. A word and the words that follow it in its
 lead columns padded with the empty string, make a window; no shorter n-gram is ever made.
 
 1. Tasks read texts in Arrow batches, cut them into words by their bytes, and count the
-   windows of a million words together. So a window that is very common reaches the shuffle
-   once for a million words.
+   windows of half a million words together. So a window that is very common reaches the shuffle
+   once for so many words.
 2. Windows are shuffled in bundles by their first word, and counted. The last word of a rare
    window, and the last two of a rare prefix, are replaced by the padding: their count goes
    on as part of the shorter prefix, which is all that a sum of prefixes needs. The windows
@@ -48,7 +48,7 @@ SCALE = 1_000_000
 UNKNOWN = "und"
 
 # Words counted together in a task, and bytes of texts taken together.
-WORDS_TOGETHER = 1 << 20
+WORDS_TOGETHER = 1 << 19
 # Texts (about) from which common first words are learned, their share of all windows (one
 # of so many), and over how many places their windows are dealt.
 SAMPLE_ROWS = 2000
@@ -83,7 +83,7 @@ class Windows:
 
 
 def windows(texts: pa.StringArray, langs: pa.StringArray, longest: int) -> Iterator[Windows]:
-    """All windows of texts, counted some million words at a time."""
+    """All windows of texts, counted many words at a time."""
     texts = texts.cast(pa.large_string()).fill_null("")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     if not len(texts) or offsets[0] == offsets[-1]:
@@ -203,9 +203,11 @@ def counted_windows(docs: DataFrame, longest: int, common: frozenset[str] = froz
 
 
 def _windows_of(bundled: DataFrame) -> DataFrame:
-    """first, parts (the other words and the count) of each window."""
+    """first, others (the other words, joined by spaces), n of each window."""
     lines = bundled.select("first", F.explode(F.split("lines", "\n")).alias("line"))
-    return lines.select("first", F.split("line", " ").alias("parts"))
+    count = F.substring_index("line", " ", -1)
+    others = F.substring("line", F.lit(1), F.length("line") - F.length(count) - 1)
+    return lines.select("first", others.alias("others"), count.cast("long").alias("n"))
 
 
 def common_beginnings(docs: DataFrame, longest: int) -> frozenset[str]:
@@ -217,7 +219,7 @@ def common_beginnings(docs: DataFrame, longest: int) -> frozenset[str]:
     sample = counted_windows(docs.filter(F.pmod(F.xxhash64("text"), F.lit(every)) == 0), longest)
     head = F.split("first", " ", 3)
     word, lang = F.get(head, F.lit(0)).alias("word"), F.get(head, F.lit(2)).alias("lang")
-    counts = _windows_of(sample).groupBy(word, F.get("parts", F.lit(0)).alias("next"), lang).agg(F.count(F.lit(1)).alias("n"))
+    counts = _windows_of(sample).groupBy(word, F.substring_index("others", " ", 1).alias("next"), lang).agg(F.count(F.lit(1)).alias("n"))
     counts = stored(counts, "beginnings")
     least = max(LEAST, (counts.agg(F.sum("n")).first()[0] or 0) // COMMON + 1)
     words = counts.groupBy("word", "lang").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
@@ -229,24 +231,28 @@ def common_beginnings(docs: DataFrame, longest: int) -> frozenset[str]:
 def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
     """lang, words (array), n of all phrases that occur often enough; of no words: of all words."""
     dealt = _windows_of(counted_windows(docs, longest, common_beginnings(docs, longest)).repartition("first"))
-    others = [F.get("parts", F.lit(k)).alias(f"w{k + 2}") for k in range(longest - 1)]
-    dealt = dealt.select("first", *others, F.get("parts", F.lit(longest - 1)).cast("long").alias("n"))
-    # One shuffle serves the windows and their prefixes: nothing in the condition can move
-    # below it in one of the two only.
+    # One shuffle serves the windows and their prefixes: the condition has no part that can
+    # move below it. A window of three words has two others, the last one maybe empty.
     names = [f"w{k + 1}" for k in range(longest)]
-    full = dealt.groupBy("first", *names[1:]).agg(F.sum("n").alias("n"))
-    often = F.when(F.coalesce(names[-1], F.lit("")) == "", F.lit(0)).otherwise(F.col("n")) >= least
-    prefixes = full.groupBy("first", *names[1:-1]).agg(F.sum("n").alias("n"), F.sum(F.when(~often, F.col("n"))).alias("rest"))
+    last = F.substring_index("others", " ", -1)
+    before = F.substring_index("others", " ", longest - 2) if longest > 2 else F.lit("")
+    often = (F.col("n") >= least) & (F.col("n") * F.length(last) > 0)
+    full = dealt.groupBy("first", "others").agg(F.sum("n").alias("n")).filter(often)
+    prefixes = dealt.groupBy("first", before.alias("others")).agg(F.sum("n").alias("n"))
     head = F.split("first", " ", 3)
     lang, word = F.get(head, F.lit(2)).alias("lang"), F.get(head, F.lit(0)).alias("w1")
-    kept = full.filter(often).select(lang, word, *names[1:], "n")
+    split = F.split("others", " ")
+    words = [F.get(split, F.lit(k)) for k in range(longest - 1)]
+    pad = F.lit("")
+    named = lambda values: [w.alias(x) for w, x in zip(values, names[1:], strict=True)]
+    kept = full.select(lang, word, *named(words), "n")
+    # What frequent windows take from their prefixes: a prefix goes on with the rest.
+    taken = full.select(lang, word, *named([*words[:-1], pad]), (-F.col("n")).alias("n"))
     # The last word of a rare prefix is cut off; a prefix of one word stays. A common pair,
     # dealt by its third word, may be rare in one of its places only.
-    pad, known = F.lit(""), (F.col("n") >= least) | F.get(head, F.lit(1)).contains("+")
-    cut = [F.col(x) for x in names[1:-2]]
-    cut += [F.when(known, F.col(names[-2])).otherwise(pad)] if longest > 2 else []
-    cut = [w.alias(x) for w, x in zip([*cut, pad], names[1:], strict=True)]
-    collapsed = kept.unionByName(prefixes.filter("rest is not null").select(lang, word, *cut, F.col("rest").alias("n")))
+    known = (F.col("n") >= least) | F.get(head, F.lit(1)).contains("+")
+    cut = [*words[:-2], F.when(known, words[-2]).otherwise(pad), pad] if longest > 2 else [pad]
+    collapsed = kept.unionByName(taken).unionByName(prefixes.select(lang, word, *named(cut), "n"))
     collapsed = collapsed.groupBy("lang", *names).agg(F.sum("n").alias("n"))
 
     rolled = collapsed.rollup("lang", *names).agg(F.sum("n").alias("n"), F.grouping_id().alias("level"))

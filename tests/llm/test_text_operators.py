@@ -1,9 +1,11 @@
 """Secret scan, sentencepiece, token counts, language, quality: brute force and edge cases."""
 
 import base64
+import bz2
 import gzip
 import hashlib
 import json
+import lzma
 import math
 import random
 import urllib.parse
@@ -13,6 +15,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+import zstandard
 from cardflow.llm import language_id, quality_rules, quality_zstd, secret_scan, sentencepiece_bpe, token_counts
 from pyspark.sql import functions as F
 
@@ -98,13 +101,50 @@ def test_secret_spans_in_broken_base64_map_exactly():
     assert (start, end) == (2 + 60, len(text.rstrip("\n=")))
 
 
-def test_cycle_and_bomb_end():
-    bomb = base64.b64encode(gzip.compress(b"a" * (secret_scan.UNPACK_BYTES + 1))).decode()
-    assert secret_scan.find(bomb)[2] == 1
-    looped = secret_scan.Layer("abc", secret_scan.Layer("xyz", secret_scan.Layer("abc")))
+def test_cycles_end():
+    looped = secret_scan.Layer("abc", secret_scan.Layer("xyz", secret_scan.Layer("abc"), [(0, 0, 3, 3)]), [(0, 0, 3, 3)])
     assert looped.seen_before()
 
 
+def test_long_content_is_scanned_in_pieces(monkeypatch):
+    monkeypatch.setattr(secret_scan, "PIECE", 1000)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 200)
+    noise = random.Random(3).randbytes(4000).hex(" ").encode()
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.ZstdCompressor().compress):
+        for at in (500, 990, 9000):
+            text = base64.b64encode(pack(noise[:at] + SECRET.encode() + noise[at:])).decode()
+            _, spans, unopened = secret_scan.find(text)
+            assert unopened == 0 and "assign" in {kind for *_, kind in spans}
+    secret_scan.find(base64.b64encode(gzip.compress(b"a" * 100_000)).decode())
+
+
+@pytest.mark.parametrize("depth", [3, 12])
+def test_layers_that_commute_are_visited_once(depth, monkeypatch):
+    """URL and escape levels beside each other lead to each text in many ways."""
+    url, escaped = "%2525"[:0] + "%" + "25" * depth + "41", "&" + "amp;" * depth + "#66;"
+    made = []
+    key = secret_scan.Layer.key
+    monkeypatch.setattr(secret_scan.Layer, "key", lambda layer: made.append(1) or key(layer))
+    secret_scan.find(f"{url} {escaped} and some more words")
+    assert len(made) <= 4 * (depth + 2) ** 2
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "%E9" + "".join(f"%{b:02x}" for b in SECRET.encode()),
+        "%20" + "".join(f"%{b:02x}" for b in PACKED),
+        "a=%20" + urllib.parse.quote(PACKED),
+        "\n".join(CODE[k : k + 12] for k in range(0, len(CODE), 12)),
+    ],
+)
+def test_secret_after_bad_bytes_and_in_short_lines(text):
+    base, spans, unopened = secret_scan.find(text)
+    assert not base and unopened == 0
+    assert "assign" in {kind for *_, kind in spans}
+    assert all(0 <= start < end <= len(text) for start, end, _ in spans)
+
+
 def test_base_spans_by_definition():
     rng = random.Random(5)
     bits = ["password", "=", ":", " ", '"', "AKIA", "ABCDEFGHIJKLMNOPQR", "0f" * 13, "token", "ſecret=abcdef1", "API_KEY", "é", "abc123"]
