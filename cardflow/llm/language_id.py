@@ -8,14 +8,14 @@ elastic-net penalties, which leaves most of them at zero. A temperature, fitted
 the sample that training has not seen, calibrates the probabilities.
 
 Edge cases: a null text and one without a letter are ``und`` with score 0. Rows without a
-language teach nothing. Without any language to learn every text is ``und``; with one only,
+language teach nothing. Rows that repeat an id and a text are drawn at most once. With fewer
+than 20 texts to learn from the temperature is 1. Without any language to learn every text is ``und``; with one only,
 that one has score 1.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,13 +32,13 @@ LENGTHS = (1, 2, 3, 4)
 SAMPLE_ROWS = 4000
 # Rows of each language, so that the bound grows with more than 200 of them.
 LEAST_ROWS = 20
+# Languages up to which the table of their shares is broadcast.
+BROADCAST_ROWS = 10_000
 EPOCHS = 3
 ALPHA, BETA = 0.5, 1.0
 L1, L2 = 0.02, 0.02
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
-
 
 @dataclass(frozen=True)
 class Model:
@@ -50,7 +50,12 @@ class Model:
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    """Whether a text has a letter, by the rule that its n-grams follow."""
+    return bool(text) and bool(_letters(_points(text)).any())
+
+
+def _points(text: str | None) -> np.ndarray:
+    return np.frombuffer((text or "").lower().encode("utf-32-le", "replace"), "<u4")
 
 
 def gram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -58,7 +63,7 @@ def gram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
     Characters other than letters end words; words are in lower case.
     """
-    points = np.frombuffer((text or "").lower().encode("utf-32-le", "replace"), "<u4")
+    points = _points(text)
     letter = _letters(points)
     # One blank between words: n-grams don't cross it.
     code = np.where(letter, points, np.uint32(32)).astype(np.uint64)
@@ -109,8 +114,9 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], languages: list[str],
     """Weights from (buckets, counts, language) in a fixed random order."""
     k = len(languages)
     data = [(np.append(b, BUCKETS), np.append(values(b, c, idf), 1.0), y) for b, c, y in rows]
-    held = data[::5] if len(data) >= 20 else data
-    learned = [d for n, d in enumerate(data) if n % 5] if len(data) >= 20 else data
+    # A few rows are all learned from, and the temperature stays 1.
+    held = data[::5] if len(data) >= 20 else []
+    learned = [d for n, d in enumerate(data) if n % 5] if held else data
     z = np.zeros((BUCKETS + 1, k))
     n = np.zeros((BUCKETS + 1, k))
 
@@ -200,21 +206,25 @@ def fit(docs: DataFrame, usable: Column) -> Model:
     known = known.select("doc_id", "text", "lang")
     total, df = document_frequencies(known)
     idf = np.log((1 + total) / (1 + df)) + 1
-    common = known.groupBy("lang").count().collect()
+    # Rows equal in id and text have one seed and are drawn as one, whatever their number.
+    known = known.withColumn("seed", F.xxhash64("doc_id", "text", F.lit(4)))
+    common = known.groupBy("lang").agg(F.approx_count_distinct("seed", 0.02).alias("texts")).collect()
     languages = sorted(r["lang"] for r in common)
     if not languages:
         return Model([], idf, np.empty(0, np.int64), np.zeros((1, 0)), 1.0)
     most = max(LEAST_ROWS, SAMPLE_ROWS // len(languages))
-    # For each language a share by seed that gives about twice the rows wanted; of these the
+    # For each language a share by seed that gives about twice the texts wanted; of these the
     # first by seed.
     shares = []
     for r in common:
-        share = min(1.0, (2 * most + 20) / r["count"])
+        share = min(1.0, (2 * most + 40) / (0.9 * r["texts"]))
         shares.append((r["lang"], min(2**63 - 1, int(share * 2**64) - 2**63)))
     bounds = docs.sparkSession.createDataFrame(shares, "lang string, bound long")
-    # Broadcast: one row for each language, and texts aren't shuffled before they are drawn.
-    drawn = known.withColumn("seed", F.xxhash64("doc_id", F.lit(4))).join(F.broadcast(bounds), "lang").filter("seed <= bound")
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("seed", "doc_id")) <= most
+    if len(shares) <= BROADCAST_ROWS:
+        # Texts aren't shuffled before they are drawn.
+        bounds = F.broadcast(bounds)
+    drawn = known.join(bounds, "lang").filter("seed <= bound").dropDuplicates(["lang", "seed"])
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("seed")) <= most
     found = _counted(drawn.withColumn("first", first).filter("first")).collect()
     found.sort(key=lambda r: (r.seed, r.lang, r.buckets))
     rows = [

@@ -161,18 +161,23 @@ def mixed_documents(docs: DataFrame, id_columns: tuple[str, ...]) -> DataFrame:
 
     ``id_columns`` tell rows apart. ``n_chars`` follows the text; other columns stay.
     """
-    found = mix(docs, id_columns).filter("taken > 0").select(
-        *[F.col(c).alias(f"_{c}") for c in id_columns], *[F.col(c).alias(f"_{c}") for c in ("size", "taken", "rounds", "around", "first", "last")]
-    )
-    same = [docs[c] == found[f"_{c}"] for c in id_columns]
-    rows = docs.join(found, same).withColumn("_rest", F.col("_taken") - F.col("_rounds") * F.col("_size"))
-    whole = F.when(F.col("_rest") == F.col("_size"), F.col("_rounds") + 1).otherwise(F.col("_rounds"))
+    # Names that no column of the documents has.
+    prefix = "_mix_"
+    while any(c.startswith(prefix) for c in docs.columns):
+        prefix = f"_{prefix}"
+    own = lambda name: F.col(f"{prefix}{name}")
+    carried = (*id_columns, "size", "taken", "rounds", "around", "first", "last")
+    found = mix(docs.select("doc_id", "source", "text", *[c for c in id_columns if c != "doc_id"]), id_columns)
+    found = found.filter("taken > 0").select(*[F.col(c).alias(f"{prefix}{c}") for c in carried])
+    same = [docs[c] == found[f"{prefix}{c}"] for c in id_columns]
+    size, first, last = own("size"), own("first"), own("last")
+    rows = docs.join(found, same).withColumn(f"{prefix}rest", own("taken") - own("rounds") * size)
+    whole = F.when(own("rest") == size, own("rounds") + 1).otherwise(own("rounds"))
     words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
     cut = F.when(
-        F.col("_around"),
-        F.concat(F.slice(words, F.lit(1), F.col("_last")), F.slice(words, F.col("_first") + 1, F.col("_size") - F.col("_first"))),
-    ).otherwise(F.slice(words, F.col("_first") + 1, F.greatest(F.col("_last") - F.col("_first"), F.lit(0))))
-    part = F.when((F.col("_rest") > 0) & (F.col("_rest") < F.col("_size")), F.array_join(cut, " "))
+        own("around"), F.concat(F.slice(words, F.lit(1), last), F.slice(words, first + 1, size - first))
+    ).otherwise(F.slice(words, first + 1, F.greatest(last - first, F.lit(0))))
+    part = F.when((own("rest") > 0) & (own("rest") < size), F.array_join(cut, " "))
     texts = F.concat(F.array_repeat("text", whole.cast("int")), F.filter(F.array(part), lambda t: t.isNotNull()))
     kept = [c for c in docs.columns if c != "text"]
     out = rows.select(*[docs[c] for c in kept], F.explode(texts).alias("text"))

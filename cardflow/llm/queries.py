@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardflow.llm import (
@@ -33,6 +33,11 @@ TIKTOKEN_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 THIN_HTML = 1000
 
 
+def held_out(modulus: int, rest: int) -> Column:
+    """Rows that nothing is learned from; one with a null id isn't among them."""
+    return F.coalesce(remainder("doc_id", modulus) == rest, F.lit(False)).alias("held_out")
+
+
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan_documents(table(spark, sf_dir, "documents")))
 
@@ -51,7 +56,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language_id.identify(docs, language_id.fit(docs, remainder("doc_id", 4) != 2))
-    return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", held_out(4, 2), "lang_pred", "score")
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +93,7 @@ def quality_model(spark: SparkSession, sf_dir: str) -> quality_zstd.Model:
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = quality_zstd.score_documents(docs, quality_model(spark, sf_dir))
-    return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", held_out(5, 0), "score", "predicted")
 
 
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
