@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timedelta
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardflow.functions.columns import spread_key
@@ -40,56 +39,64 @@ def pick_by_priority(
     return candidates.withColumn("_rank", F.row_number().over(best)).filter("_rank = 1").drop("_rank")
 
 
-def _cut_bucket(df: DataFrame, level: Column, wanted: int) -> Row | None:
-    """Bucket of ``level`` that holds the ``wanted``-th row, with the rows up to it.
-
-    One grouped count, of which one row reaches the driver. The running total is
-    over one row per bucket; each caller's levels have a fixed number of buckets.
-    """
-    running = Window.partitionBy(F.lit(0)).orderBy("bucket")
-    return (
-        df.groupBy(level.alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", F.sum("n").over(running))
-        .filter(F.col("upto") >= wanted)
-        .orderBy("bucket")
-        .limit(1)
-        .first()
-    )
+# A percentile sketch errs by one of so many rows at most, and rows that are simply sorted.
+ACCURACY = 10_000
+SORTED_ROWS = 20_000
 
 
-def _find_cut(df: DataFrame, levels: Sequence[Column], wanted: int) -> list | None:
-    """Buckets, one per level, that lead to the ``wanted``-th row in level order.
+def _nth_row(rows: DataFrame, n: int, wanted: int) -> tuple | None:
+    """Values of all columns, whole numbers, of the ``wanted``-th of ``n`` rows in their order.
 
-    The position is narrowed level by level, so no level sorts the rows and none
-    sends them to one task. ``levels`` must be fine enough to tell all rows apart;
-    rows equal in all of them stay together. None when the table is smaller.
+    A percentile sketch brackets the value of the first column in one pass, and exact counts
+    around the bracket in a second one tell where the row is, so a sketch that errs costs a
+    pass and no row. A bracket has some thousandth of the rows; a few rows left are sorted,
+    and rows of one value are told apart by the next column. None when the table is smaller.
     """
-    within: Column = F.lit(True)
-    rest, found = wanted, []
-    for level in levels:
-        cut = _cut_bucket(df.filter(within), level, rest)
-        if cut is None:
-            return None
-        found.append(cut["bucket"])
-        if cut["upto"] == rest:
-            break
-        within = within & (level == F.lit(cut["bucket"]))
-        rest -= cut["upto"] - cut["n"]
-    return found
-
-
-def _up_to(levels: Sequence[Column], found: list) -> Column:
-    """Condition for the rows up to and including the buckets of ``_find_cut``."""
+    if wanted > n:
+        return None
+    found: list[int] = []
+    for name in rows.columns:
+        value = F.col(name)
+        while n > SORTED_ROWS:
+            around = [min(1.0, max(0.0, (wanted + step * n / ACCURACY) / n)) for step in (-2, 2)]
+            low, high = rows.agg(F.percentile_approx(name, around, ACCURACY).alias("ends")).first()["ends"]
+            below, at_low, between, at_high = rows.agg(
+                F.count_if(value < low),
+                F.count_if(value == low),
+                F.count_if((value > low) & (value < high)),
+                F.count_if((value == high) & (value > low)),
+            ).first()
+            parts = [
+                (value < low, below),
+                (value == low, at_low),
+                ((value > low) & (value < high), between),
+                (value == high, at_high),
+                (value > high, n - below - at_low - between - at_high),
+            ]
+            for which, (condition, n) in enumerate(parts):  # noqa: B007
+                if wanted <= n:
+                    break
+                wanted -= n
+            rows = rows.filter(condition)
+            if which in (1, 3):
+                found.append(low if which == 1 else high)
+                break
+        if n <= SORTED_ROWS:
+            return tuple(rows.orderBy(*rows.columns).offset(wanted - 1).limit(1).first())
+    return tuple(found)
+
+
+def _up_to(levels: Sequence[Column], found: Sequence) -> Column:
+    """Condition for the rows up to and including one with the values of ``_nth_row``."""
     condition: Column = F.lit(True)
-    for level, bucket in reversed(list(zip(levels, found))):
-        condition = (level < F.lit(bucket)) | ((level == F.lit(bucket)) & condition)
+    for level, value in reversed(list(zip(levels, found, strict=True))):
+        condition = (level < F.lit(value)) | ((level == F.lit(value)) & condition)
     return condition
 
 
 def _key_levels(key: Column) -> list[Column]:
-    """A 32-digit hex key as eight levels of at most 65,536 buckets each."""
-    return [F.substring(key, 1 + 4 * i, 4) for i in range(8)]
+    """A 32-digit hex key as three whole numbers."""
+    return [F.conv(F.substring(key, at, length), 16, 10).cast("long") for at, length in ((1, 15), (16, 15), (31, 2))]
 
 
 # Rows without a time come after all others.
@@ -106,45 +113,33 @@ def _row_key(row_id: str, seed: int | None = None) -> Column:
 
 
 def _content_key(df: DataFrame) -> Column:
-    """Sixteen hex digits of a row's content, which order rows of one id or none."""
-    return F.lpad(F.hex(F.xxhash64(*df.columns)), 16, "0")
+    """A number of a row's content, which orders rows of one id or none."""
+    return F.xxhash64(*df.columns)
 
 
-def _content_levels(key: Column) -> list[Column]:
-    return [F.substring(key, 1 + 4 * i, 4) for i in range(4)]
+def _named(levels: Sequence[Column]) -> list[Column]:
+    return [level.alias(f"_level_{k}") for k, level in enumerate(levels)]
 
 
 def _time_cut(
     df: DataFrame, ts: str, row_id: str, fraction: float
-) -> tuple[Column, datetime] | None:
-    """Condition for the first ``int(n * fraction)`` rows, and the day of the cut."""
+) -> tuple[Column, int] | None:
+    """Condition for the first ``int(n * fraction)`` rows, and the time of the cut in microseconds."""
+    levels = lambda time, key, content: [F.unix_micros(time), *_key_levels(key), content]
     keys = df.select(
-        _time_or_last(ts).alias("_time"), _row_key(row_id).alias("_key"), _content_key(df).alias("_content")
+        _time_or_last(ts).alias("_time"), F.col(row_id).alias("_id"), _content_key(df).alias("_content")
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        wanted = int(keys.count() * fraction)
+        n = keys.count()
+        wanted = int(n * fraction)
         if wanted == 0:
             return None
-        time = F.col("_time")
-        levels = [
-            F.date_trunc("day", time),
-            F.date_trunc("second", time),
-            time,
-            *_key_levels(F.col("_key")),
-            *_content_levels(F.col("_content")),
-        ]
-        found = _find_cut(keys, levels, wanted)
+        # The key of an id is made where times tie, not for all rows.
+        rows = keys.select(*_named(levels(F.col("_time"), _row_key("_id"), F.col("_content"))))
+        found = _nth_row(rows, n, wanted)
     finally:
         keys.unpersist()
-    time = _time_or_last(ts)
-    levels = [
-        F.date_trunc("day", time),
-        F.date_trunc("second", time),
-        time,
-        *_key_levels(_row_key(row_id)),
-        *_content_levels(_content_key(df)),
-    ]
-    return _up_to(levels, found), found[0]
+    return _up_to(levels(_time_or_last(ts), _row_key(row_id), _content_key(df)), found), found[0]
 
 
 def mark_train(
@@ -169,9 +164,10 @@ def temporal_split(
     cut = _time_cut(df, ts, row_id, fraction)
     if cut is None:
         return df.filter(F.lit(False)), df
-    train, day = cut
+    train, micros = cut
     kind = df.schema[ts].dataType
-    start, end = F.lit(day).cast(kind), F.lit(day + timedelta(days=1)).cast(kind)
+    day = F.date_trunc("day", F.timestamp_micros(F.lit(micros)))
+    start, end = day.cast(kind), (day + F.expr("INTERVAL 1 DAY")).cast(kind)
     unknown = F.col(ts).isNull()
     return (
         df.filter(((F.col(ts) < end) | unknown) & train),
@@ -193,25 +189,29 @@ def stratified_snapshot(
     count in the rate but are not drawn. Drawn are the smallest spread keys; rows of
     one id, or without one, follow their content.
     """
+    levels = lambda key, content: [*_key_levels(key), content]
     keys = df.select(
-        F.col(label).alias("_label"), _row_key(row_id, seed).alias("_key"), _content_key(df).alias("_content")
+        F.col(label).alias("_label"), F.col(row_id).alias("_id"), _content_key(df).alias("_content")
     ).persist(StorageLevel.MEMORY_AND_DISK)
-    levels = [*_key_levels(_row_key(row_id, seed)), *_content_levels(_content_key(df))]
+    own = levels(_row_key(row_id, seed), _content_key(df))
     try:
         totals = keys.agg(
-            F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_label") == 1).alias("positives")
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("_label") == 1).alias("positives"),
+            F.count_if(F.col("_label") == 0).alias("negatives"),
         ).first()
         if totals["rows"] <= size:
             return df
         positives = max(1, int(size * (totals["positives"] / totals["rows"])))
         drawn = F.lit(False)
-        for value, wanted in ((1, positives), (0, size - positives)):
+        strata = ((1, positives, totals["positives"]), (0, size - positives, totals["negatives"]))
+        for value, wanted, n in strata:
             part = F.col(label) == value
             if wanted:
                 stratum = keys.filter(F.col("_label") == value)
-                known = [*_key_levels(F.col("_key")), *_content_levels(F.col("_content"))]
-                found = _find_cut(stratum, known, wanted)
-                drawn = drawn | (part & _up_to(levels, found) if found else part)
+                stratum = stratum.select(*_named(levels(_row_key("_id", seed), F.col("_content"))))
+                found = _nth_row(stratum, n, wanted)
+                drawn = drawn | (part & _up_to(own, found) if found else part)
         return df.filter(drawn)
     finally:
         keys.unpersist()

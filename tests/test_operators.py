@@ -294,3 +294,35 @@ def test_fixture_checkpoints(spark):
         F.round(F.sum(F.abs("amount_zscore")), 4),
     ).first()
     assert tuple(row) == (1066, 267, 38, 361.6046)
+
+
+def test_nth_row_by_brackets_equals_a_sort(spark, monkeypatch):
+    """Ties of a third of the rows, two values that halve the table, and few jobs."""
+    monkeypatch.setattr(selection, "SORTED_ROWS", 20)
+    monkeypatch.setattr(selection, "ACCURACY", 100)
+    rng = random.Random(4)
+    tables = [
+        [(rng.randrange(10**12), k) for k in range(3000)],
+        [(7 if k % 3 else rng.randrange(20), rng.randrange(900)) for k in range(2000)],
+        [(k % 2, 5) for k in range(400)],
+        [(-(2**62), 2**62)] * 100,
+    ]
+    for data in tables:
+        rows = spark.createDataFrame(data, "a long, b long")
+        for wanted in (1, 2, len(data) // 3, len(data) // 2, len(data) // 2 + 1, len(data)):
+            assert selection._nth_row(rows, len(data), wanted) == sorted(data)[wanted - 1]
+        assert selection._nth_row(rows, len(data), len(data) + 1) is None
+
+
+def test_cuts_take_few_passes(spark, monkeypatch):
+    passes = []
+    kind = type(spark.range(1))
+    first = kind.first
+    monkeypatch.setattr(kind, "first", lambda df: passes.append(1) or first(df))
+    rows = spark.range(60_000).select(
+        F.col("id").cast("string").alias(ID), F.timestamp_seconds(F.col("id") * 7).alias(TS), (F.col("id") % 50 == 0).cast("int").alias(LABEL)
+    )
+    train, test = selection.temporal_split(rows)
+    assert (train.count(), test.count(), len(passes)) == (48_000, 12_000, 3)
+    passes.clear()
+    assert selection.stratified_snapshot(rows, 1000).count() == 1000 and len(passes) <= 6
