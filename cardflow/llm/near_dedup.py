@@ -5,21 +5,25 @@ coordinates of a signature: sigma shuffles the universe of 2^32 hashes once, and
 k is the smallest pi(sigma(shingle) + k), that is pi shifted in a circle by k. With 32
 bands of 4 coordinates a pair of similarity 0.75 is missed with probability 5e-6.
 
-1. Documents with equal sets are one class; only the smallest id of a class goes on.
-2. The smallest id in a bucket is its pivot. Every document is compared with its pivots, and
-   components are merged.
-3. In buckets that still hold several components, pairs of documents of different components
-   are compared, but for those that the sizes of their sets, their distances to the pivot
-   (Jaccard distance is a metric) or longer signatures rule out. So a group of near copies
-   costs a comparison for each copy, not for each pair.
-
-Comparisons are on full sets of 64-bit shingle hashes: 100 * shared >= 75 * union. Nothing
-is collected but two yes/no answers for each round.
+1. Documents with equal sets are one class, a node.
+2. In a bucket, the node that shares most buckets with most others is the pivot: of a group
+   of edited copies that is mostly the text they were made from. Every node is compared with
+   the pivots of its buckets, and components are merged.
+3. What a pivot's group still leaves open are pairs of different components. All of them are
+   compared, inside tasks: a task holds a bounded block of the nodes that are outside the
+   pivot's component, the other nodes of the group stream past it, and one pass over the
+   block gives all shared counts of a node. Only a link between two components leaves the
+   task, so a group is never written as pairs.
+
+Comparisons are on full sets of 64-bit shingle hashes: 100 * shared >= 75 * union. No pair of
+a bucket is left out by a rule that may err. Nothing is collected but two yes/no answers for
+each round.
 
 Edge cases: null, empty and blank texts have an empty set and are linked with nothing. Rows
-that repeat a doc_id each get the component of their own text. A null doc_id takes part
-through equal sets only: its component is that of its class (null without one), and it is
-kept only without one.
+that repeat a doc_id each get the component of their own text. A row with a null doc_id gets
+its component like others, and is kept if no row of its component has an id. When copies are
+dropped, exactly one row of each component stays, the one with the smallest id (null last),
+of equal ids the first by file and row; rows with empty sets all stay.
 """
 
 from __future__ import annotations
@@ -31,8 +35,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cardflow.llm.common import arrow_map, stored
+from cardflow.llm.common import BATCH_ROWS, stored
+from cardflow.llm.exact_dedup import LOCATOR, located
 
 WORDS = 5
 BANDS = 32
@@ -45,10 +51,9 @@ _SPACE[[32, *range(9, 14)]] = True
 # Bytes hashed at a time, and coordinates of shingles made at a time.
 SEGMENT = 1 << 20
 CELLS = 1 << 16
-# Longer signatures of one bit a coordinate. Those of two sets of similarity 0.75 differ in
-# 128 bits on average, and in more than 180 with a probability of about 1e-6.
-LONG_BITS = 1024
-MOST_DIFFERENT = 180
+# Shingles of the sets that a task holds, and of those that stream past them, about.
+HELD = 1 << 18
+STREAMED = 1 << 21
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -133,66 +138,167 @@ def bands(least: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_digest, bands of every row; the last two null for empty sets."""
+def _over_texts(rows: DataFrame, function, outputs: str) -> DataFrame:
+    """Columns of ``rows`` but the last, a text, and what ``function`` makes of the sets of texts."""
+    columns = rows.columns[:-1]
+    schema = T.StructType([*rows.schema.fields[:-1], *T.StructType.fromDDL(outputs).fields])
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
-        names = ["doc_id", "n_shingles", "set_digest", "bands"]
         for batch in source:
-            sets = [shingles(hasher(t)) for t in batch.column(1).to_pylist()]
-            digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-            keys = [bands(signature(s, BANDS * BAND_ROWS)) if len(s) else None for s in sets]
-            columns = [
-                batch.column(0),
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array(digests, pa.binary()),
-                pa.array(keys, pa.list_(pa.int64())),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            sets = [shingles(hasher(t.as_py())) for t in batch.column(len(columns))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *function(sets)], schema.names)
 
-    return arrow_map(docs, ["doc_id", "text"], batches, "n_shingles long, set_digest binary, bands array<long>")
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return rows.mapInArrow(batches, schema)
 
 
-def long_signature(hashes: np.ndarray) -> list[int]:
-    """The lowest bits of ``LONG_BITS`` coordinates, in 64-bit numbers."""
-    return np.packbits((signature(hashes, LONG_BITS) & 1).astype(bool)).view(np.int64).tolist()
+def sketches(rows: DataFrame) -> DataFrame:
+    """doc_id, locator, n_shingles, set_digest, bands of every row; the last two null for empty sets."""
 
+    def sketch(sets: list[np.ndarray]) -> list[pa.Array]:
+        digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+        keys = [bands(signature(s, BANDS * BAND_ROWS)) if len(s) else None for s in sets]
+        sizes = pa.array([len(s) for s in sets], pa.int64())
+        return [sizes, pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, the whole set as sorted 64-bit hashes in binary, and its long signature."""
+    outputs = "n_shingles long, set_digest binary, bands array<long>"
+    return _over_texts(rows.select("doc_id", *LOCATOR, "text"), sketch, outputs)
 
-    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
-        for batch in source:
-            sets = [shingles(hasher(t)) for t in batch.column(1).to_pylist()]
-            bits = pa.array([long_signature(s) for s in sets], pa.list_(pa.int64()))
-            hashes = pa.array([s.tobytes() for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), hashes, bits], ["doc_id", "hashes", "bits"])
 
-    return arrow_map(docs, ["doc_id", "text"], batches, "hashes binary, bits array<long>")
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """node and its whole set as sorted 64-bit hashes in binary, of (node, text)."""
+    return _over_texts(texts, lambda sets: [pa.array([s.tobytes() for s in sets], pa.binary())], "hashes binary")
 
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """low, high, distance (1 - similarity of the whole sets), linked of pairs (low, high)."""
+    """pivot, node, size (of the node's set), distance (1 - similarity of whole sets), linked."""
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["low", "high", "distance", "linked"]
         for batch in source:
-            distance, link = [], []
+            size, distance, link = [], [], []
             for one, other in zip(*(batch.column(k).to_pylist() for k in (2, 3)), strict=True):
                 a, b = np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64)
                 shared = len(np.intersect1d(a, b, assume_unique=True))
                 union = len(a) + len(b) - shared
+                size.append(len(b))
                 distance.append(1 - shared / union)
                 link.append(100 * shared >= PERCENT * union)
-            columns = [batch.column(0), batch.column(1), pa.array(distance, pa.float64()), pa.array(link, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            found = [pa.array(size, pa.int64()), pa.array(distance, pa.float64()), pa.array(link, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *found], ["pivot", "node", "size", "distance", "linked"])
+
+    one, other = (sets.select(F.col("node").alias(x), F.col("hashes").alias(f"of_{x}")) for x in ("pivot", "node"))
+    both = pairs.join(one, "pivot").join(other, "node").select("pivot", "node", "of_pivot", "of_node")
+    return both.mapInArrow(batches, "pivot long, node long, size long, distance double, linked boolean")
+
+
+class Block:
+    """Sets held in a task, and the links between their components and those of others."""
+
+    def __init__(self, nodes: list[int], roots: list[int], distances: list[float], sets: list[np.ndarray]):
+        self.nodes, self.distances = np.array(nodes), np.array(distances)
+        self.sizes = np.array([len(s) for s in sets])
+        self.starts = np.append(0, self.sizes.cumsum()[:-1])
+        self.values, self.place = np.unique(np.concatenate(sets), return_inverse=True)
+        self.marked = np.zeros(len(self.values) + 1, bool)
+        self.roots = roots
+        self.parent: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while (above := self.parent.get(x, x)) != x:
+            x = above
+        return x
+
+    def links(self, node: int, root: int, outside: bool, distance: float, hashes: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Pairs of roots that ``node`` links, none of them linked in this block before."""
+        # Jaccard distance is a metric; a link's is at most 1 - PERCENT / 100.
+        fits = np.abs(self.distances - distance) <= 1 - PERCENT / 100 + 1e-9
+        fits &= 100 * np.minimum(self.sizes, len(hashes)) >= PERCENT * np.maximum(self.sizes, len(hashes))
+        if outside:  # such a pair meets twice
+            fits &= self.nodes > node
+        which = np.flatnonzero(fits)
+        own = self.root(root)
+        if all(self.root(self.roots[k]) == own for k in which.tolist()):
+            return
+        at = np.searchsorted(self.values, hashes)
+        at = at[self.values[np.minimum(at, len(self.values) - 1)] == hashes]
+        self.marked[at] = True
+        shared = np.add.reduceat(self.marked[self.place], self.starts, dtype=np.int64)
+        self.marked[at] = False
+        union = self.sizes + len(hashes) - shared
+        for k in np.flatnonzero(fits & (100 * shared >= PERCENT * union)).tolist():
+            other, own = self.root(self.roots[k]), self.root(root)
+            if other != own:
+                low, high = min(own, other), max(own, other)
+                self.parent[high] = low
+                yield low, high
+
+
+def cross_links(met: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (low, high) between roots, from all pairs of a pivot's group that are still open."""
+    rows = _with_root(_with_root(met.select("pivot", "node", "size", "distance"), roots, "node", "root"), roots, "pivot", "core")
+    rows = stored(rows.withColumn("outside", F.col("root") != F.col("core")), "rooted")
+    groups = rows.groupBy("pivot").agg(
+        F.count_if("outside").alias("outsiders"),
+        F.count(F.lit(1)).alias("members"),
+        F.sum(F.when(F.col("outside"), F.col("size"))).alias("held"),
+        F.sum("size").alias("streamed"),
+    )
+    parts = lambda size, part: F.ceil(F.col(size) / part).cast("int")
+    groups = groups.filter("outsiders >= 1 and members >= 2")
+    groups = stored(groups.select("pivot", parts("held", HELD).alias("blocks"), parts("streamed", STREAMED).alias("chunks")), "groups")
+    rows = rows.join(groups, "pivot")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    chunk = F.pmod(F.xxhash64("node", F.lit(1)), F.col("chunks")).cast("int")
+    seat = lambda b, c, held, streamed: F.struct(
+        b.alias("block"), c.alias("chunk"), held.alias("held"), streamed.alias("streamed")
+    )
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    yes, no = F.lit(True), F.lit(False)
+    # An outsider is held in its block for all chunks, and streams past the other blocks.
+    held = F.transform(upto("chunks"), lambda c: seat(block, c, yes, c == chunk))
+    past = F.transform(upto("blocks"), lambda b: seat(b, chunk, no, yes))
+    seats = F.when(F.col("outside"), F.concat(held, F.filter(past, lambda x: x["block"] != block))).otherwise(past)
+    seated = rows.select("pivot", "node", "root", "outside", "distance", F.explode(seats).alias("s"))
+    seated = seated.select("pivot", "s.block", "s.chunk", "s.held", "s.streamed", "node", "root", "outside", "distance")
+    seated = seated.join(sets, "node").select(*seated.columns, "hashes")
 
-    low, high = (sets.select(F.col("doc_id").alias(x), F.col("hashes").alias(f"of_{x}")) for x in ("low", "high"))
-    both = pairs.select("low", "high").join(low, "low").join(high, "high").select("low", "high", "of_low", "of_high")
-    kind = both.schema["low"].dataType.simpleString()
-    return both.mapInArrow(batches, f"low {kind}, high {kind}, distance double, linked boolean")
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, seats, block = None, [], None
+        for batch in source:
+            found = []
+            for *key, is_held, streams, node, root, outside, distance, hashes in zip(
+                *(c.to_pylist() for c in batch.columns), strict=True
+            ):
+                if key != at:
+                    found += settle(seats)
+                    at, seats, block = key, [], None
+                values = np.frombuffer(hashes, np.uint64)
+                if is_held:
+                    seats.append((node, root, distance, values, streams))
+                    continue
+                if block is None:
+                    block = Block(*(list(c) for c in list(zip(*seats, strict=True))[:4])) if seats else None
+                    found += settle(seats, block)
+                    seats = []
+                if block is not None:
+                    found += block.links(node, root, outside, distance, values)
+            if found:
+                low, high = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(low, pa.int64()), pa.array(high, pa.int64())], ["low", "high"])
+        if last := settle(seats):
+            low, high = zip(*last, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(low, pa.int64()), pa.array(high, pa.int64())], ["low", "high"])
+
+    def settle(seats: list[tuple], block: Block | None = None) -> list[tuple[int, int]]:
+        """Links among the held ones that stream, too."""
+        if not seats:
+            return []
+        block = block or Block(*(list(c) for c in list(zip(*seats, strict=True))[:4]))
+        return [x for node, root, distance, values, streams in seats if streams for x in block.links(node, root, True, distance, values)]
+
+    ordered = seated.repartition("pivot", "block", "chunk").sortWithinPartitions("pivot", "block", "chunk", F.col("held").desc())
+    return ordered.mapInArrow(batches, "low long, high long")
 
 
 def _flat(parents: DataFrame) -> DataFrame:
@@ -243,69 +349,71 @@ def _with_root(rows: DataFrame, roots: DataFrame, node: str, name: str) -> DataF
     return rows.join(over, node, "left").withColumn(name, F.coalesce(name, node))
 
 
-def _second_round(members: DataFrame, met: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs that may be linked across components: in one bucket, with different roots.
+def resolve(rows: DataFrame) -> DataFrame:
+    """doc_id, locator, n_shingles, root, component_id of rows of doc_id, locator and text.
 
-    One of the two is then outside the component of the bucket's pivot. Jaccard distance is
-    a metric, so documents whose distances to the pivot differ by more than a link allows
-    can't be linked; nor can sets of too different sizes. Pairs whose long signatures differ
-    too much are refused like pairs that share no band, with as small a chance to err. A pair
-    that meets in several buckets is taken in the first.
+    ``root`` stands for the component and is null for empty sets; ``component_id`` is its
+    smallest doc_id.
     """
-    apart = met.select(F.col("low").alias("pivot"), F.col("high").alias("doc_id"), "distance")
-    rows = members.join(apart, ["pivot", "doc_id"], "left").na.fill(0.0, ["distance"])
-    rows = _with_root(_with_root(rows, roots, "doc_id", "root"), roots, "pivot", "core")
-    rows = stored(rows, "rooted-members")
-    mixed = stored(rows.filter("root <> core").select("key").distinct(), "mixed-buckets")
-    rows = stored(rows.join(mixed, "key", "left_semi"), "mixed-members")
-    # At most one key for each band.
-    keys = stored(rows.groupBy("doc_id").agg(F.array_sort(F.collect_set("key")).alias("keys")), "mixed-keys")
-    rows = rows.join(keys, "doc_id").join(sets.select("doc_id", "bits"), "doc_id")
-    rows = stored(rows, "mixed-members")
-    columns = ["doc_id", "root", "core", "n_shingles", "distance", "keys", "bits"]
-    one, other = (rows.select("key", *[F.col(c).alias(f"{c}_{x}") for c in columns]) for x in "ab")
-    fits = (F.col("root_b") == F.col("core_b")) | (F.col("root_a") < F.col("root_b"))
-    fits &= 100 * F.least("n_shingles_a", "n_shingles_b") >= PERCENT * F.greatest("n_shingles_a", "n_shingles_b")
-    fits &= F.abs(F.col("distance_a") - F.col("distance_b")) <= 1 - PERCENT / 100 + 1e-9
-    bits = [(F.get("bits_a", F.lit(k)), F.get("bits_b", F.lit(k))) for k in range(LONG_BITS // 64)]
-    fits &= sum((F.bit_count(a.bitwiseXOR(b)) for a, b in bits), F.lit(0)) <= MOST_DIFFERENT
-    fits &= F.get(F.array_intersect("keys_a", "keys_b"), F.lit(0)) == one["key"]
-    pairs = one.filter("root_a <> core_a").join(other, (one["key"] == other["key"]) & fits)
-    return pairs.select(F.least("doc_id_a", "doc_id_b").alias("low"), F.greatest("doc_id_a", "doc_id_b").alias("high"))
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
+    sketched = stored(sketches(rows), "sketches")
+    # All rows of a class have the same bands and size.
+    classes = sketched.filter("set_digest is not null").groupBy("set_digest").agg(
+        F.min("doc_id").alias("label"),
+        F.min(F.struct(*LOCATOR)).alias("at"),
+        F.any_value("bands").alias("bands"),
+    )
+    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
-
-def label(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row of ``docs``."""
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
-    rows = stored(sketches(docs), "sketches")
-    classes = rows.filter("set_digest is not null").groupBy("set_digest").agg(F.min("doc_id").alias("doc_id"))
-    classes = stored(classes.filter("doc_id is not null"), "classes")
     # Written tables, so that Spark shuffles both sides of a join for the join and can
     # split a bucket, a pivot or a class that many rows have.
-    reps = rows.join(classes, ["set_digest", "doc_id"], "left_semi")
-    keyed = reps.select("doc_id", "n_shingles", F.explode("bands").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last"))
-    buckets = stored(buckets.filter("pivot < last").select("key", "pivot"), "buckets")
+    keyed = classes.select("node", F.explode("bands").alias("key"))
+    buckets = stored(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1"), "buckets")
     members = stored(keyed.join(buckets, "key"), "members")
-    sets = stored(shingle_sets(docs.join(members.select("doc_id").distinct(), "doc_id", "left_semi")), "sets")
+    # The more others a node meets, the better a pivot it is.
+    weights = stored(members.groupBy("node").agg(F.sum("rows").alias("weight")), "weights")
+    members = members.join(weights, "node").select("key", "node", "weight")
+    pivots = members.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("best"))
+    pivots = stored(pivots.select("key", F.col("best.node").alias("pivot")), "pivots")
+    pairs = members.join(pivots, "key").filter("pivot <> node").select("pivot", "node").distinct()
+    chosen = classes.join(weights, "node").select("node", "at.*")
+    texts = rows.select(*LOCATOR, "text").join(chosen, LOCATOR).select("node", "text")
+    sets = stored(shingle_sets(texts), "sets")
+
+    met = stored(compared(stored(pairs, "pairs"), sets), "met")
+    ends = lambda a, b: (F.least(a, b).alias("low"), F.greatest(a, b).alias("high"))
+    roots = components(met.filter("linked").select(*ends("pivot", "node")))
+    roots = _combined(roots, components(cross_links(met, roots, sets)))
+
+    at = stored(_with_root(classes.select("set_digest", "node", "label"), roots, "node", "root"), "class-roots")
+    least = stored(at.groupBy("root").agg(F.min("label").alias("component_id")), "component-ids")
+    at = stored(at.join(least, "root").select("set_digest", "root", "component_id"), "class-components")
+    return sketched.drop("bands").join(at, "set_digest", "left").drop("set_digest")
 
-    pairs = members.filter("pivot < doc_id").select(F.col("pivot").alias("low"), F.col("doc_id").alias("high"))
-    met = stored(compared(stored(pairs.distinct(), "pairs"), sets), "met")
-    roots = components(met.filter("linked"))
-    later = compared(stored(_second_round(members, met, roots, sets), "pairs"), sets).filter("linked")
-    roots = _combined(roots, components(_ends_at_roots(later, roots)))
 
-    at = classes.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    at = stored(at.select("set_digest", F.coalesce("root", "doc_id").alias("component_id")), "class-components")
-    found = rows.drop("bands").join(at, "set_digest", "left")
+def label(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row of ``docs``."""
+    found = resolve(located(docs, ["doc_id", "text"]))
     # An empty set is a component of its own.
-    own = F.when(F.col("set_digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    found = found.withColumn("component_id", own)
+    found = found.withColumn("component_id", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The documents that stay, one of each component, all columns as they were."""
-    dropped = label(docs.select("doc_id", "text")).filter(~F.col("kept") & F.col("doc_id").isNotNull())
-    return docs.join(dropped.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    names = LOCATOR
+    while set(names) & set(docs.columns):
+        names = [f"{n}_" for n in names]
+    placed = located(docs, docs.columns, names)
+    here = [F.col(own).alias(name) for own, name in zip(names, LOCATOR, strict=True)]
+    found = stored(resolve(placed.select("doc_id", "text", *here)).filter("root is not null"), "components")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", *LOCATOR)).alias("first")
+    groups = found.groupBy("root").agg(first, F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    groups = stored(groups.select("root", *[F.col(f"first.{n}").alias(f"first_{n}") for n in LOCATOR]), "first-rows")
+    stays = F.lit(True)
+    for name in LOCATOR:
+        stays &= F.col(name) == F.col(f"first_{name}")
+    dropped = found.join(groups, "root").filter(~stays).select(*LOCATOR)
+    same = [placed[own] == dropped[name] for own, name in zip(names, LOCATOR, strict=True)]
+    return placed.join(dropped, same, "left_anti").drop(*names)

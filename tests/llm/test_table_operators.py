@@ -210,6 +210,38 @@ def test_near_dedup_edges(spark):
         {(None, 3, False): 1, (3, 3, True): 2, (None, None, True): 1, (4, 4, True): 1, (5, 5, True): 1, (6, 6, True): 1}
     )
     assert near_dedup.label(docs.limit(0)).count() == 0
+    stay = near_dedup.drop_near_copies(docs).collect()
+    assert Counter(r.doc_id for r in stay) == Counter({3: 1, None: 1, 4: 1, 5: 1, 6: 1})
+    assert near_dedup.drop_near_copies(docs.limit(0)).count() == 0
+
+
+def test_near_copies_of_repeated_ids(spark):
+    """An id with two texts stands in two components, and each keeps one row."""
+    a, b = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
+    rows = [(1, a), (2, a + " more"), (2, b), (3, b + " more"), (2, b), (None, a), (None, "c d e f g h"), (None, "c d e f g h")]
+    docs = spark.createDataFrame([(*r, "x", 7) for r in rows], "doc_id long, text string, at_file string, root int")
+    found = Counter((r.doc_id, r.component_id, r.kept) for r in near_dedup.label(docs).collect())
+    assert found == Counter({(1, 1, True): 1, (2, 1, False): 1, (2, 2, True): 2, (3, 2, False): 1, (None, 1, False): 1, (None, None, True): 2})
+    stay = near_dedup.drop_near_copies(docs)
+    assert stay.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in stay.collect()) == Counter({(1, a): 1, (2, b): 1, (None, "c d e f g h"): 1})
+
+
+def test_near_dedup_of_one_large_group(spark, monkeypatch):
+    """A group whose members are mostly no links of its pivot, over several blocks and chunks."""
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(80)]
+    rows = []
+    for n in range(300):
+        words = list(base)
+        for _ in range(rng.randrange(1, 8)):
+            words[rng.randrange(80)] = f"x{n}_{rng.randrange(99)}"
+        rows.append((n, " ".join(words)))
+    monkeypatch.setattr(near_dedup, "HELD", 2000)
+    monkeypatch.setattr(near_dedup, "STREAMED", 5000)
+    found = {r.doc_id: r for r in near_dedup.label(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for d, (size, root) in brute_components(rows).items():
+        assert (found[d].n_shingles, found[d].component_id) == (size, root)
 
 
 def test_signature_estimates_similarity():
