@@ -17,6 +17,11 @@ def moment(time: datetime, kind: str | DataType = "timestamp") -> Column:
     return F.lit(time.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(kind)
 
 
+def moment_text(time: datetime | None) -> str | None:
+    """A time as ISO text in whole seconds, as results carry it; None stays None."""
+    return None if time is None else time.strftime("%Y-%m-%dT%H:%M:%S")
+
+
 def is_night_hour(hour: Column) -> Column:
     return F.coalesce(hour.isin(*NIGHT_HOURS).cast("int"), F.lit(0))
 

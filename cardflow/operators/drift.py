@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardflow.functions.columns import ratio
+from cardflow.functions.columns import moment_text, ratio
 from cardflow.functions.pvalues import chi2_tail, kolmogorov_tail, normal_two_sided
 from cardflow.operators.cumulative import running_totals
 from cardflow.schema import (
@@ -19,6 +20,9 @@ from cardflow.schema import (
     MODEL_COLS,
 )
 
+# Columns that the whole decision counts beside the features: names that no feature has.
+ROWS, PREDICTION = "#rows", "#prediction"
+PREDICTED = "predicted_fraud"
 BINS = 10
 EMPTY_BIN_SHARE = 1e-4
 FEW_VALUES = 5
@@ -99,7 +103,11 @@ def column_statistics(
     tenth of the reference that ends below it, which needs no separate quantiles.
     """
     names = shared_columns(reference, current, columns)
-    values = value_distribution(_value_counts(reference, current, names))
+    return _statistics(value_distribution(_value_counts(reference, current, names)), names)
+
+
+def _statistics(values: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``column_statistics`` from the running totals of the values of columns."""
     share_ref = F.col("upto_n_ref") / F.col("total_n_ref").cast("double")
     share_cur = F.col("upto_n_cur") / F.col("total_n_cur").cast("double")
     gap = F.abs(share_ref - share_cur)
@@ -236,6 +244,10 @@ def two_proportion_z(
     counts = side(reference, reference_column, "ref").select(
         "n_ref", "ones_ref", other["n_cur"].alias("n_cur"), other["ones_cur"].alias("ones_cur")
     )
+    return _proportions(counts)
+
+
+def _proportions(counts: DataFrame) -> DataFrame:
     p, q = F.col("share_ref"), F.col("share_cur")
     return (
         counts.filter((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
@@ -258,10 +270,14 @@ def prediction_drift(
     ``method`` "test": drifted if the p-value is below ``threshold`` (0.05).
     "distance": if the Jensen-Shannon distance is ``threshold`` (0.1) or more.
     """
-    result = two_proportion_z(reference, current, LABEL, "predicted_fraud")
+    result = two_proportion_z(reference, current, LABEL, PREDICTED)
+    return _prediction_verdict(result, threshold, method)
+
+
+def _prediction_verdict(proportions: DataFrame, threshold: float | None, method: str) -> DataFrame:
     limit = _limit(method, threshold)
     drifted = F.col("p_value") < limit if method == "test" else F.col("js") >= limit
-    return result.withColumn("drifted", drifted)
+    return proportions.withColumn("drifted", drifted)
 
 
 def _limit(method: str, threshold: float | None) -> float:
@@ -284,8 +300,11 @@ def column_drift(
     for two, drifted below ``threshold`` (0.05). "distance": normalised Wasserstein
     distance, or Jensen-Shannon for few values, drifted from ``threshold`` (0.1) on.
     """
+    return _column_verdicts(column_statistics(reference, current, columns), threshold, method)
+
+
+def _column_verdicts(stats: DataFrame, threshold: float | None, method: str) -> DataFrame:
     limit = _limit(method, threshold)
-    stats = column_statistics(reference, current, columns)
     few, two = F.col("n_values") <= FEW_VALUES, F.col("n_values") <= 2
     z = _pooled_z(F.col("share_ref"), F.col("share_cur"), F.col("total_n_ref"), F.col("total_n_cur"))
     is_test = F.lit(method == "test")
@@ -328,33 +347,29 @@ def drift_summary(
     columns: Sequence[str] = MODEL_COLS,
     share_threshold: float = DRIFT_SHARE_THRESHOLD,
     prediction_threshold: float = DRIFT_P_THRESHOLD,
+    lookback_days: int | None = None,
+    evaluated_at: datetime | None = None,
 ) -> DataFrame | None:
     """The decision for a dataset as one row.
 
     A share strictly above the threshold or a drifted prediction is drift. None
-    when neither side is given; a missing or empty side is "not drifted".
+    when neither side is given; a missing or empty side is "not drifted". The days
+    the current side covers and the time of the decision are the caller's.
     """
     given = reference if reference is not None else current
     if given is None:
         return None
-
-    def rows(df: DataFrame | None) -> Column:
-        return F.lit(0).cast("long") if df is None else df.agg(F.count(F.lit(1))).scalar()
-
-    no_drift = given.sparkSession.range(1).select(
-        F.lit(0).cast("long").alias("n_drifted_features"),
-        F.lit(0).cast("long").alias("n_total_features"),
-        F.lit(0.0).alias("data_drift_score"),
-    )
-    predicted = F.lit(False)
-    share = no_drift
-    if reference is not None and current is not None and not (
-        reference.isEmpty() or current.isEmpty()
-    ):
-        share = drift_share(column_drift(reference, current, columns))
-        if LABEL in reference.columns and "predicted_fraud" in current.columns:
-            verdict = prediction_drift(reference, current, prediction_threshold)
-            predicted = F.coalesce(verdict.agg(F.max("drifted")).scalar(), F.lit(False))
+    if reference is None or current is None:
+        counted = given.agg(F.count(F.lit(1)).alias("n"))
+        n = F.col("n"), F.lit(0).cast("long")
+        nothing = F.lit(0).cast("long")
+        share = counted.select(
+            nothing.alias("n_drifted_features"), nothing.alias("n_total_features"), F.lit(0.0).alias("data_drift_score"),
+            (n[0] if current is None else n[1]).alias("reference_rows"), (n[1] if current is None else n[0]).alias("current_rows"),
+        )
+        predicted = F.lit(False)
+    else:
+        share, predicted = _whole_decision(reference, current, columns, prediction_threshold)
     data = F.col("data_drift_score") > share_threshold
     return share.select(
         "data_drift_score",
@@ -365,9 +380,44 @@ def drift_summary(
         (data | predicted).alias("overall_drift"),
         F.lit(share_threshold).alias("threshold_data"),
         F.lit(prediction_threshold).alias("threshold_pred"),
-        rows(reference).alias("reference_rows"),
-        rows(current).alias("current_rows"),
+        "reference_rows",
+        "current_rows",
+        F.lit(lookback_days).cast("int").alias("lookback_days"),
+        F.lit(moment_text(evaluated_at)).cast("string").alias("evaluated_at"),
+    )
+
+
+def _whole_decision(
+    reference: DataFrame, current: DataFrame, columns: Sequence[str], prediction_threshold: float
+) -> tuple[DataFrame, Column]:
+    """Shares and rows of both sides as one row, and whether predictions drifted.
+
+    Each side is read once: its number of rows and its predictions are two more columns of
+    the values that are counted, and everything else comes from the counts, which running
+    totals keep in a checkpoint. An empty side leaves no column to check.
+    """
+    names = shared_columns(reference, current, columns)
+    extra = [F.lit(0.0).alias(ROWS)]
+    sides = []
+    predictions = LABEL in reference.columns and PREDICTED in current.columns
+    for side, column in ((reference, LABEL), (current, PREDICTED)):
+        ones = [(F.col(column) == 1).cast("double").alias(PREDICTION)] if predictions else []
+        sides.append(side.select(*[F.col(f"`{c}`") for c in names], *extra, *ones))
+    every = [*names, ROWS, *([PREDICTION] if predictions else [])]
+    values = value_distribution(_value_counts(*sides, every))
+    own = values.filter(F.col("code") < len(names))
+    share = drift_share(_column_verdicts(_statistics(own, names), None, "test"))
+    rows = values.filter(F.col("code") == len(names))
+    total = lambda side: F.coalesce(rows.agg(F.sum(f"n_{side}")).scalar(), F.lit(0).cast("long"))
+    share = share.withColumns({"reference_rows": total("ref"), "current_rows": total("cur")})
+    if not predictions:
+        return share, F.lit(False)
+    counts = values.filter(F.col("code") == len(names) + 1).agg(
+        *[F.sum(f"n_{x}").alias(f"n_{x}") for x in ("ref", "cur")],
+        *[F.sum(F.when(F.col("value") == 1, F.col(f"n_{x}")).otherwise(0)).alias(f"ones_{x}") for x in ("ref", "cur")],
     )
+    verdict = _prediction_verdict(_proportions(counts), prediction_threshold, "test")
+    return share, F.coalesce(verdict.agg(F.max("drifted")).scalar(), F.lit(False))
 
 
 def should_retrain(

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardflow.functions.columns import moment_text
 from cardflow.operators.cleaning import present
 from cardflow.operators.joins import join_back
 from cardflow.schema import (
@@ -197,14 +199,15 @@ def run_suite(df: DataFrame, suite: Sequence[Rule], name: str) -> DataFrame:
     )
 
 
-def summarize_suite(results: DataFrame) -> DataFrame:
-    """One row per suite: passed, number of rules, and the rules that failed."""
+def summarize_suite(results: DataFrame, evaluated_at: datetime | None = None) -> DataFrame:
+    """One row per suite: passed, number of rules, the rules that failed, and the given time."""
     failed = F.when(~F.col("success"), F.concat_ws(":", "expectation", "column"))
     return results.groupBy("suite").agg(
         F.bool_and("success").alias("passed"),
         F.count(F.lit(1)).alias("total_expectations"),
         F.count_if(~F.col("success")).alias("failed_count"),
         F.sort_array(F.collect_list(failed)).alias("failed_expectations"),
+        F.lit(moment_text(evaluated_at)).cast("string").alias("evaluated_at"),
     )
 
 

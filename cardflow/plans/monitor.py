@@ -37,7 +37,8 @@ def run_drift(
         if not is_missing(error):
             raise
         recent = spark.createDataFrame([], log_schema)
-    summary = drift_summary(reference, canonicalize_inference(recent))
+    current = canonicalize_inference(recent)
+    summary = drift_summary(reference, current, lookback_days=days, evaluated_at=as_of)
     if out_root is None:
         return summary
     path = write_summary(summary, out_root, f"{as_of:%Y-%m-%d}")

@@ -67,14 +67,29 @@ def sliding_counts(
     step: str = "5 minutes",
     ts: str = TS,
 ) -> DataFrame:
-    """Rows per key in overlapping intervals."""
-    return (
-        df.groupBy(
-            F.window(F.col(ts).cast("timestamp") if not df.isStreaming else ts, width, step), key
-        )
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .select(F.col("window.start").alias("window_start"), key, "row_count")
-    )
+    """Rows per key in overlapping intervals.
+
+    A table is counted per key and pane (the length of a step) first, and only these counts
+    are spread over the intervals that hold the pane, where ``width`` is whole steps.
+    """
+    start = F.col("window.start").alias("window_start")
+    if not df.isStreaming and (panes := _steps(df.sparkSession, width, step)):
+        pane = F.window(F.col(ts).cast("timestamp"), step)
+        counted = df.groupBy(pane, key).agg(F.count(F.lit(1)).alias("_n"))
+        back = F.explode(F.sequence(F.lit(0), F.lit(panes - 1))).alias("_back")
+        spread = counted.select(start, key, "_n", back)
+        begin = F.col("window_start") - F.col("_back") * F.expr(f"INTERVAL {step}")
+        return spread.groupBy(begin.alias("window_start"), key).agg(F.sum("_n").alias("row_count"))
+    window = F.window(ts if df.isStreaming else F.col(ts).cast("timestamp"), width, step)
+    counted = df.groupBy(window, key).agg(F.count(F.lit(1)).alias("row_count"))
+    return counted.select(start, key, "row_count")
+
+
+def _steps(spark: SparkSession, width: str, step: str) -> int | None:
+    """Whole steps in an interval, None where a rest is left."""
+    seconds = [f"unix_micros(timestamp_seconds(0) + INTERVAL {x}) AS s{k}" for k, x in enumerate((width, step))]
+    long, short = spark.range(1).selectExpr(*seconds).first()
+    return long // short if long % short == 0 else None
 
 
 def session_counts(

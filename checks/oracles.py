@@ -795,7 +795,8 @@ def oracle_sql() -> dict[str, str]:
     SELECT suite, bool_and(success) AS passed, count(*) AS total_expectations,
       count(*) FILTER (NOT success) AS failed_count,
       coalesce(string_agg(expectation || ':' || "column", ',' ORDER BY expectation || ':' || "column")
-        FILTER (NOT success), '') AS failed_expectations
+        FILTER (NOT success), '') AS failed_expectations,
+      '2024-01-31T06:00:00' AS evaluated_at
     FROM results GROUP BY suite""",
             "tx_raw",
             extra={"results": _suite("raw", "tx_raw", _raw_rules())},
@@ -1000,12 +1001,14 @@ def oracle_sql() -> dict[str, str]:
         ),
         "drift_summary": _with(
             f"SELECT * REPLACE (round(data_drift_score, 6) + 0e0 AS data_drift_score) FROM"
-            f" (SELECT {summary_columns} FROM summary)",
+            f" (SELECT {summary_columns}, 7 AS lookback_days, '2024-01-31T06:00:00' AS evaluated_at"
+            f" FROM summary)",
             "summary",
         ),
         "summary_json": _with(
             """SELECT round(data_drift_score, 6) + 0e0 AS data_drift_score, n_drifted_features,
-      n_total_features, overall_drift, reference_rows, current_rows, '2024-01-31' AS date
+      n_total_features, overall_drift, reference_rows, current_rows, 7 AS lookback_days,
+      '2024-01-31T06:00:00' AS evaluated_at, '2024-01-31' AS date
     FROM summary""",
             "summary",
         ),

@@ -34,6 +34,10 @@ AS_OF = datetime(2024, 1, 24, 9, 30)
 DRIFT_COLS = ["amount", *V_COLS]
 
 
+# When the results that carry a time were made.
+EVALUATED_AT = datetime(2024, 1, 31, 6)
+
+
 def _six(c: str | Column) -> Column:
     """Rounded for comparison; adding zero removes a negative zero."""
     return F.round(c, 6) + F.lit(0.0)
@@ -268,7 +272,7 @@ def suite_features(spark, sf):
 
 
 def suite_summary(spark, sf):
-    results = expectations.summarize_suite(suite_raw(spark, sf))
+    results = expectations.summarize_suite(suite_raw(spark, sf), EVALUATED_AT)
     return results.withColumn(
         "failed_expectations", F.array_join("failed_expectations", ",")
     )
@@ -491,7 +495,8 @@ def drift_columns(spark, sf):
 
 
 def drift_summary(spark, sf):
-    return _rounded(drift.drift_summary(*X.drift_sides(spark, sf)), "data_drift_score")
+    summary = drift.drift_summary(*X.drift_sides(spark, sf), lookback_days=7, evaluated_at=EVALUATED_AT)
+    return _rounded(summary, "data_drift_score")
 
 
 def retrain_decision(spark, sf):
@@ -620,7 +625,8 @@ def summary_json(spark, sf):
     writers.write_summary(drift_summary(spark, sf), root, "2024-01-31")
     read = spark.read.schema(
         "data_drift_score double, n_drifted_features long, n_total_features long,"
-        " overall_drift boolean, reference_rows long, current_rows long, date string"
+        " overall_drift boolean, reference_rows long, current_rows long, lookback_days int,"
+        " evaluated_at string, date string"
     ).json(root)
     return read
 

@@ -274,9 +274,35 @@ def test_shifted_side_drifts_under_both_methods(spark):
         assert verdicts["is_international"] == (expected[1], True)
 
 
+def test_a_drift_decision_reads_each_side_once(spark):
+    df = X.clean(spark, SMALL).select("amount", "V1", "is_international", LABEL)
+    read = [spark.sparkContext.accumulator(0) for _ in "rc"]
+
+    def counted(rows, seen):
+        def batches(source):
+            for batch in source:
+                seen.add(batch.num_rows)
+                yield batch
+
+        return rows.mapInArrow(batches, rows.schema)
+
+    shifted = df.select(F.col("amount") * 2 + 50, "V1", "is_international", F.lit(1).alias("predicted_fraud")).toDF(
+        "amount", "V1", "is_international", "predicted_fraud"
+    )
+    row = drift.drift_summary(counted(df, read[0]), counted(shifted, read[1])).first()
+    assert row["reference_rows"] == row["current_rows"] == read[0].value == read[1].value == df.count()
+    assert row["n_drifted_features"] == 1 and row["n_total_features"] == 3
+    assert row["data_drift_detected"] and row["pred_drift_detected"] and row["overall_drift"]
+    parts = drift.column_drift(df, shifted, ["amount", "V1", "is_international"]).filter("drifted")
+    assert [r["feature"] for r in parts.collect()] == ["amount"]
+    assert drift.prediction_drift(df, shifted).first()["drifted"]
+
+
 def test_missing_sides_are_not_drifted(spark):
     df = X.clean(spark, SMALL)
     assert drift.drift_summary(None, None) is None
+    timed = drift.drift_summary(df, None, lookback_days=3, evaluated_at=datetime(2024, 2, 3, 4, 5, 6)).first()
+    assert (timed["lookback_days"], timed["evaluated_at"]) == (3, "2024-02-03T04:05:06")
     for sides in ((df, None), (None, df), (df, df.filter(F.lit(False)))):
         summary = drift.drift_summary(*sides).first()
         assert not summary["overall_drift"] and summary["data_drift_score"] == 0.0

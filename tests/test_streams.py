@@ -77,3 +77,17 @@ def test_sliding_counts_equal_batch(spark, tmp_path):
     out = _drain(stream, str(tmp_path))
     batch = streams.sliding_counts(spark.read.parquet(f"{tmp_path}/in").filter(F.col(CARD) != "z"))
     assert out.exceptAll(batch).isEmpty() and batch.exceptAll(out).isEmpty()
+
+
+def test_sliding_panes_equal_the_windows(spark, plan_of):
+    """Whole steps go through panes, a width with a rest through the window itself."""
+    rows = spark.range(500).select(
+        F.concat(F.lit("c"), F.col("id") % 3).alias(CARD), F.timestamp_seconds(F.col("id") * 977 % 100_000).alias(TS)
+    )
+    rows = rows.union(spark.createDataFrame([("c0", None)], f"{CARD} string, {TS} timestamp"))
+    for width, step in (("1 hour", "5 minutes"), ("10 minutes", "10 minutes"), ("1 hour", "25 minutes")):
+        got = streams.sliding_counts(rows, width=width, step=step)
+        window = F.window(TS, width, step)
+        want = rows.groupBy(window, CARD).count().select("window.start", CARD, "count")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert "Expand" not in plan_of(streams.sliding_counts(rows))
