@@ -6,8 +6,8 @@
 2. The table is read as a stream. The state, kept on disk by RocksDB and never expired, has
    for each digest the identifier and the locator of the row that stays (the largest id)
    and the number of rows. Spark combines the rows of a digest before the shuffle, so a
-   text with a third of all rows is no hot key. A restart goes on from the last
-   micro-batch, and new files join an existing state (``folder``).
+   text with a third of all rows is no hot key. Each call has a state of its own;
+   ``stream_state`` over a folder that has one goes on from its last micro-batch.
 3. A digest met again is a hit, and hits are checked on their full bytes: rows are grouped
    by digest and text together, combined before the shuffle. A digest that stands for more
    than one text is split into one group for each text.
