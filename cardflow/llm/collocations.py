@@ -4,13 +4,14 @@ Only the longest windows are counted. A word and the words that follow it in its
 lead columns padded with the empty string, make a window; no shorter n-gram is ever made.
 
 1. Tasks read texts in Arrow batches, cut them into words by their bytes, and count the
-   windows of half a million words together. So a window that is very common reaches the shuffle
+   windows of a million words together. So a window that is very common reaches the shuffle
    once for so many words.
-2. Windows are shuffled in bundles by their first word, and counted. The last word of a rare
-   window, and the last two of a rare prefix, are replaced by the padding: their count goes
-   on as part of the shorter prefix, which is all that a sum of prefixes needs. The windows
-   of a common first word are dealt by the second word, too, those of a common first pair by
-   the third. Which ones are common is found in a sample and has no influence on results.
+2. Windows are shuffled in bundles by their first word, and added up in tasks. The last word
+   of a rare window, and the last two of a rare prefix, are replaced by the padding: their
+   count goes on as part of the shorter prefix, which is all that a sum of prefixes needs.
+   The windows of a common first word are dealt by the second word, too, those of a common
+   first pair by the third. Which ones are common is found in a sample and has no influence
+   on results. A bundle too large for a task's memory is added up in parts.
 3. ROLLUP sums the collapsed windows over ever shorter prefixes, down to the language: the
    counts of all phrases up to the longest that occur often enough, and of all words.
 4. Candidates meet the counts of their parts by joins of these short tables. Scores are
@@ -48,7 +49,9 @@ SCALE = 1_000_000
 UNKNOWN = "und"
 
 # Words counted together in a task, and bytes of texts taken together.
-WORDS_TOGETHER = 1 << 19
+WORDS_TOGETHER = 1 << 20
+# Bytes of bundles that are added up together in a task.
+BYTES_TOGETHER = 12 << 20
 # Texts (about) from which common first words are learned, their share of all windows (one
 # of so many), and over how many places their windows are dealt.
 SAMPLE_ROWS = 2000
@@ -68,7 +71,20 @@ LOWER[65:91] += 32
 
 def _codes(values: np.ndarray) -> np.ndarray:
     """Numbers from 0 on, equal where the values are."""
-    return pa.array(values).dictionary_encode().indices.to_numpy().astype(np.int64)
+    return np.unique(values, return_inverse=True)[1]
+
+
+def _groups(columns: list[np.ndarray], size: int) -> np.ndarray:
+    """Numbers from 0 on of rows, equal where all columns are, which are below ``size``."""
+    key = columns[0].astype(np.int64)
+    bound = int(key.max()) + 1
+    for column in columns[1:]:
+        if bound * size >= 1 << 62:
+            key = _codes(key)
+            bound = int(key.max()) + 1
+        key = key * size + column
+        bound *= size
+    return _codes(key)
 
 
 @dataclass
@@ -91,10 +107,10 @@ def windows(texts: pa.StringArray, langs: pa.StringArray, longest: int) -> Itera
     data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
     bounds = offsets - offsets[0]
     kind = KINDS[data]
-    edge = np.flatnonzero(kind[1:] != kind[:-1]) + 1
+    changes = np.append(True, kind[1:] != kind[:-1])
     # A text's first byte starts a word, whatever the text before it ends with.
-    inner = bounds[:-1][bounds[:-1] < bounds[1:]]
-    edge = np.unique(np.concatenate([edge, inner]))
+    changes[bounds[:-1][bounds[:-1] < bounds[1:]]] = True
+    edge = np.flatnonzero(changes)
     ends = np.append(edge[1:], len(data))
     is_word = kind[edge] == WORD
     starts, ends = edge[is_word], ends[is_word]
@@ -110,7 +126,7 @@ def windows(texts: pa.StringArray, langs: pa.StringArray, longest: int) -> Itera
     words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(places), pa.py_buffer(chars))
     spoken = langs.fill_null(UNKNOWN).dictionary_encode()
     lang = spoken.indices.to_numpy().astype(np.int64)[text]
-    del data, kind, edge, chars, breaks, fresh
+    del data, kind, edge, changes, chars, breaks, fresh
 
     for first in range(0, len(starts), WORDS_TOGETHER):
         last = min(first + WORDS_TOGETHER, len(starts))
@@ -118,14 +134,14 @@ def windows(texts: pa.StringArray, langs: pa.StringArray, longest: int) -> Itera
         n = last - first
         pad = len(here.dictionary)
         word = here.indices.to_numpy().astype(np.int64)
-        leads, code = [], lang[first:last]
+        leads = []
         for ahead in range(longest):
             lead = np.full(n, pad)
             rest = word[ahead : ahead + n]
             same = piece[first + ahead : first + ahead + len(rest)] == piece[first : first + len(rest)]
             lead[: len(rest)] = np.where(same, rest, pad)
             leads.append(lead)
-            code = _codes(code * (pad + 1) + lead)
+        code = _groups([lang[first:last], *leads], pad + 1)
         counts = np.bincount(code)
         one = np.empty(len(counts), np.int64)
         one[code] = np.arange(n)
@@ -228,31 +244,111 @@ def common_beginnings(docs: DataFrame, longest: int) -> frozenset[str]:
     return frozenset(row[0] for row in names.collect())
 
 
+def _counted(firsts: pa.Array, lines: pa.Array, longest: int, least: int, cut: bool) -> list:
+    """Columns lang, words, n of the windows in bundles, added up.
+
+    Where ``cut``, the bundles hold all windows of their first words and places: the last
+    word of a rare window and the last two of a rare prefix are replaced by the padding.
+    """
+    split = pc.split_pattern(lines, "\n")
+    # Each line has the other words and the count.
+    parts = pc.split_pattern(split.flatten(), " ").flatten()
+    n = pc.take(parts, pa.array(np.arange(longest - 1, len(parts), longest))).cast(pa.int64()).to_numpy()
+    coded = parts.dictionary_encode()
+    words = coded.dictionary
+    empty = pc.index(words, "").as_py()
+    if empty < 0:
+        empty, words = len(words), pa.concat_arrays([words, pa.array([""], words.type)])
+    code = coded.indices.to_numpy().reshape(-1, longest)
+    named = firsts.dictionary_encode()
+    bundle = np.repeat(named.indices.to_numpy(), pc.list_value_length(split).to_numpy())
+
+    def grouped(columns: list[np.ndarray], n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Group of each row, the sum of each group, and one row of each."""
+        key = _groups(columns, len(words) + 1)
+        one = np.empty(key.max() + 1, np.int64)
+        one[key] = np.arange(len(key))
+        return key, np.bincount(key, weights=n).astype(np.int64), one
+
+    columns = [bundle, *(code[:, k].astype(np.int64) for k in range(longest - 1))]
+    _, n, one = grouped(columns, n)
+    columns = [c[one] for c in columns]
+    if cut:
+        prefix, total, _ = grouped(columns[:-1], n)
+        columns[-1] = np.where(n >= least, columns[-1], empty)
+        if longest > 2:
+            # A common pair, dealt by its third word, may be rare in one of its places only.
+            plus = np.array(["+" in x.split(" ", 2)[1] for x in named.dictionary.to_pylist()])
+            known = (total[prefix] >= least) | plus[columns[0]]
+            columns[-2] = np.where(known, columns[-2], empty)
+        _, n, one = grouped(columns, n)
+        columns = [c[one] for c in columns]
+    heads = [x.split(" ", 2) for x in named.dictionary.to_pylist()]
+    at = pa.array(columns[0])
+    first, lang = (pa.array([h[k] for h in heads], pa.string()).take(at) for k in (0, 2))
+    return [lang, first, *(words.take(pa.array(c)).cast(pa.string()) for c in columns[1:]), pa.array(n)]
+
+
+def collapsed_windows(bundled: DataFrame, longest: int, least: int) -> DataFrame:
+    """lang, w1 and so on, n: windows added up and cut where they are rare, from bundles.
+
+    A task has all bundles of a first word and place after each other, and takes as many
+    first words together as make ``BYTES_TOGETHER``. One that has more alone is passed on
+    uncut, part by part; its parts are added up afterwards, like all rows.
+    """
+    names = ["lang", *(f"w{k + 1}" for k in range(longest)), "n"]
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, parted = [], 0, None
+
+        def rows(firsts: pa.Array, lines: pa.Array, cut: bool) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(_counted(firsts, lines, longest, least, cut), names)
+
+        for batch in source:
+            held.append(batch)
+            size += batch.nbytes
+            if size < BYTES_TOGETHER:
+                continue
+            firsts, lines = (pa.chunked_array([b.column(k) for b in held]).combine_chunks() for k in (0, 1))
+            # The last first word may go on in the next batch.
+            end = int(pc.index(firsts, firsts[-1]).as_py())
+            start = 0
+            if parted is not None:
+                same = pc.sum(pc.equal(firsts, parted)).as_py() or 0
+                if same:
+                    yield rows(firsts[:same], lines[:same], False)
+                start = same
+            if start == len(firsts):
+                held, size = [], 0
+                continue
+            if end > start:
+                yield rows(firsts[start:end], lines[start:end], True)
+                parted = None
+            if end <= start or lines[end:].nbytes > BYTES_TOGETHER // 2:
+                # One first word fills the batch.
+                end, parted = max(end, start), firsts[-1]
+                yield rows(firsts[end:], lines[end:], False)
+                held, size = [], 0
+            else:
+                held = [pa.RecordBatch.from_arrays([firsts[end:], lines[end:]], ["first", "lines"])]
+                size = held[0].nbytes
+        if held:
+            firsts, lines = (pa.chunked_array([b.column(k) for b in held]).combine_chunks() for k in (0, 1))
+            same = 0 if parted is None else pc.sum(pc.equal(firsts, parted)).as_py() or 0
+            if same:
+                yield rows(firsts[:same], lines[:same], False)
+            if same < len(firsts):
+                yield rows(firsts[same:], lines[same:], True)
+
+    ordered = bundled.repartition("first").sortWithinPartitions("first")
+    return ordered.mapInArrow(batches, ", ".join(f"{x} long" if x == "n" else f"{x} string" for x in names))
+
+
 def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
     """lang, words (array), n of all phrases that occur often enough; of no words: of all words."""
-    dealt = _windows_of(counted_windows(docs, longest, common_beginnings(docs, longest)).repartition("first"))
-    # One shuffle serves the windows and their prefixes: the condition has no part that can
-    # move below it. A window of three words has two others, the last one maybe empty.
+    bundled = counted_windows(docs, longest, common_beginnings(docs, longest))
+    collapsed = collapsed_windows(bundled, longest, least)
     names = [f"w{k + 1}" for k in range(longest)]
-    last = F.substring_index("others", " ", -1)
-    before = F.substring_index("others", " ", longest - 2) if longest > 2 else F.lit("")
-    often = (F.col("n") >= least) & (F.col("n") * F.length(last) > 0)
-    full = dealt.groupBy("first", "others").agg(F.sum("n").alias("n")).filter(often)
-    prefixes = dealt.groupBy("first", before.alias("others")).agg(F.sum("n").alias("n"))
-    head = F.split("first", " ", 3)
-    lang, word = F.get(head, F.lit(2)).alias("lang"), F.get(head, F.lit(0)).alias("w1")
-    split = F.split("others", " ")
-    words = [F.get(split, F.lit(k)) for k in range(longest - 1)]
-    pad = F.lit("")
-    named = lambda values: [w.alias(x) for w, x in zip(values, names[1:], strict=True)]
-    kept = full.select(lang, word, *named(words), "n")
-    # What frequent windows take from their prefixes: a prefix goes on with the rest.
-    taken = full.select(lang, word, *named([*words[:-1], pad]), (-F.col("n")).alias("n"))
-    # The last word of a rare prefix is cut off; a prefix of one word stays. A common pair,
-    # dealt by its third word, may be rare in one of its places only.
-    known = (F.col("n") >= least) | F.get(head, F.lit(1)).contains("+")
-    cut = [*words[:-2], F.when(known, words[-2]).otherwise(pad), pad] if longest > 2 else [pad]
-    collapsed = kept.unionByName(taken).unionByName(prefixes.select(lang, word, *named(cut), "n"))
     collapsed = collapsed.groupBy("lang", *names).agg(F.sum("n").alias("n"))
 
     rolled = collapsed.rollup("lang", *names).agg(F.sum("n").alias("n"), F.grouping_id().alias("level"))

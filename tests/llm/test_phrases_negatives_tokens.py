@@ -151,16 +151,28 @@ def test_common_beginnings_change_no_result(spark, monkeypatch):
     """Every first word and pair dealt over several places, and few words counted together."""
     rows = made_texts(random.Random(9), 120)
     docs = spark.createDataFrame(rows, "lang string, text string")
-    for name, value in (("COMMON", 10**9), ("LEAST", 1), ("PLACES", 3), ("WORDS_TOGETHER", 50)):
+    for name, value in (("COMMON", 10**9), ("LEAST", 1), ("PLACES", 3), ("WORDS_TOGETHER", 50), ("BYTES_TOGETHER", 1500)):
         monkeypatch.setattr(collocations, name, value)
     assert len(collocations.common_beginnings(docs, 3)) > 50
     assert sorted(map(tuple, collocations.mine(docs, 3, 5, 2000).collect())) == brute_collocations(rows, 3, 5, 2000)
 
 
+def test_bundles_too_large_for_a_task_are_added_up_in_parts(spark, monkeypatch):
+    rows = made_texts(random.Random(10), 150)
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    for name, value in (("WORDS_TOGETHER", 40), ("BYTES_TOGETHER", 300), ("BATCH_ROWS", "20"), ("COMMON", 1)):
+        monkeypatch.setattr(collocations, name, value)
+    bundled = collocations.counted_windows(docs, 3)
+    firsts = [r["first"] for r in bundled.collect()]
+    assert max(Counter(firsts).values()) > 40
+    assert sorted(map(tuple, collocations.mine(docs, 3, 5, 2000).collect())) == brute_collocations(rows, 3, 5, 2000)
+
+
 def test_collocations_read_one_shuffle_and_empty_tables(spark, plan_of):
     docs = spark.createDataFrame(made_texts(random.Random(1), 20), "lang string, text string")
     plan = plan_of(collocations.phrase_counts(docs), run=True).split("Initial Plan")[0]
-    assert plan.count("MapInArrow") == 1 and "Expand" in plan
+    # The texts are read once: windows are made by one map and added up by another.
+    assert plan.count("MapInArrow") == 2 and "Expand" in plan
     assert collocations.mine(docs.limit(0)).count() == 0
     assert collocations.mine(spark.createDataFrame([("en", "a b " * 30_000)], "lang string, text string")).count() == 2
 
