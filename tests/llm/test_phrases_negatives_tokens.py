@@ -10,7 +10,8 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from cardflow.llm import byte_bpe, collocations, hard_negatives, language_id, mixing, queries
+import xxhash
+from cardflow.llm import byte_bpe, collocations, hard_negatives, language_id, mixing, quality_rules, queries
 from pyspark.sql import functions as F
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -286,3 +287,74 @@ def test_mixed_documents_with_clashing_columns(spark):
     docs = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
     out = mixing.mixed_documents(docs, ("doc_id",))
     assert out.columns == docs.columns and out.count() > 0
+
+
+def test_ratio_and_verdict_by_plain_loops(spark):
+    rng = random.Random(12)
+    words = [f"Word{k}" for k in range(60)] + ["é", "x#y"]
+    texts = {d: " ".join(rng.choices(words[:30] if d % 3 else words[20:], k=rng.randrange(1, 90))) for d in range(160)}
+    texts |= {160: "", 161: None}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(d, int(d % 3 > 0), 0) for d in range(0, 200, 2)] + [(None, 1, 0)], "doc_id long, quality int, toxic int")
+
+    def grams(text):
+        low = [w.lower() for w in re.split("[\x20\x09-\x0d]+", text or "") if w]
+        one = [xxhash.xxh64(w.encode(), seed=42).intdigest() for w in low]
+        two = [xxhash.xxh64(b.encode(), seed=one[k]).intdigest() for k, b in enumerate(low[1:])]
+        return [h % quality_rules.BUCKETS for h in one + two]
+
+    raw, good = Counter(), Counter()
+    for d, t in texts.items():
+        raw.update(grams(t))
+        if d % 2 == 0 and d % 3:
+            good.update(grams(t))
+    share = lambda counts, b: (counts[b] + 1) / (sum(counts.values()) + quality_rules.BUCKETS)
+    ratio = {}
+    for d, t in texts.items():
+        each = [math.log(share(good, b) / share(raw, b)) for b in grams(t)]
+        ratio[d] = sum(each) / max(1, len(each))
+    found = {r.doc_id: r for r in quality_rules.judge(docs, labels).collect()}
+    passed = sorted(ratio[d] for d in texts if d % 2 == 0 and d % 3 and not found[d].base_failed)
+    least = passed[max(1, math.ceil(len(passed) * quality_rules.TRUSTED_LOSS)) - 1]
+    for d in texts:
+        assert found[d].ratio == pytest.approx(ratio[d], abs=1e-12)
+        assert found[d].kept == (not found[d].base_failed and ratio[d] >= least - 1e-12)
+
+
+def test_leader_by_plain_loops():
+    """Follow-the-regularised-leader over dictionaries, one weight at a time."""
+    rng = random.Random(13)
+    k, last = 3, language_id.BUCKETS
+    rows = [([*sorted(rng.sample(range(40), 6))], [rng.randrange(1, 5) for _ in range(6)], rng.randrange(k)) for _ in range(15)]
+    idf = np.ones(language_id.BUCKETS)
+    idf[:40] = [1 + rng.random() for _ in range(40)]
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(b, y):
+        l1 = 0.0 if b == last else language_id.L1
+        if abs(z[b, y]) <= l1:
+            return 0.0
+        return -(z[b, y] - math.copysign(l1, z[b, y])) / (
+            (language_id.BETA + math.sqrt(n[b, y])) / language_id.ALPHA + language_id.L2
+        )
+
+    for _ in range(language_id.EPOCHS):
+        for buckets, counts, truth in rows:
+            x = [(1 + math.log(c)) * idf[b] for b, c in zip(buckets, counts, strict=True)]
+            norm = math.sqrt(sum(v * v for v in x))
+            at = [*zip(buckets, [v / norm for v in x], strict=True), (last, 1.0)]
+            w = {(b, y): weight(b, y) for b, _ in at for y in range(k)}
+            logits = [sum(v * w[b, y] for b, v in at) for y in range(k)]
+            total = sum(math.exp(v) for v in logits)
+            for y in range(k):
+                error = math.exp(logits[y]) / total - (y == truth)
+                for b, v in at:
+                    g = v * error
+                    z[b, y] += g - (math.sqrt(n[b, y] + g * g) - math.sqrt(n[b, y])) / language_id.ALPHA * w[b, y]
+                    n[b, y] += g * g
+    model = language_id.train([(np.array(b), np.array(c), y) for b, c, y in rows], ["a", "b", "c"], idf)
+    assert model.temperature == 1.0
+    dense = np.zeros((language_id.BUCKETS + 1, k))
+    dense[model.rows], dense[last] = model.weights[:-1], model.weights[-1]
+    for b in [*range(40), last]:
+        assert dense[b] == pytest.approx([weight(b, y) for y in range(k)], abs=1e-9)
