@@ -4,7 +4,7 @@ Only the longest windows are counted. A word and the words that follow it in its
 lead columns padded with the empty string, make a window; no shorter n-gram is ever made.
 
 1. Tasks read texts in Arrow batches, cut them into words by their bytes, and count the
-   windows of a million words together. So a window that is very common reaches the shuffle
+   windows of half a million words together. So a window that is very common reaches the shuffle
    once for so many words.
 2. Windows are shuffled in bundles by their first word, and added up in tasks. The last word
    of a rare window, and the last two of a rare prefix, are replaced by the padding: their
@@ -49,9 +49,9 @@ SCALE = 1_000_000
 UNKNOWN = "und"
 
 # Words counted together in a task, and bytes of texts taken together.
-WORDS_TOGETHER = 1 << 20
+WORDS_TOGETHER = 1 << 19
 # Bytes of bundles that are added up together in a task.
-BYTES_TOGETHER = 12 << 20
+BYTES_TOGETHER = 6 << 20
 # Texts (about) from which common first words are learned, their share of all windows (one
 # of so many), and over how many places their windows are dealt.
 SAMPLE_ROWS = 2000
