@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardflow.functions.columns import centred, iso_second
+from cardflow.operators.joins import may_send, repeated
 from cardflow.schema import (
     CRITICAL_COLS,
     ID,
@@ -18,6 +19,7 @@ from cardflow.schema import (
     PROCESSED_COLS,
     TS,
 )
+from cardflow.session import checkpoint
 
 
 def present(df: DataFrame, name: str) -> Column:
@@ -32,6 +34,24 @@ def dedupe(
 ) -> DataFrame:
     """Keep the first row per key in ``order``.
 
+    Only hashes of keys are shuffled to find those with copies, when this is called.
+    Rows of all other keys stay where they are; rows that share a hash are ranked.
+    With more such hashes than can be sent to the rows, all rows are ranked.
+    """
+    hashed = F.xxhash64(*keys)
+    copies, n = repeated(df, hashed)
+    if n == 0:
+        return df
+    if not may_send(df.sparkSession, n):
+        return _first_rows(df, keys, order)
+    sent = F.broadcast(copies.select("_value"))
+    alone, several = (df.join(sent, hashed == sent["_value"], how) for how in ("left_anti", "left_semi"))
+    return alone.unionByName(_first_rows(several, keys, order))
+
+
+def _first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first row per key.
+
     ``row_number() = 1`` makes Spark keep one row per key in each map task before
     the shuffle (WindowGroupLimit), so a key with a third of all rows arrives as
     one row per task. Rows that tie on ``order`` are told apart by their content.
@@ -107,10 +127,12 @@ def standardize(
 ) -> DataFrame:
     """Centre and scale by the sample deviation of all rows; 0.0 where it is zero.
 
-    ``stats`` gives the two in one row ``_mean, _std`` instead.
+    ``stats`` gives the two in one row ``_mean, _std`` instead. Else they are found when
+    this is called and kept in the shared folder: as a plan of its own they would be
+    planned, and found, again for each rule and statistic that reads a scaled row.
     """
     if stats is None:
-        stats = df.agg(F.avg(column).alias("_mean"), F.stddev_samp(column).alias("_std"))
+        stats = checkpoint(df.agg(F.avg(column).alias("_mean"), F.stddev_samp(column).alias("_std")))
     fitted = stats.agg(F.first(F.struct("_mean", "_std"))).scalar()
     value = centred(F.col(column), F.col("_stats._mean"), F.col("_stats._std"))
     return df.withColumn("_stats", fitted).withColumn(out, value).drop("_stats")
@@ -119,8 +141,8 @@ def standardize(
 def clean_rows(df: DataFrame) -> DataFrame:
     """All cleaning rules except standardisation.
 
-    Whether a row is complete is decided before the dedupe shuffle, so a later
-    pass that needs only ``amount`` does not move the 28 components.
+    Whether a row is complete is decided before the dedupe, so a later pass that
+    needs only ``amount`` does not move the 28 components of rows with copies.
     """
     complete = F.lit(True)
     for name in CRITICAL_COLS:

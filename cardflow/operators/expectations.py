@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cardflow.functions.columns import moment_text
 from cardflow.operators.cleaning import present
-from cardflow.operators.joins import join_back
+from cardflow.operators.joins import join_back, may_send, repeated
 from cardflow.schema import (
     ID,
     LABEL,
@@ -215,8 +215,8 @@ def tag_failures(df: DataFrame, suite: Sequence[Rule]) -> DataFrame:
     """Add ``failed_rules``: the names of all row rules and uniqueness rules a row fails.
 
     The names are gathered with ``concat_ws``, which skips nulls inside generated
-    code. Values with copies are found by a grouped count; where they take few bytes,
-    as they should, Spark sends them to the rows instead of shuffling the rows.
+    code. Values with copies are counted when this is called. As long as there are not
+    too many, they are sent to the rows; else the rows are shuffled.
     """
     columns = df.columns
     names = []
@@ -226,9 +226,10 @@ def tag_failures(df: DataFrame, suite: Sequence[Rule]) -> DataFrame:
         if rule.level == ROW:
             names.append(F.when(~rule.check(df), F.lit(rule.name)))
         elif rule.level == UNIQUE:
-            copies = _copies(df, rule.column).withColumnsRenamed(
-                {"_value": f"_value{i}", "_rows": f"_rows{i}"}
-            )
+            copies, n = repeated(df.filter(present(df, rule.column)), F.col(rule.column))
+            copies = copies.withColumnsRenamed({"_value": f"_value{i}", "_rows": f"_rows{i}"})
+            if may_send(df.sparkSession, n):
+                copies = F.broadcast(copies)
             df = join_back(df, copies, {f"_value{i}": F.col(rule.column)})
             names.append(F.when(F.col(f"_rows{i}").isNotNull(), F.lit(rule.name)))
     text = F.concat_ws(",", *names) if names else F.lit("")

@@ -83,3 +83,22 @@ def test_week_partition_is_pruned(spark, plan_of, tmp_path):
     rows = readers.read_weekly(spark, str(tmp_path))
     assert rows.count() == 6
     assert "PartitionFilters: [isnotnull(week_key" in plan_of(rows)
+
+
+def test_only_rows_with_copies_are_shuffled(spark, plan_of, monkeypatch):
+    """Dedupe and the rule for copies send keys to the rows; the results are those of a shuffle."""
+    alone = X.tx_raw(spark, SMALL).filter("substring(transaction_id, 4, 20) % 53 != 0")
+    assert "Exchange" not in plan_of(cleaning.dedupe(alone).select(ID, "V1"))
+    raw = X.tx_raw(spark, SMALL).withColumn(ID, F.expr("nullif(transaction_id, 'TX_7')"))
+    raw = raw.unionByName(raw.filter("transaction_id is null"))
+
+    def results():
+        tagged = expectations.tag_failures(raw, [expectations.unique(ID)])
+        return cleaning.dedupe(raw), tagged
+
+    kept, tagged = results()
+    assert "Exchange hashpartitioning" not in plan_of(tagged)
+    monkeypatch.setattr("cardflow.operators.joins.SENT_KEYS", 0)
+    for sent, shuffled in zip((kept, tagged), results(), strict=True):
+        assert sent.exceptAll(shuffled).isEmpty() and shuffled.exceptAll(sent).isEmpty()
+    assert kept.filter("transaction_id is null").count() == 1
