@@ -20,8 +20,8 @@ each kind; matches that are too short are dropped afterwards.
 Edge cases: a null text counts as empty. Several layers may lead to one span, which is
 listed once. Compressed content longer than ``PIECE`` is unpacked and scanned in pieces that
 overlap by ``OVERLAP``, each a layer of its own, so memory stays bounded and nothing is
-skipped; only if its pieces are themselves compressed content is it not opened, and counted
-in ``n_unopened``. Texts of any length are scanned whole.
+skipped. Compressed content inside it is unpacked from its pieces as they come, so
+``n_unopened`` is 0. Texts of any length are scanned whole.
 """
 
 from __future__ import annotations
@@ -30,12 +30,11 @@ import base64
 import bz2
 import hashlib
 import html
-import itertools
 import lzma
 import re
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +65,9 @@ _LONG_HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 # encoded region inside pieces is found if it isn't longer than the overlap.
 PIECE = 16 << 20
 OVERLAP = 1 << 20
+# Compressed bytes that are unpacked at a time, and bytes of blocks of them.
+STEP = 64
+BLOCK_STEP = 1 << 10
 _URL = re.compile(r"%[0-9A-Fa-f]{2}")
 _URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(
@@ -148,44 +150,74 @@ def scan(text: str) -> list[Span]:
     return sorted(found, key=lambda s: (s[0], ORDER[s[2]], s[1]))
 
 
-class Opened:
-    """What was unpacked of a document."""
-
-    def __init__(self):
-        self.unopened = 0
-        # Length of the compressed part that was unpacked last.
-        self.used = 0
-        # Digests of the pieces of long contents.
-        self.pieces: set[bytes] = set()
-
-
 _DECODERS = {
     b"\x1f\x8b": lambda: zlib.decompressobj(31),
     b"\x78": zlib.decompressobj,
     b"BZ": bz2.BZ2Decompressor,
     b"\xfd7": lzma.LZMADecompressor,
+    b"\x28\xb5": lambda: zstandard.ZstdDecompressor(max_window_size=1 << 27).decompressobj(),
 }
 _BAD = (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError)
 
 
-def _stream(data: bytes) -> Iterator[tuple[bytes, int]]:
-    """The content of compressed bytes in pieces, with the compressed length so far.
+class _Part:
+    """How much of its bytes a compressed part took, and whether it has a fault."""
+
+    def __init__(self):
+        self.used, self.fault = 0, False
 
-    What follows the compressed part is ignored, and so is what follows a fault.
+
+def _unpacked(source: Iterator[bytes], part: _Part) -> Iterator[bytes]:
+    """The content of compressed bytes, in pieces of ``PIECE``, the last one shorter.
+
+    What follows the compressed part is ignored, and so is what follows a fault. The bytes
+    go in ``STEP`` at a time, so what is kept before a fault doesn't depend on any length.
     """
-    try:
-        if data.startswith(b"\x28\xb5"):
-            with zstandard.ZstdDecompressor(max_window_size=1 << 27).stream_reader(data) as reader:
-                while piece := reader.read(PIECE):
-                    yield piece, len(data)
-            return
-        opened = next(make for head, make in _DECODERS.items() if data.startswith(head))()
-        rest = data
-        while not opened.eof and (piece := opened.decompress(rest, PIECE)):
-            rest = getattr(opened, "unconsumed_tail", b"")
-            yield piece, len(data) - len(opened.unused_data)
-    except _BAD:
-        return
+    opened, waiting, size = None, [], 0
+    for data in source:
+        opened = opened or next((make for head, make in _DECODERS.items() if data.startswith(head)))()
+        limit = (BLOCK_STEP,) if hasattr(opened, "needs_input") else ()
+        for at in range(0, len(data), STEP):
+            step = data[at : at + STEP]
+            part.used += len(step)
+            while not part.fault:
+                try:
+                    waiting.append(opened.decompress(step, *limit))
+                except _BAD:
+                    part.fault = True
+                    break
+                size += len(waiting[-1])
+                while size >= PIECE:
+                    held = b"".join(waiting)
+                    yield held[:PIECE]
+                    waiting, size = [held[PIECE:]], size - PIECE
+                if opened.eof or getattr(opened, "needs_input", True):
+                    break
+                step = b""
+            if opened.eof:
+                part.used -= len(opened.unused_data)
+            if opened.eof or part.fault:
+                break
+        else:
+            continue
+        break
+    if size:
+        yield b"".join(waiting)
+
+
+def _content(data: bytes, depth: int, outer: _Part) -> Iterator[bytes]:
+    """Bytes in pieces, unpacked ``depth`` times; ``outer`` tells of the first time."""
+    pieces = iter((data,))
+    for k in range(depth):
+        pieces = _unpacked(pieces, _Part() if k else outer)
+    return pieces
+
+
+def _digest(pieces: Iterable[bytes]) -> bytes:
+    digest = hashlib.blake2b(digest_size=16)
+    for piece in pieces:
+        digest.update(piece)
+    return digest.digest()
 
 
 def _readable(data: bytes) -> str | None:
@@ -194,45 +226,55 @@ def _readable(data: bytes) -> str | None:
     return text if _STRETCH.search(text) else None
 
 
-def _texts_of(data: bytes, opened: Opened) -> Iterator[tuple[str, int]]:
-    """Compressed bytes as texts, unpacked as often as they are compressed, and their length."""
-    used, seen = 0, set()
-    while data.startswith(_MAGIC):
-        digest = hashlib.blake2b(data, digest_size=16).digest()
-        if digest in seen:
+def _texts_of(data: bytes) -> Iterator[tuple[str, int, bool]]:
+    """Compressed bytes as texts, unpacked as often as they are compressed; their length, and
+    whether that is without a fault.
+
+    Contents of all lengths go the same way: each time in pieces, so memory stays bounded. What
+    is compressed again is scanned too, as it may only begin like compressed bytes.
+    """
+    first = outer = _Part()
+    # What is unpacked next is ``whole``, unpacked ``depth`` times.
+    whole, depth, head, ended, seen = data, 0, data, True, {}
+    while head.startswith(_MAGIC):
+        alike = seen.setdefault((_digest((head,)), ended), [])
+        if alike and (ended or _digest(_content(whole, depth, _Part())) in {_digest(_content(*a, _Part())) for a in alike}):
             break
-        seen.add(digest)
-        pieces = _stream(data)
-        if (first := next(pieces, None)) is None:
+        alike.append((b"", 0) if ended else (whole, depth))
+        pieces = _content(whole, depth + 1, outer)
+        if (inner := next(pieces, None)) is None:
             break
-        second = next(pieces, None) if len(first[0]) >= PIECE else None
-        used = used or first[1]
-        if second is not None:
-            if first[0].startswith(_MAGIC):
-                opened.unopened += 1
-                return
-            tail = b""
-            for piece, _ in itertools.chain((first, second), pieces):
-                digest = hashlib.blake2b(piece, digest_size=16).digest()
-                if digest not in opened.pieces and (text := _readable(tail + piece)):
-                    yield text, len(data)
-                opened.pieces.add(digest)
-                tail = piece[-OVERLAP:]
-            return
-        data = first[0]
-    if used and (text := _readable(data)):
-        yield text, used
-
-
-def _packed_parts(data: bytes, opened: Opened) -> Iterator[tuple[str, int, int]]:
-    """Text, start and end of the compressed parts anywhere in ``data``."""
+        head, depth = inner, depth + 1
+        if ended := next(pieces, None) is None:
+            # All of it is held, so the next time starts here.
+            whole, depth, outer = inner, 0, _Part()
+        elif whole is data and depth == 1:
+            # The end of a long part is known when all of it was unpacked.
+            first = _Part()
+            for _ in _content(data, 1, first):
+                pass
+        tail, met = b"", set()
+        for piece in _content(whole, depth, _Part()):
+            digest = _digest((tail, piece))
+            if digest not in met and (text := _readable(tail + piece)):
+                yield text, first.used, not first.fault
+            met.add(digest)
+            tail = piece[-OVERLAP:]
+
+
+def _packed_parts(data: bytes) -> Iterator[tuple[str, int, int]]:
+    """Text, start and end of the compressed parts anywhere in ``data``.
+
+    After a part with a fault the search goes on inside it.
+    """
     done = 0
     for m in _PACKED.finditer(data):
         if m.start() < done:
             continue
-        for text, used in _texts_of(data[m.start() :], opened):
-            done = m.start() + used
-            yield text, m.start(), done
+        for text, used, sound in _texts_of(data[m.start() :]):
+            if sound:
+                done = m.start() + used
+            yield text, m.start(), m.start() + used
 
 
 def _replaced(layer: Layer, regions: list[tuple[int, int, str]]) -> Layer | None:
@@ -256,7 +298,7 @@ def _replaced(layer: Layer, regions: list[tuple[int, int, str]]) -> Layer | None
     return Layer("".join(text), layer, pieces) if text else None
 
 
-def _url_layers(layer: Layer, opened: Opened) -> Iterator[Layer | None]:
+def _url_layers(layer: Layer) -> Iterator[Layer | None]:
     if "%" not in layer.text:
         return
     regions = []
@@ -270,11 +312,11 @@ def _url_layers(layer: Layer, opened: Opened) -> Iterator[Layer | None]:
                 regions.append((at, at + width, c))
             at += width
     for m in _URL_TOKEN.finditer(layer.text) if regions or _URL_BYTE.search(layer.text) else ():
-        yield from _url_packed(layer, m.start(), m.group(), opened)
+        yield from _url_packed(layer, m.start(), m.group())
     yield _replaced(layer, regions)
 
 
-def _url_packed(layer: Layer, origin: int, token: str, opened: Opened) -> Iterator[Layer]:
+def _url_packed(layer: Layer, origin: int, token: str) -> Iterator[Layer]:
     """Compressed bytes in a word with URL escapes; its plain letters stand for themselves."""
     data = _URL_BYTE.sub(lambda m: chr(int(m[1], 16)), token)
     if not data.isascii() and not all(ord(c) < 256 for c in data):
@@ -287,12 +329,12 @@ def _url_packed(layer: Layer, origin: int, token: str, opened: Opened) -> Iterat
         starts.extend(range(at, m.start() + 1))
         at = m.end()
     starts.extend(range(at, len(token) + 1))
-    for text, start, end in _packed_parts(raw, opened):
+    for text, start, end in _packed_parts(raw):
         first, last = starts[start], starts[end] if end < len(starts) else len(token)
         yield Layer(text, layer, [(0, origin + first, len(text), last - first)])
 
 
-def _escaped_bytes(layer: Layer, opened: Opened) -> Iterator[Layer]:
+def _escaped_bytes(layer: Layer) -> Iterator[Layer]:
     """Compressed bytes that are written with escapes; plain letters stand for themselves."""
     values, starts, ends, at = [], [], [], 0
 
@@ -324,12 +366,12 @@ def _escaped_bytes(layer: Layer, opened: Opened) -> Iterator[Layer]:
     plain(len(layer.text))
     for run in re.finditer(r"[\x00-\xff]{8,}", "".join(values)):
         first = run.start()
-        for text, start, end in _packed_parts(run.group().encode("latin-1"), opened):
+        for text, start, end in _packed_parts(run.group().encode("latin-1")):
             start, end = starts[first + start], ends[first + end - 1]
             yield Layer(text, layer, [(0, start, len(text), end - start)])
 
 
-def _escape_layers(layer: Layer, opened: Opened) -> Iterator[Layer | None]:
+def _escape_layers(layer: Layer) -> Iterator[Layer | None]:
     if "\\" not in layer.text and "&" not in layer.text:
         return
     regions: list[tuple[int, int, str]] = []
@@ -353,7 +395,7 @@ def _escape_layers(layer: Layer, opened: Opened) -> Iterator[Layer | None]:
                 continue
         regions.append((m.start(), m.end(), value))
     if regions:
-        yield from _escaped_bytes(layer, opened)
+        yield from _escaped_bytes(layer)
     # Half a pair alone is no character.
     yield _replaced(layer, [r for r in regions if not any(0xD800 <= ord(c) <= 0xDFFF for c in r[2])])
 
@@ -375,7 +417,7 @@ def _base64_runs(text: str) -> Iterator[tuple[int, int]]:
             end = stop
 
 
-def _base64_layers(layer: Layer, opened: Opened) -> Iterator[Layer | None]:
+def _base64_layers(layer: Layer) -> Iterator[Layer | None]:
     for begin, stop in _base64_runs(layer.text):
         # Places of the code letters in the text.
         at, letters = begin, []
@@ -397,7 +439,7 @@ def _base64_layers(layer: Layer, opened: Opened) -> Iterator[Layer | None]:
                 start, end = letters[shift + start * 8 // 6], letters[shift - (-end * 8 // 6) - 1] + 1
                 return start, end - start
 
-            for text, start, end in _packed_parts(data, opened):
+            for text, start, end in _packed_parts(data):
                 there, outer = place(start, end)
                 yield Layer(text, layer, [(0, there, len(text), outer)])
             text = _readable(data)
@@ -412,17 +454,17 @@ def _base64_layers(layer: Layer, opened: Opened) -> Iterator[Layer | None]:
             yield Layer(text, layer, pieces)
 
 
-def _inner(layer: Layer, opened: Opened) -> Iterator[Layer | None]:
-    yield from _url_layers(layer, opened)
-    yield from _escape_layers(layer, opened)
-    yield from _base64_layers(layer, opened)
+def _inner(layer: Layer) -> Iterator[Layer | None]:
+    yield from _url_layers(layer)
+    yield from _escape_layers(layer)
+    yield from _base64_layers(layer)
 
 
 def find(text: str | None) -> tuple[list[Span], list[Span], int]:
-    """Spans of the text itself, spans of all layers, and how many layers weren't opened."""
+    """Spans of the text itself, spans of all layers, and how many layers weren't opened: none."""
     base = scan(text or "")
-    spans, opened, met = set(base), Opened(), set()
-    work = [_inner(Layer(text or ""), opened)]
+    spans, met = set(base), set()
+    work = [_inner(Layer(text or ""))]
     while work:
         try:
             inner = next(work[-1])
@@ -433,8 +475,8 @@ def find(text: str | None) -> tuple[list[Span], list[Span], int]:
             continue
         met.add(key)
         spans.update((*inner.original(start, end), kind) for start, end, kind in scan(inner.text))
-        work.append(_inner(inner, opened))
-    return base, sorted(spans, key=lambda s: (s[0], ORDER[s[2]], s[1])), opened.unopened
+        work.append(_inner(inner))
+    return base, sorted(spans, key=lambda s: (s[0], ORDER[s[2]], s[1])), 0
 
 
 def joined(spans: list[Span]) -> str:

@@ -322,3 +322,26 @@ def test_quality_rules_edges(docs, nothing):
     rows = quality_rules.judge(docs, labels.limit(0)).collect()
     assert {r.ratio for r in rows} == {0.0} and all(r.kept != r.base_failed for r in rows)
     assert quality_rules.judge(nothing, labels).count() == 0
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress, lambda d: zstandard.ZstdCompressor().compress(d)])
+def test_secrets_in_content_of_any_length(pack, monkeypatch):
+    """Bytes after the content, content compressed again, a fault and a second copy, short or in pieces."""
+    plain = random.Random(7).randbytes(6000).hex().replace("a", " ").encode() + b"\npassword=abcdef123 "
+    plain += b"".join(b"%d.." % n for n in range(2000))
+    cut = bytearray(pack(plain))
+    cut[-4:] = b"\x01\x02\x03\x04"
+    cases = [pack(plain) + b"rest of it", pack(pack(plain)), pack(pack(pack(plain))), bytes(cut)]
+    texts = ["see " + "".join(f"%{c:02x}" for c in case) + " end" for case in cases]
+    texts += [f"{text} and {text}" for text in texts]
+    expected = [secret_scan.find(text) for text in texts]
+    for _, spans, unopened in expected[:3]:
+        assert unopened == 0 and "assign" in {kind for *_, kind in spans}
+    monkeypatch.setattr(secret_scan, "PIECE", 1000)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 200)
+    assert [secret_scan.find(text) for text in texts] == expected
+
+
+def test_text_that_begins_like_compressed_bytes():
+    found = secret_scan.find(base64.b64encode(gzip.compress(b"x^2 = y, password=abcdef123 and more")).decode())
+    assert "assign" in {kind for *_, kind in found[1]}
