@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -155,11 +156,39 @@ def put_bytes(spark: SparkSession, path: str, content: bytes) -> None:
         out.close()
 
 
+# Rows of a file that is a single row group, of some 30 MB at most.
+GROUP_ROWS = 100_000
+
+
+def write_row_groups(df: DataFrame, path: str) -> str:
+    """Files of one row group each, as many as the rows need."""
+    df.write.option("maxRecordsPerFile", GROUP_ROWS).parquet(path)
+    return path
+
+
 def damage_pages(spark: SparkSession, folder: str, path: str) -> None:
     """The only Parquet file of ``folder`` at ``path``, with its first page overwritten.
 
     Its footer stays as it was.
     """
-    content = bytearray(spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder).first()["content"])
-    content[4:44] = b"\xff" * 40
-    put_bytes(spark, path, bytes(content))
+    damage_files(spark, folder, lambda name: path)
+
+
+def damage_files(spark: SparkSession, folder: str, target: Callable[[str], str]) -> None:
+    """Every Parquet file of ``folder`` that has rows, with its first page overwritten.
+
+    ``target`` gives the new path of a file name. Bytes go a buffer at a time.
+    """
+    files, _ = _file_system(spark, folder)
+    hadoop = spark._jvm.org.apache.hadoop
+    names = spark.read.parquet(folder).select(F.col("_metadata.file_path").alias("path")).distinct()
+    for row in names.collect():
+        source = files.open(hadoop.fs.Path(row["path"]))
+        out = files.create(hadoop.fs.Path(target(row["path"].rsplit("/", 1)[-1])), True)
+        try:
+            out.write(bytearray(b"PAR1" + b"\xff" * 40))
+            source.seek(44)
+            hadoop.io.IOUtils.copyBytes(source, out, 1 << 16, False)
+        finally:
+            out.close()
+            source.close()

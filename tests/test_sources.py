@@ -160,3 +160,12 @@ def test_missing_values_have_a_bin_of_their_own(spark):
     assert training.score(rows, model).columns == ["a", "b", LABEL, "prediction"]
     binned = training._binned(rows, training.bin_features(rows, ["a", "b"]), LABEL)
     assert binned.rdd.getNumPartitions() == 1 and binned.columns == ["_label", "_features"]
+
+
+def test_damaged_input_grows_by_files(spark, tmp_path, monkeypatch):
+    """The rows to lose are in as many files as they need, each damaged and lost as a whole."""
+    monkeypatch.setattr(X, "GROUP_ROWS", 10)
+    rows = spark.range(95).repartition(1)
+    X.damage_files(spark, X.write_row_groups(rows, f"{tmp_path}/whole"), lambda name: f"{tmp_path}/in/{name}")
+    _, files = readers.read_tolerant(spark, f"{tmp_path}/in", rows.schema)
+    assert files.agg(F.count("path"), F.sum("expected"), F.sum("lost"), F.max("expected")).first()[:] == (10, 95, 95, 10)
