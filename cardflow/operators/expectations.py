@@ -152,26 +152,34 @@ def _copies(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def run_suite(df: DataFrame, suite: Sequence[Rule], name: str) -> DataFrame:
+def run_suite(
+    df: DataFrame, suite: Sequence[Rule], name: str, failed: DataFrame | None = None
+) -> DataFrame:
     """One row per rule: rows checked, rows that fail it and whether it holds.
 
     All rules share a single aggregate. Uniqueness adds one grouped count per
-    column. A rule on an absent column fails without a job.
+    column. A rule on an absent column fails without a job. ``failed`` gives the rows
+    of ``df`` that ``tag_failures`` has tagged with this suite: rules on rows and
+    uniqueness are then counted from their ``failed_rules`` and not checked again.
     """
+    counted = failed is not None and _told_apart(suite)
     totals = [F.count(F.lit(1)).alias("rows")]
     results = []
     for i, rule in enumerate(suite):
-        failed = F.lit(None).cast("long")
+        unexpected = F.lit(None).cast("long")
         if rule.level == SCHEMA or not _applies(df, rule):
             success = F.lit(_applies(df, rule))
+        elif rule.level in (ROW, UNIQUE) and counted:
+            unexpected = F.coalesce(F.col("_failed")[rule.name], F.lit(0).cast("long"))
+            success = unexpected == 0
         elif rule.level == ROW:
             totals.append(F.count_if(~rule.check(df)).alias(f"r{i}"))
-            failed, success = F.col(f"r{i}"), F.col(f"r{i}") == 0
+            unexpected, success = F.col(f"r{i}"), F.col(f"r{i}") == 0
         elif rule.level == UNIQUE:
             # Summed as a scalar subquery of the grouped counts.
             count = _copies(df, rule.column).agg(F.coalesce(F.sum("_rows"), F.lit(0)))
-            failed = count.scalar()
-            success = failed == 0
+            unexpected = count.scalar()
+            success = unexpected == 0
         else:
             totals.append(rule.check(df).alias(f"r{i}"))
             success = F.col(f"r{i}")
@@ -180,12 +188,15 @@ def run_suite(df: DataFrame, suite: Sequence[Rule], name: str) -> DataFrame:
                 F.lit(i).alias("position"),
                 F.lit(rule.kind).alias("expectation"),
                 F.lit(rule.column).alias("column"),
-                failed.alias("unexpected"),
+                unexpected.alias("unexpected"),
                 success.alias("success"),
             )
         )
+    total = df.agg(*totals)
+    if counted:
+        total = total.withColumn("_failed", _failures(failed).scalar())
     return (
-        df.agg(*totals)
+        total
         .select("rows", F.inline(F.array(*results)))
         .select(
             F.lit(name).alias("suite"),
@@ -199,6 +210,20 @@ def run_suite(df: DataFrame, suite: Sequence[Rule], name: str) -> DataFrame:
     )
 
 
+def _told_apart(suite: Sequence[Rule]) -> bool:
+    """Whether each rule can be found by its name in ``failed_rules``, a split text."""
+    names = [rule.name for rule in suite if rule.level in (ROW, UNIQUE)]
+    return len(set(names)) == len(names) and not any("," in name for name in names)
+
+
+def _failures(failed: DataFrame) -> DataFrame:
+    """One map of rule names to numbers of tagged rows."""
+    counts = failed.select(F.explode("failed_rules").alias("_rule")).groupBy("_rule").agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    return counts.agg(F.map_from_entries(F.collect_list(F.struct("_rule", "_n"))))
+
+
 def summarize_suite(results: DataFrame, evaluated_at: datetime | None = None) -> DataFrame:
     """One row per suite: passed, number of rules, the rules that failed, and the given time."""
     failed = F.when(~F.col("success"), F.concat_ws(":", "expectation", "column"))

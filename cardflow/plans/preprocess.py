@@ -54,7 +54,8 @@ def _store(df: DataFrame, suite: list[Rule], root: str, stage: str, batch_id: st
     """Check a stage's rows, write them once, and return those that go on.
 
     One pass writes passed and failed rows to separate folders. The suite's result
-    and the dead letter are then read from what was written.
+    and the dead letter are then read from what was written; rules on rows are counted
+    from the failed ones, and only rules on the table read all rows again.
     """
     spark = df.sparkSession
     tagged = tag_failures(df, suite)
@@ -62,12 +63,12 @@ def _store(df: DataFrame, suite: list[Rule], root: str, stage: str, batch_id: st
     # The schema is given, because a batch may have lost all its rows by now.
     checked = spark.read.schema(f"{tagged.schema.toDDL()}, outcome STRING").parquet(path)
     document = f"{root}/validation/{stage}/batch_id={batch_id}"
-    run_suite(checked.select(*df.columns), suite, stage).write.mode("overwrite").parquet(document)
+    failed = checked.filter("outcome = 'failed'").drop("outcome")
+    results = run_suite(checked.select(*df.columns), suite, stage, failed)
+    results.write.mode("overwrite").parquet(document)
     results = spark.read.parquet(document)
     if only_table_level(results):
         failed = checked.drop("outcome").withColumn("failed_rules", broken_rules(results))
-    else:
-        failed = checked.filter("outcome = 'failed'").drop("outcome")
     write_dead_letter(failed, f"{root}/dead-letter", f"{stage}_validation", batch_id)
     return checked.filter("outcome = 'passed'").select(*df.columns)
 

@@ -5,9 +5,10 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from cardflow.operators import expectations
 from cardflow.operators.assemble import dataset_metadata
 from cardflow.plans import dataset, monitor, preprocess, training, training_run
-from cardflow.schema import BASELINE_SCHEMA, ID, LABEL, MODEL_COLS, TS
+from cardflow.schema import BASELINE_SCHEMA, FEATURE_TABLE_COLS, ID, LABEL, MODEL_COLS, PROCESSED_COLS, TS
 from cardflow.sources import readers, writers
 from checks import fixtures as X
 
@@ -128,3 +129,25 @@ def test_a_repeated_batch_changes_no_state(spark, tmp_path):
     assert [r[:] for r in repeated] == stored
     with pytest.raises(ValueError):
         preprocess.process_batch(parts[0], root, "b1", carry=True)
+
+
+@pytest.mark.parametrize("stage", ["raw", "processed", "features"])
+def test_stored_suite_counts_the_tagged_rows(spark, tmp_path, plan_of, stage):
+    """A stage's document, counted from failed rows, is what checking every row again gives."""
+    raw = X.tx_raw(spark, SMALL)
+    preprocess.process_batch(raw, str(tmp_path), "b")
+    stored = spark.read.parquet(f"{tmp_path}/{stage}/batch_id=b")
+    rows, failed = stored.drop("outcome", "failed_rules"), stored.filter("outcome = 'failed'")
+    suites = {
+        "raw": expectations.raw_suite(),
+        "processed": expectations.processed_suite(PROCESSED_COLS),
+        "features": expectations.feature_suite(FEATURE_TABLE_COLS),
+    }
+    want = expectations.run_suite(rows, suites[stage], stage)
+    got = spark.read.parquet(f"{tmp_path}/validation/{stage}/batch_id=b")
+    assert got.dtypes == want.dtypes
+    assert sorted(got.collect(), key=lambda r: r["position"]) == want.collect()
+    assert stage == "features" or want.filter("unexpected > 0").count() > 0
+    counted = plan_of(expectations.run_suite(rows, suites[stage], stage, failed))
+    # Unless a rule is on the table, no column of the passed rows is read.
+    assert ("V1:double" in counted) == (stage == "features")
