@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
@@ -45,7 +46,12 @@ SORTED_ROWS = 20_000
 
 
 def _nth_row(rows: DataFrame, n: int, wanted: int) -> tuple | None:
-    """Values of all columns, whole numbers, of the ``wanted``-th of ``n`` rows in their order.
+    """Values of all columns, whole numbers, of the ``wanted``-th of ``n`` rows in their order."""
+    return _nth_and_tie(rows, n, wanted)[0]
+
+
+def _nth_and_tie(rows: DataFrame, n: int, wanted: int) -> tuple[tuple | None, bool]:
+    """The ``wanted``-th row, and whether the row after it has the same values.
 
     A percentile sketch brackets the value of the first column in one pass, and exact counts
     around the bracket in a second one tell where the row is, so a sketch that errs costs a
@@ -53,7 +59,7 @@ def _nth_row(rows: DataFrame, n: int, wanted: int) -> tuple | None:
     and rows of one value are told apart by the next column. None when the table is smaller.
     """
     if wanted > n:
-        return None
+        return None, False
     found: list[int] = []
     for name in rows.columns:
         value = F.col(name)
@@ -82,8 +88,10 @@ def _nth_row(rows: DataFrame, n: int, wanted: int) -> tuple | None:
                 found.append(low if which == 1 else high)
                 break
         if n <= SORTED_ROWS:
-            return tuple(rows.orderBy(*rows.columns).offset(wanted - 1).limit(1).first())
-    return tuple(found)
+            two = rows.orderBy(*rows.columns).offset(wanted - 1).limit(2)
+            ends = two.agg(F.sort_array(F.collect_list(F.struct(*rows.columns)))).first()[0]
+            return tuple(ends[0]), len(ends) == 2 and ends[0] == ends[1]
+    return tuple(found), wanted < n
 
 
 def _up_to(levels: Sequence[Column], found: Sequence) -> Column:
@@ -121,25 +129,48 @@ def _named(levels: Sequence[Column]) -> list[Column]:
     return [level.alias(f"_level_{k}") for k, level in enumerate(levels)]
 
 
+def _cut(
+    df: DataFrame, own: Sequence[Column], keys: DataFrame, levels: Sequence[Column], n: int, wanted: int
+) -> tuple[Column, tuple] | None:
+    """Condition for the first ``wanted`` of ``n`` rows, and the levels of the last one.
+
+    ``levels`` of ``keys``, which holds only what they are made of, are those that ``own`` makes
+    of ``df``. The content of a row counts only among rows that share all levels with the
+    last one, and is made of those alone: of all rows it would take every column, and
+    so all work that went into them, to find a cut that times and ids tell.
+    """
+    found, tied = _nth_and_tie(keys.select(*_named(levels)), n, wanted)
+    if found is None:
+        return None
+    if not tied:
+        return _up_to(own, found), found
+    before = _up_to(levels, found)
+    same = reduce(lambda a, b: a & b, [level == F.lit(v) for level, v in zip(levels, found, strict=True)])
+    below, equal = keys.agg(F.count_if(before & ~same), F.count_if(same)).first()
+    alike = reduce(lambda a, b: a & b, [level == F.lit(v) for level, v in zip(own, found, strict=True)])
+    content = df.filter(alike).select(_content_key(df).alias("_content"))
+    last = _nth_row(content, equal, wanted - below)
+    return _up_to([*own, _content_key(df)], [*found, *last]), found
+
+
 def _time_cut(
     df: DataFrame, ts: str, row_id: str, fraction: float
 ) -> tuple[Column, int] | None:
     """Condition for the first ``int(n * fraction)`` rows, and the time of the cut in microseconds."""
-    levels = lambda time, key, content: [F.unix_micros(time), *_key_levels(key), content]
-    keys = df.select(
-        _time_or_last(ts).alias("_time"), F.col(row_id).alias("_id"), _content_key(df).alias("_content")
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    levels = lambda time, key: [F.unix_micros(time), *_key_levels(key)]
+    keys = df.select(_time_or_last(ts).alias("_time"), F.col(row_id).alias("_id"))
+    keys = keys.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = keys.count()
         wanted = int(n * fraction)
         if wanted == 0:
             return None
         # The key of an id is made where times tie, not for all rows.
-        rows = keys.select(*_named(levels(F.col("_time"), _row_key("_id"), F.col("_content"))))
-        found = _nth_row(rows, n, wanted)
+        own = levels(_time_or_last(ts), _row_key(row_id))
+        condition, found = _cut(df, own, keys, levels(F.col("_time"), _row_key("_id")), n, wanted)
     finally:
         keys.unpersist()
-    return _up_to(levels(_time_or_last(ts), _row_key(row_id), _content_key(df)), found), found[0]
+    return condition, found[0]
 
 
 def mark_train(
@@ -189,11 +220,9 @@ def stratified_snapshot(
     count in the rate but are not drawn. Drawn are the smallest spread keys; rows of
     one id, or without one, follow their content.
     """
-    levels = lambda key, content: [*_key_levels(key), content]
-    keys = df.select(
-        F.col(label).alias("_label"), F.col(row_id).alias("_id"), _content_key(df).alias("_content")
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    own = levels(_row_key(row_id, seed), _content_key(df))
+    keys = df.select(F.col(label).alias("_label"), F.col(row_id).alias("_id"))
+    keys = keys.persist(StorageLevel.MEMORY_AND_DISK)
+    own = _key_levels(_row_key(row_id, seed))
     try:
         totals = keys.agg(
             F.count(F.lit(1)).alias("rows"),
@@ -209,9 +238,8 @@ def stratified_snapshot(
             part = F.col(label) == value
             if wanted:
                 stratum = keys.filter(F.col("_label") == value)
-                stratum = stratum.select(*_named(levels(_row_key("_id", seed), F.col("_content"))))
-                found = _nth_row(stratum, n, wanted)
-                drawn = drawn | (part & _up_to(own, found) if found else part)
+                cut = _cut(df.filter(part), own, stratum, _key_levels(_row_key("_id", seed)), n, wanted)
+                drawn = drawn | (part & cut[0] if cut else part)
         return df.filter(drawn)
     finally:
         keys.unpersist()

@@ -352,3 +352,30 @@ def test_cuts_take_few_passes(spark, monkeypatch):
     assert (train.count(), test.count(), len(passes)) == (48_000, 12_000, 3)
     passes.clear()
     assert selection.stratified_snapshot(rows, 1000).count() == 1000 and len(passes) <= 6
+
+
+def test_cuts_read_no_other_column(spark, monkeypatch):
+    """Times and ids tell the cut; content is asked only of rows that tie in both."""
+    asked = []
+    content = selection._content_key
+    monkeypatch.setattr(selection, "_content_key", lambda df: asked.append(1) or content(df))
+    rows = spark.range(5000).select(
+        F.concat(F.lit("t"), "id").alias(ID),
+        F.timestamp_seconds(F.floor(F.col("id") / 3)).alias(TS),
+        (F.col("id") % 10 == 0).cast("int").alias(LABEL),
+        F.col("id").cast("double").alias("V1"),
+    )
+    train, test = selection.temporal_split(rows)
+    assert (train.count(), test.count()) == (4000, 1000)
+    assert selection.stratified_snapshot(rows, size=100).count() == 100
+    assert not asked
+
+    # Most rows share time and id, so both cuts fall among them; content decides there.
+    tied = rows.withColumn(ID, F.lit("same")).withColumn(TS, F.timestamp_seconds(F.lit(5)))
+    tied = tied.unionByName(rows.filter("V1 < 40"))
+    marked = selection.mark_train(tied, fraction=0.5).withColumn("c", content(tied))
+    sides = marked.filter(F.col(ID) == "same").groupBy("is_train").agg(F.min("c"), F.max("c"), F.count("*"))
+    found = {r[0]: r[1:] for r in sides.collect()}
+    assert found[True][1] < found[False][0] and marked.filter("is_train").count() == 2520
+    assert selection.stratified_snapshot(tied, size=100).count() == 100
+    assert asked
