@@ -1,9 +1,9 @@
 """Boosted trees on binned columns, grown for many settings in the same passes over the rows.
 
 The trees are those of MLlib's ``GBTClassifier`` (logistic loss, variance, whole rows and all
-columns), and the result is its model. What differs is the way to them: rows are kept as blocks
+columns, bins as categories), and the result is its model. What differs is the way to them: rows are kept as blocks
 of one byte per bin, a pass counts one level of a tree of every setting, only the smaller child
-of a split is counted (its sibling is the rest of the parent), and every bin is a candidate.
+of a split is counted (its sibling is the rest of the parent).
 """
 
 from __future__ import annotations
@@ -43,15 +43,15 @@ class Blocks:
     """Labels (ones first) and bins, one row of bytes per column, in blocks of rows."""
 
     rdd: RDD
-    columns: int
-    bins: int
+    # Number of bins of each column.
+    bins: tuple[int, ...]
 
     def unpersist(self) -> None:
         self.rdd.unpersist()
 
 
-def pack(df: DataFrame, label: str, binned: Sequence[str], bins: int) -> Blocks:
-    """Blocks of ``df``, kept. Bins are whole numbers below ``bins``, at most 256 of them."""
+def pack(df: DataFrame, label: str, binned: Sequence[str], bins: Sequence[int]) -> Blocks:
+    """Blocks of ``df``, kept. Bins are whole numbers below those of ``bins``, at most 255."""
     known = F.when(F.col(label).isin(0, 1), F.col(label).cast("tinyint")).otherwise(
         F.raise_error(F.lit("a label to learn from must be 0 or 1"))
     )
@@ -86,7 +86,7 @@ def pack(df: DataFrame, label: str, binned: Sequence[str], bins: int) -> Blocks:
     rdd = packs.repartition(tasks).rdd.mapPartitions(merged).persist(StorageLevel.MEMORY_AND_DISK)
     rdd.count()
     packs.unpersist()
-    return Blocks(rdd, len(binned), bins)
+    return Blocks(rdd, tuple(bins))
 
 
 def _block(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -97,10 +97,12 @@ def _block(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Tree:
-    """Nodes as columns. ``child`` holds left and right of each node; a leaf leads to itself."""
+    """Nodes as columns: the column asked, 1 for each of its bins that leads right, and the
+    children, left and right of each node. A leaf leads to itself."""
 
+    width: int
     column: list[int] = field(default_factory=list)
-    cut: list[int] = field(default_factory=list)
+    right: list[np.ndarray] = field(default_factory=list)
     child: list[int] = field(default_factory=list)
     value: list[float] = field(default_factory=list)
     gain: list[float] = field(default_factory=list)
@@ -109,32 +111,35 @@ class Tree:
     def add(self, weight: float, total: float, square: float, count: int) -> int:
         node = len(self.column)
         self.column.append(0)
-        self.cut.append(0)
+        self.right.append(np.zeros(self.width, np.uint8))
         self.child += [node, node]
         self.value.append(total / weight if weight > 0 else 0.0)
         self.gain.append(-1.0)
         self.stats.append((weight, total, square, count))
         return node
 
-    def split(self, node: int, column: int, cut: int, gain: float, left: int, right: int) -> None:
-        self.column[node], self.cut[node], self.gain[node] = column, cut, gain
+    def split(self, node: int, column: int, bins: np.ndarray, gain: float, left: int, right: int) -> None:
+        """Rows with one of ``bins`` go left."""
+        self.column[node], self.gain[node] = column, gain
+        self.right[node][:] = 1
+        self.right[node][bins] = 0
         self.child[2 * node : 2 * node + 2] = [left, right]
 
     def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        return np.array(self.column), np.array(self.cut, np.uint8), np.array(self.child), np.array(self.value)
+        return np.array(self.column), np.array(self.right, np.uint8).reshape(-1), np.array(self.child), np.array(self.value)
 
 
 def _reached(bins: np.ndarray, tree: tuple, levels: int) -> np.ndarray:
     """The node of each row after ``levels`` steps from the root."""
-    column, cut, child, _ = tree
+    column, right, child, _ = tree
     n = bins.shape[1]
     if not levels:
         return np.zeros(n, np.int64)
-    node = child.take((bins[column[0]] > cut[0]).view(np.int8))
+    node = child.take(right.take(bins[column[0]]))
     flat, at = bins.reshape(-1), np.arange(n)
-    starts = column * n
+    starts, width = column * n, right.size // column.size
     for _ in range(levels - 1):
-        node = child.take(2 * node + (flat.take(starts.take(node) + at) > cut.take(node)))
+        node = child.take(2 * node + right.take(node * width + flat.take(starts.take(node) + at)))
     return node
 
 
@@ -190,7 +195,7 @@ class _Growing:
     def __init__(self, margin: int, depth: int, heavy: float, columns: int, width: int):
         self.margin, self.depth, self.heavy = margin, depth, heavy
         self.columns, self.width = columns, width
-        self.tree, self.levels = Tree(), 0
+        self.tree, self.levels = Tree(width), 0
         # Splits whose smaller child is to be counted: it, its sibling, the parent and its counts.
         self.asked: list[tuple[int, int, int, np.ndarray]] = []
 
@@ -220,10 +225,15 @@ class _Growing:
             self._split(nodes)
 
     def _split(self, nodes: list[tuple[int, np.ndarray]]) -> None:
-        left = np.cumsum(np.stack([counts for _, counts in nodes]), axis=3)[..., :-1]
+        found = np.stack([counts for _, counts in nodes])
+        weigh = lambda side: side[:, 1] + self.heavy * side[:, 2]
+        # The best set of bins is a beginning of those in the order of their means.
+        with np.errstate(divide="ignore", invalid="ignore"):
+            means = np.where(weigh(found) > 0, found[:, 0] / weigh(found), np.inf)
+        order = np.argsort(means, axis=2, kind="stable")
+        left = np.cumsum(np.take_along_axis(found, order[:, None], axis=3), axis=3)[..., :-1]
         whole = np.stack([counts[:, 0].sum(axis=1) for _, counts in nodes])[:, :, None, None]
         right = whole - left
-        weigh = lambda side: side[:, 1] + self.heavy * side[:, 2]
         wl, wr, w = weigh(left), weigh(right), weigh(whole)
         with np.errstate(divide="ignore", invalid="ignore"):
             gains = (left[:, 0] ** 2 / wl + right[:, 0] ** 2 / wr - whole[:, 0] ** 2 / w) / w
@@ -238,7 +248,7 @@ class _Growing:
                 total, zeros, ones = (float(x) for x in side[k, :, column, cut])
                 # Squares are known when a node is counted, which the last ones need not be.
                 pair.append(self.tree.add(float(heft[k, column, cut]), total, math.nan, int(zeros + ones)))
-            self.tree.split(node, int(column), int(cut), float(gain), *pair)
+            self.tree.split(node, int(column), order[k, column, : cut + 1], float(gain), *pair)
             if self.levels < self.depth:
                 small = sorted(pair, key=lambda child: self.tree.stats[child][3])
                 self.asked.append((*small, node, counts))
@@ -250,6 +260,8 @@ def grow(blocks: Blocks, settings: Sequence) -> list[list[Tree]]:
     The first tree learns the labels as -1 and 1, each later one the gradient of the loss.
     """
     done: list[list[Tree]] = [[] for _ in settings]
+    # A value without a bin, which Bucketizer may keep, is one more.
+    columns, width = len(blocks.bins), max(blocks.bins) + 1
     state, kept, chained = blocks.rdd, list(range(len(settings))), 0
 
     def step(margin: int, k: int, t: int) -> tuple:
@@ -271,11 +283,11 @@ def grow(blocks: Blocks, settings: Sequence) -> list[list[Tree]]:
                 adding = lambda parts, steps=steps, keep=keep: _added(parts, steps, keep)
                 state, kept = source.mapPartitions(adding).persist(StorageLevel.MEMORY_AND_DISK), live
             growing = [
-                _Growing(i, settings[k].max_depth, settings[k].positive_weight, blocks.columns, blocks.bins)
+                _Growing(i, settings[k].max_depth, settings[k].positive_weight, columns, width)
                 for i, k in enumerate(kept)
             ]
             while asked := [g for g in growing if g.open()]:
-                found = _sum(state, [g.job() for g in asked], blocks.columns, blocks.bins)
+                found = _sum(state, [g.job() for g in asked], columns, width)
                 for g, sums, totals in zip(asked, found[::2], found[1::2]):
                     g.take(sums, totals)
                 if old is not state and old is not blocks.rdd:
@@ -296,7 +308,7 @@ _NODE = (
 )
 
 
-def _nodes(tree: Tree) -> Iterator[tuple]:
+def _nodes(tree: Tree, bins: Sequence[int]) -> Iterator[tuple]:
     """Nodes as MLlib stores them: numbered before their children, left before right."""
     order, stack = [], [0]
     while stack:
@@ -312,12 +324,14 @@ def _nodes(tree: Tree) -> Iterator[tuple]:
         impurity = (square - total * total / weight) / weight if weight > 0 else 0.0
         ends, split = (-1, -1), (-1, [], -1)
         if left != node:
-            ends, split = (number[left], number[right]), (tree.column[node], [tree.cut[node] + 0.5], -1)
+            column = tree.column[node]
+            lefts = np.flatnonzero(tree.right[node] == 0).astype(float).tolist()
+            ends, split = (number[left], number[right]), (column, lefts, bins[column])
         yield number[node], tree.value[node], impurity, [weight, total, square], count, tree.gain[node], *ends, split
 
 
 def to_model(
-    spark: SparkSession, path: str, trees: Sequence[Tree], estimator: GBTClassifier, columns: int
+    spark: SparkSession, path: str, trees: Sequence[Tree], estimator: GBTClassifier, bins: Sequence[int]
 ) -> GBTClassificationModel:
     """The trees as MLlib's model, by way of its stored form under ``path``."""
     set_params = {p.name: v for p, v in estimator._paramMap.items()}
@@ -329,7 +343,7 @@ def to_model(
         "uid": estimator.uid,
         "paramMap": set_params,
         "defaultParamMap": defaults,
-        "numFeatures": columns,
+        "numFeatures": len(bins),
         "numTrees": len(trees),
     }
     one = {
@@ -340,7 +354,7 @@ def to_model(
     }
     rates = [1.0, *[estimator.getStepSize()] * (len(trees) - 1)]
     each = [(k, json.dumps({**one, "uid": f"{estimator.uid}_{k}"}), rate) for k, rate in enumerate(rates)]
-    nodes = [(k, node) for k, tree in enumerate(trees) for node in _nodes(tree)]
+    nodes = [(k, node) for k, tree in enumerate(trees) for node in _nodes(tree, bins)]
     spark.createDataFrame([(json.dumps(whole),)], "value string").coalesce(1).write.text(f"{path}/metadata")
     spark.createDataFrame(each, "_1 int, _2 string, _3 double").coalesce(1).write.parquet(f"{path}/treesMetadata")
     spark.createDataFrame(nodes, _NODE).coalesce(1).write.parquet(f"{path}/data")

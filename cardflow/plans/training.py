@@ -98,9 +98,8 @@ def _binned(df: DataFrame, bins: PipelineModel, label: str) -> DataFrame:
 def _blocks(df: DataFrame, bins: PipelineModel, label: str) -> boosting.Blocks:
     """Label and bins as the trees are grown from them."""
     complete, into = bins.stages[:2]
-    # Each list of bounds has one bin less, and one bin more is kept for what has none.
-    most = max(len(bounds) for bounds in into.getSplitsArray())
-    return boosting.pack(into.transform(complete.transform(df)), label, into.getOutputCols(), most)
+    numbers = [len(bounds) - 1 for bounds in into.getSplitsArray()]
+    return boosting.pack(into.transform(complete.transform(df)), label, into.getOutputCols(), numbers)
 
 
 def _fit_all(blocks: boosting.Blocks, settings: Sequence[TreeParams], seed: int) -> list[GBTClassificationModel]:
@@ -119,7 +118,7 @@ def _fit_all(blocks: boosting.Blocks, settings: Sequence[TreeParams], seed: int)
             seed=seed,
         )
         path = f"{shared_dir(spark)}/trees-{uuid.uuid4().hex}"
-        return boosting.to_model(spark, path, grown, estimator, blocks.columns)
+        return boosting.to_model(spark, path, grown, estimator, blocks.bins)
 
     grown = boosting.grow(blocks, settings)
     with ThreadPool(min(PARALLEL_TRIALS, len(settings))) as pool:

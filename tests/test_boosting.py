@@ -4,7 +4,6 @@ import random
 
 import pytest
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from cardflow.operators import boosting
@@ -29,8 +28,8 @@ def rows(spark):
     return spark.createDataFrame(made, ["y", *COLUMNS]).repartition(5).persist()
 
 
-def _mllib(rows, params):
-    vectors = VectorAssembler(inputCols=COLUMNS, outputCol="_features").transform(rows)
+def _mllib(rows, bins, params):
+    vectors = bins.transform(rows)
     trees = GBTClassifier(
         featuresCol="_features", labelCol="y", weightCol="w", maxDepth=params.max_depth, maxIter=params.trees,
         stepSize=params.learning_rate, maxBins=32, seed=1,
@@ -47,11 +46,12 @@ def _margins(model, vectors):
 def test_trees_equal_mllib(rows, chain, monkeypatch):
     monkeypatch.setattr(boosting, "TREES_A_CHAIN", chain)
     monkeypatch.setattr(boosting, "ROWS_A_TASK", 700)
-    blocks = boosting.pack(rows, "y", COLUMNS, 30)
+    bins = training.bin_features(rows, COLUMNS)
+    blocks = training._blocks(rows, bins, "y")
     assert blocks.rdd.getNumPartitions() == 5
     models = training._fit_all(blocks, SETTINGS, 1)
     for params, model in zip(SETTINGS, models, strict=True):
-        vectors, expected = _mllib(rows, params)
+        vectors, expected = _mllib(rows, bins, params)
         assert model.getNumTrees == params.trees and model.treeWeights == expected.treeWeights
         assert _margins(model, vectors) == pytest.approx(_margins(expected, vectors), abs=1e-9)
         # Of splits that part a node alike, rounding may choose another one.
@@ -60,7 +60,7 @@ def test_trees_equal_mllib(rows, chain, monkeypatch):
 
 def test_blocks_of_any_cut_hold_every_row(rows, monkeypatch):
     monkeypatch.setattr(boosting, "BLOCK_ROWS", 100)
-    blocks = boosting.pack(rows, "y", COLUMNS, 30)
+    blocks = boosting.pack(rows, "y", COLUMNS, [30] * 4)
     found = sorted(
         (float(y), *bins) for label, cells in blocks.rdd.collect() for y, bins in zip(label, cells.T.tolist(), strict=True)
     )
@@ -69,16 +69,16 @@ def test_blocks_of_any_cut_hold_every_row(rows, monkeypatch):
 
 def test_labels_that_are_neither_are_refused(rows):
     with pytest.raises(Exception, match="0 or 1"):
-        boosting.pack(rows.withColumn("y", F.lit(0.5)), "y", COLUMNS, 30)
+        boosting.pack(rows.withColumn("y", F.lit(0.5)), "y", COLUMNS, [30] * 4)
     with pytest.raises(ValueError, match="no rows"):
-        boosting.pack(rows.filter("a < 0"), "y", COLUMNS, 30)
+        boosting.pack(rows.filter("a < 0"), "y", COLUMNS, [30] * 4)
 
 
 def test_a_search_counts_all_settings_in_the_same_passes(spark, rows, monkeypatch):
     passes = []
     counted = boosting._sum
     monkeypatch.setattr(boosting, "_sum", lambda *args: passes.append(args) or counted(*args))
-    blocks = boosting.pack(rows, "y", COLUMNS, 30)
+    blocks = boosting.pack(rows, "y", COLUMNS, [30] * 4)
     trees = boosting.grow(blocks, SETTINGS)
     assert [len(t) for t in trees] == [s.trees for s in SETTINGS]
     # A pass a level of the deepest tree of a round, however many settings there are.
