@@ -30,6 +30,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BLOCK_ROWS = 32_768
 ROWS_A_TASK = 50_000
 MOST_ROWS_A_TASK = 4_000_000
+# Cells of a table of several columns, whose counts are made at once, and rows that make a
+# cell worth it. Cells fit 16 bits.
+JOINT_CELLS = 1_200
+ROWS_A_CELL = 3
 # Trees after which margins are made anew from the blocks, so that lineage stays short.
 TREES_A_CHAIN = 25
 # Bytes of counts that the driver adds up itself; more are added up by tasks first.
@@ -152,48 +156,111 @@ def _added(parts: Iterable, steps: Sequence[tuple], keep: Sequence[int] | None)
         yield label, bins, found if keep is None else np.ascontiguousarray(found[keep])
 
 
-def _counted(parts: Iterable, jobs: Sequence[tuple], columns: int, width: int) -> Iterator[list[np.ndarray]]:
-    """Per job and slot of a node: totals, and for each bin of each column sum, zeros and ones."""
+def _groups(bins: Sequence[int]) -> list[tuple[int, ...]]:
+    """Columns next to each other that are counted as one, as long as their cells are few."""
+    groups, cells = [], JOINT_CELLS + 1
+    for column, own in enumerate(bins):
+        cells *= own + 1
+        if cells > JOINT_CELLS:
+            groups.append(())
+            cells = own + 1
+        groups[-1] += (column,)
+    return groups
+
+
+def _cell(rows: Sequence[np.ndarray], sizes: Sequence[int]) -> np.ndarray:
+    """The cell of each row in the table of several columns of so many bins."""
+    cell = rows[0]
+    for row, size in zip(rows[1:], sizes[1:]):
+        cell = np.multiply(cell, size, dtype=np.uint16)
+        cell += row
+    return cell
+
+
+def _counts(at: np.ndarray, weighted: np.ndarray, ones: int, size: int, root: bool) -> Iterator[np.ndarray]:
+    """Sums, zeros and ones of each cell. Those of the root are sums only, as its rows stay the same."""
+    yield np.bincount(at, weighted, size)
+    if not root:
+        yield np.bincount(at[ones:], minlength=size)
+        yield np.bincount(at[:ones], minlength=size)
+
+
+def _counted(parts: Iterable, jobs: Sequence[tuple], numbers: Sequence[int], width: int) -> Iterator[list[np.ndarray]]:
+    """Per job and slot of a node: totals, and for each bin of each column sum, zeros and ones.
+
+    A table of several columns takes one count where each column would take its own. It is
+    used where there are some rows for each of its cells, and added up by column at the end.
+    """
+    columns, sizes, groups = len(numbers), [n + 1 for n in numbers], _groups(numbers)
     bins_of = [np.zeros((3, columns, job[4] * width)) for job in jobs]
     totals = [np.zeros((2, job[4])) for job in jobs]
+    tables: list[dict[tuple[int, ...], np.ndarray]] = [{} for _ in jobs]
     for label, bins, *margins in parts:
         sign = 2.0 * label - 1
-        for (k, heavy, tree, slot_of, slots, levels), sums, total in zip(jobs, bins_of, totals):
+        cells = [_cell([bins[c] for c in group], [sizes[c] for c in group]) for group in groups]
+        for (k, heavy, tree, slot_of, slots, levels, root), sums, total, table in zip(jobs, bins_of, totals, tables):
             target = sign
             if margins:
                 with np.errstate(over="ignore"):
                     target = 4.0 * sign / (1.0 + np.exp(2.0 * sign * margins[0][k]))
-            ones = int(label.sum())
-            rows, slot = bins, np.zeros(label.size, np.int64)
+            ones, chosen = int(label.sum()), None
             if levels:
                 slot = slot_of.take(_reached(bins, tree, levels))
                 chosen = np.flatnonzero(slot >= 0)
                 ones = int(np.searchsorted(chosen, ones))
-                rows, slot, target = bins.take(chosen, axis=1), slot.take(chosen), target.take(chosen)
+                slot, target = slot.take(chosen), target.take(chosen)
             weighted = target.copy()
             weighted[:ones] *= heavy
-            total[0] += np.bincount(slot, weighted, slots)
-            total[1] += np.bincount(slot, weighted * target, slots)
-            start, size = slot * width, slots * width
-            for c in range(columns):
-                at = start + rows[c]
-                sums[0, c] += np.bincount(at, weighted, size)
-                sums[1, c] += np.bincount(at[ones:], minlength=size)
-                sums[2, c] += np.bincount(at[:ones], minlength=size)
+            starts: dict[int, np.ndarray] = {}
+
+            def counted(row: np.ndarray, size: int) -> Iterator[np.ndarray]:
+                at = row
+                if chosen is not None:
+                    if size not in starts:
+                        starts[size] = slot * size
+                    at = starts[size] + row.take(chosen)
+                return _counts(at, weighted, ones, slots * size, root)
+
+            if chosen is None:
+                total[0] += weighted.sum()
+                total[1] += weighted.dot(target)
+            else:
+                total[0] += np.bincount(slot, weighted, slots)
+                total[1] += np.bincount(slot, weighted * target, slots)
+            for group, cell in zip(groups, cells):
+                size = math.prod(sizes[c] for c in group)
+                if len(group) > 1 and ROWS_A_CELL * slots * size <= target.size:
+                    found = table.setdefault(group, np.zeros((3, slots * size)))
+                    for which, part in enumerate(counted(cell, size)):
+                        found[which] += part
+                else:
+                    for c in group:
+                        for which, part in enumerate(counted(bins[c], width)):
+                            sums[which, c] += part
+    for job, sums, table in zip(jobs, bins_of, tables):
+        for group, found in table.items():
+            found = found.reshape(3, job[4], *[sizes[c] for c in group])
+            for k, c in enumerate(group):
+                others = tuple(2 + i for i in range(len(group)) if i != k)
+                sums[:, c].reshape(3, job[4], width)[..., : sizes[c]] += found.sum(axis=others)
     yield [x for pair in zip(bins_of, totals) for x in pair]
 
 
-def _sum(rdd: RDD, jobs: Sequence[tuple], columns: int, width: int) -> list[np.ndarray]:
-    size = 24 * columns * width * sum(job[4] for job in jobs) * rdd.getNumPartitions()
-    counted = rdd.mapPartitions(lambda parts: _counted(parts, jobs, columns, width))
+def _sum(rdd: RDD, jobs: Sequence[tuple], numbers: Sequence[int], width: int) -> list[np.ndarray]:
+    size = 24 * len(numbers) * width * sum(job[4] for job in jobs) * rdd.getNumPartitions()
+    counted = rdd.mapPartitions(lambda parts: _counted(parts, jobs, numbers, width))
     return counted.treeReduce(lambda a, b: [x + y for x, y in zip(a, b)], 1 if size <= DRIVER_BYTES else 2)
 
 
 class _Growing:
     """One tree of one setting, level by level."""
 
-    def __init__(self, margin: int, depth: int, heavy: float, columns: int, width: int):
+    def __init__(
+        self, margin: int, depth: int, heavy: float, columns: int, width: int, root: np.ndarray | None = None
+    ):
         self.margin, self.depth, self.heavy = margin, depth, heavy
+        # Zeros and ones of the root, once a tree has counted them.
+        self.root = root
         self.columns, self.width = columns, width
         self.tree, self.levels = Tree(width), 0
         # Splits whose smaller child is to be counted: it, its sibling, the parent and its counts.
@@ -205,12 +272,16 @@ class _Growing:
     def job(self) -> tuple:
         nodes = np.full(max(1, len(self.tree.column)), -1)
         nodes[[smaller for smaller, *_ in self.asked]] = np.arange(len(self.asked))
-        return self.margin, self.heavy, self.tree.arrays(), nodes, max(1, len(self.asked)), self.levels
+        known = self.levels == 0 and self.root is not None
+        return self.margin, self.heavy, self.tree.arrays(), nodes, max(1, len(self.asked)), self.levels, known
 
     def take(self, sums: np.ndarray, totals: np.ndarray) -> None:
         found = sums.reshape(3, self.columns, -1, self.width).transpose(2, 0, 1, 3)
         nodes: list[tuple[int, np.ndarray]] = []
         if self.levels == 0:
+            if self.root is None:
+                self.root = found[0, 1:].copy()
+            found[0, 1:] = self.root
             zeros, ones = found[0, 1:, 0].sum(axis=1)
             weight = float(zeros + self.heavy * ones)
             self.tree.add(weight, float(totals[0, 0]), float(totals[1, 0]), int(zeros + ones))
@@ -261,7 +332,7 @@ def grow(blocks: Blocks, settings: Sequence) -> list[list[Tree]]:
     """
     done: list[list[Tree]] = [[] for _ in settings]
     # A value without a bin, which Bucketizer may keep, is one more.
-    columns, width = len(blocks.bins), max(blocks.bins) + 1
+    columns, width, root = len(blocks.bins), max(blocks.bins) + 1, None
     state, kept, chained = blocks.rdd, list(range(len(settings))), 0
 
     def step(margin: int, k: int, t: int) -> tuple:
@@ -283,11 +354,11 @@ def grow(blocks: Blocks, settings: Sequence) -> list[list[Tree]]:
                 adding = lambda parts, steps=steps, keep=keep: _added(parts, steps, keep)
                 state, kept = source.mapPartitions(adding).persist(StorageLevel.MEMORY_AND_DISK), live
             growing = [
-                _Growing(i, settings[k].max_depth, settings[k].positive_weight, columns, width)
+                _Growing(i, settings[k].max_depth, settings[k].positive_weight, columns, width, root)
                 for i, k in enumerate(kept)
             ]
             while asked := [g for g in growing if g.open()]:
-                found = _sum(state, [g.job() for g in asked], columns, width)
+                found = _sum(state, [g.job() for g in asked], blocks.bins, width)
                 for g, sums, totals in zip(asked, found[::2], found[1::2]):
                     g.take(sums, totals)
                 if old is not state and old is not blocks.rdd:
@@ -295,6 +366,7 @@ def grow(blocks: Blocks, settings: Sequence) -> list[list[Tree]]:
                     old = state
             for k, g in zip(kept, growing):
                 done[k].append(g.tree)
+            root = growing[0].root
     finally:
         if state is not blocks.rdd:
             state.unpersist()

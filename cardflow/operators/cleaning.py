@@ -19,7 +19,7 @@ from cardflow.schema import (
     PROCESSED_COLS,
     TS,
 )
-from cardflow.session import checkpoint
+from cardflow.session import checkpoint, stored
 
 
 def present(df: DataFrame, name: str) -> Column:
@@ -30,13 +30,16 @@ def present(df: DataFrame, name: str) -> Column:
 
 
 def dedupe(
-    df: DataFrame, keys: Sequence[str] = (ID,), order: Sequence[str] = (TS, "amount")
+    df: DataFrame, keys: Sequence[str] = (ID,), order: Sequence[str] = (TS, "amount"), keep: bool = False
 ) -> DataFrame:
     """Keep the first row per key in ``order``.
 
     Only hashes of keys are shuffled to find those with copies, when this is called.
     Rows of all other keys stay where they are; rows that share a hash are ranked.
     With more such hashes than can be sent to the rows, all rows are ranked.
+
+    ``keep`` ranks rows that share a hash when this is called and keeps the first of each key
+    in the shared folder, for results that are read several times.
     """
     hashed = F.xxhash64(*keys)
     copies, n = repeated(df, hashed)
@@ -46,7 +49,8 @@ def dedupe(
         return _first_rows(df, keys, order)
     sent = F.broadcast(copies.select("_value"))
     alone, several = (df.join(sent, hashed == sent["_value"], how) for how in ("left_anti", "left_semi"))
-    return alone.unionByName(_first_rows(several, keys, order))
+    first = _first_rows(several, keys, order)
+    return alone.unionByName(stored(first) if keep else first)
 
 
 def _first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -142,12 +146,13 @@ def clean_rows(df: DataFrame) -> DataFrame:
     """All cleaning rules except standardisation.
 
     Whether a row is complete is decided before the dedupe, so a later pass that
-    needs only ``amount`` does not move the 28 components of rows with copies.
+    needs only ``amount`` does not move the 28 components of rows with copies. Which copies
+    stay is found once: their order asks for all columns, and cleaned rows are read several times.
     """
     complete = F.lit(True)
     for name in CRITICAL_COLS:
         complete = complete & present(df, name)
-    survivors = dedupe(df.withColumn("_complete", complete)).filter("_complete")
+    survivors = dedupe(df.withColumn("_complete", complete), keep=True).filter("_complete")
     return (
         survivors.drop("_complete")
         .transform(clamp_amount)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,3 +61,14 @@ def checkpoint(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder once, as a table that plans know nothing else about.
+
+    A checkpoint keeps what the plan before it says of its rows. After a projection of some 40
+    columns that is so much that plans over it take minutes to optimise.
+    """
+    path = f"{shared_dir(df.sparkSession)}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
@@ -83,3 +84,37 @@ def test_a_search_counts_all_settings_in_the_same_passes(spark, rows, monkeypatc
     assert [len(t) for t in trees] == [s.trees for s in SETTINGS]
     # A pass a level of the deepest tree of a round, however many settings there are.
     assert len(passes) <= sum(max(s.max_depth for s in SETTINGS if s.trees > t) for t in range(7))
+
+
+def test_columns_counted_together_give_the_counts_of_each(monkeypatch):
+    draw = np.random.default_rng(3)
+    numbers, width, rows = [30, 3, 12, 2, 30, 30], 31, 4000
+    label = np.sort(draw.integers(0, 2, rows).astype(np.uint8))[::-1].copy()
+    block = label, np.stack([draw.integers(0, n, rows) for n in numbers]).astype(np.uint8), draw.normal(size=(1, rows))
+    counted, counts = [], boosting._counts
+    monkeypatch.setattr(boosting, "_counts", lambda at, *args: counted.append(args[2]) or counts(at, *args))
+
+    def grown():
+        tree, found = boosting._Growing(0, 4, 3.0, len(numbers), width), []
+        while tree.open():
+            found.append(next(boosting._counted([block, block], [tree.job()], numbers, width)))
+            tree.take(*(x.copy() for x in found[-1]))
+        return found, len(counted)
+
+    assert boosting._groups(numbers) == [(0, 1), (2, 3), (4, 5)]
+    together, fewer = grown()
+    counted.clear()
+    monkeypatch.setattr(boosting, "JOINT_CELLS", 1)
+    apart, all_of_them = grown()
+    assert fewer < all_of_them and len(together) == len(apart)
+    for one, other in zip(together, apart, strict=True):
+        for a, b in zip(one, other, strict=True):
+            assert np.allclose(a, b, rtol=1e-12, atol=1e-9)
+
+
+def test_zeros_and_ones_of_the_root_are_counted_once(rows, monkeypatch):
+    known, count = [], boosting._sum
+    monkeypatch.setattr(boosting, "_sum", lambda rdd, jobs, *rest: known.append([j[-1] for j in jobs if j[5] == 0]) or count(rdd, jobs, *rest))
+    blocks = boosting.pack(rows, "y", COLUMNS, [30] * 4)
+    boosting.grow(blocks, [training.TreeParams(2, 0.1, 3, 2.0)])
+    assert [k for k in known if k] == [[False], [True], [True]]

@@ -379,3 +379,14 @@ def test_cuts_read_no_other_column(spark, monkeypatch):
     assert found[True][1] < found[False][0] and marked.filter("is_train").count() == 2520
     assert selection.stratified_snapshot(tied, size=100).count() == 100
     assert asked
+
+
+def test_cleaning_ranks_copies_once(spark):
+    """Which copies stay is stored, so what reads cleaned rows doesn't rank them again."""
+    raw = X.tx_raw(spark, SMALL)
+    kept = cleaning.dedupe(raw, keep=True)
+    lazy = cleaning.dedupe(raw)
+    assert kept.exceptAll(lazy).isEmpty() and lazy.exceptAll(kept).isEmpty()
+    for rows in (kept, cleaning.clean_transactions(raw)):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "Exchange hashpartitioning" not in plan
