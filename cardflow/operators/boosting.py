@@ -4,6 +4,10 @@ The trees are those of MLlib's ``GBTClassifier`` (logistic loss, variance, whole
 columns, bins as categories), and the result is its model. What differs is the way to them: rows are kept as blocks
 of one byte per bin, a pass counts one level of a tree of every setting, only the smaller child
 of a split is counted (its sibling is the rest of the parent).
+
+Rows that no split has told apart yet share their gradients in every setting. As long as such
+classes are few, sums over rows are made from counts of the classes' bins, and rows are read only
+when a split parts a class. From the tree on where they would be too many, each level is a pass.
 """
 
 from __future__ import annotations
@@ -34,6 +38,9 @@ MOST_ROWS_A_TASK = 4_000_000
 # cell worth it. Cells fit 16 bits.
 JOINT_CELLS = 1_200
 ROWS_A_CELL = 3
+# Most classes of rows that trees are grown from, and rows that make a class worth its counts.
+MOST_CLASSES = 1_024
+ROWS_A_CLASS = 800
 # Trees after which margins are made anew from the blocks, so that lineage stays short.
 TREES_A_CHAIN = 25
 # Bytes of counts that the driver adds up itself; more are added up by tasks first.
@@ -47,8 +54,9 @@ class Blocks:
     """Labels (ones first) and bins, one row of bytes per column, in blocks of rows."""
 
     rdd: RDD
-    # Number of bins of each column.
+    # Number of bins of each column, and of rows.
     bins: tuple[int, ...]
+    rows: int
 
     def unpersist(self) -> None:
         self.rdd.unpersist()
@@ -90,7 +98,7 @@ def pack(df: DataFrame, label: str, binned: Sequence[str], bins: Sequence[int])
     rdd = packs.repartition(tasks).rdd.mapPartitions(merged).persist(StorageLevel.MEMORY_AND_DISK)
     rdd.count()
     packs.unpersist()
-    return Blocks(rdd, tuple(bins))
+    return Blocks(rdd, tuple(bins), n)
 
 
 def _block(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -129,6 +137,10 @@ class Tree:
         self.right[node][bins] = 0
         self.child[2 * node : 2 * node + 2] = [left, right]
 
+    def asked(self) -> set[int]:
+        """The columns that splits ask."""
+        return {column for node, column in enumerate(self.column) if self.child[2 * node] != node}
+
     def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         return np.array(self.column), np.array(self.right, np.uint8).reshape(-1), np.array(self.child), np.array(self.value)
 
@@ -325,12 +337,168 @@ class _Growing:
                 self.asked.append((*small, node, counts))
 
 
+def _class_nodes(label: np.ndarray, bins: np.ndarray, tree: tuple) -> np.ndarray:
+    """The leaf of each row in the tree of classes, whose first two nodes are zeros and ones."""
+    column, right, child, _ = tree
+    n, width, flat = label.size, right.size // column.size, bins.reshape(-1)
+    node, at = label.astype(np.int64), np.arange(label.size)
+    while True:
+        here = node.take(at)
+        on = np.flatnonzero(child.take(2 * here) != here)
+        if not on.size:
+            return node
+        here, at = here.take(on), at.take(on)
+        node[at] = child.take(2 * here + right.take(here * width + flat.take(column.take(here) * n + at)))
+
+
+def _class_counts(blocks: Blocks, tree: Tree, leaves: Sequence[int]) -> np.ndarray:
+    """Rows of each bin of each column in some leaves of the tree of classes."""
+    columns, width, slots, arrays = len(blocks.bins), tree.width, len(leaves), tree.arrays()
+    slot_of = np.full(len(tree.column), -1)
+    slot_of[list(leaves)] = np.arange(slots)
+
+    def counted(parts: Iterable) -> Iterator[np.ndarray]:
+        found = np.zeros((columns, slots * width), np.int64)
+        for label, bins in parts:
+            slot = slot_of.take(_class_nodes(label, bins, arrays))
+            chosen = np.flatnonzero(slot >= 0)
+            starts = slot.take(chosen) * width
+            for row, sums in zip(bins, found):
+                sums += np.bincount(starts + row.take(chosen), minlength=slots * width)
+        yield found
+
+    size = 8 * columns * slots * width * blocks.rdd.getNumPartitions()
+    found = blocks.rdd.mapPartitions(counted).treeReduce(lambda a, b: a + b, 1 if size <= DRIVER_BYTES else 2)
+    return found.reshape(columns, slots, width).transpose(1, 0, 2).astype(float)
+
+
+class _Classes:
+    """Classes of rows: of one label, and sent the same way by every split so far of every setting."""
+
+    def __init__(self, blocks: Blocks, settings: int, most: int):
+        self.blocks, self.most = blocks, most
+        # How a row finds its class, which is a leaf of this tree.
+        self.tree = Tree(max(blocks.bins) + 1)
+        self.leaves = np.array([self._leaf(), self._leaf()])
+        self.ones = np.array([False, True])
+        self.margins = np.zeros((settings, 2))
+        # Rows by class, column and bin.
+        self.bins = _class_counts(blocks, self.tree, self.leaves)
+
+    def _leaf(self) -> int:
+        return self.tree.add(0.0, 0.0, 0.0, 0)
+
+    def _sent(self, tree: Tree) -> tuple[np.ndarray, np.ndarray]:
+        """The node that each class reaches, and whether the split there parts it."""
+        node, parted = np.zeros(len(self.leaves), np.int64), np.zeros(len(self.leaves), bool)
+        if not tree.column:
+            return node, parted
+        column, right, child, _ = tree.arrays()
+        right, at = right.reshape(-1, tree.width), np.arange(len(self.leaves))
+        while True:
+            at = at[child[2 * node[at]] != node[at]]
+            if not at.size:
+                return node, parted
+            here = node[at]
+            rows = self.bins[at, column[here]]
+            rightwards, whole = (rows * right[here]).sum(axis=1), rows.sum(axis=1)
+            parted[at] = (rightwards > 0) & (rightwards < whole)
+            at, here, rightwards = (x[~parted[at]] for x in (at, here, rightwards))
+            node[at] = child[2 * here + (rightwards > 0)]
+
+    def settle(self, trees: Sequence[Tree]) -> list[np.ndarray] | None:
+        """The node of each class in each tree, with classes parted until no split parts one.
+
+        None where they would be too many.
+        """
+        while True:
+            sent = [self._sent(tree) for tree in trees]
+            # A class is parted by one split at a time; others may not part what is left of it.
+            asked: dict[int, tuple[int, np.ndarray]] = {}
+            for tree, (node, parted) in zip(trees, sent):
+                for k in np.flatnonzero(parted).tolist():
+                    asked.setdefault(k, (tree.column[node[k]], tree.right[node[k]]))
+            if not asked:
+                return [node for node, _ in sent]
+            if len(self.leaves) + len(asked) > self.most:
+                return None
+            self._part(asked)
+
+    def _part(self, asked: dict[int, tuple[int, np.ndarray]]) -> None:
+        old, smaller, larger = list(asked), [], []
+        for k, (column, right) in asked.items():
+            pair = self._leaf(), self._leaf()
+            self.tree.split(self.leaves[k], column, np.flatnonzero(right == 0), 0.0, *pair)
+            rows = self.bins[k, column]
+            small = int(2 * rows.dot(right) <= rows.sum())
+            smaller.append(pair[small])
+            larger.append(pair[1 - small])
+        counts = _class_counts(self.blocks, self.tree, smaller)
+        self.bins[old] -= counts
+        self.bins = np.concatenate([self.bins, counts])
+        self.leaves[old] = larger
+        self.leaves = np.concatenate([self.leaves, smaller])
+        self.ones = np.concatenate([self.ones, self.ones[old]])
+        self.margins = np.concatenate([self.margins, self.margins[:, old]], axis=1)
+
+    def counted(self, job: tuple, node: np.ndarray, first: bool) -> tuple[np.ndarray, np.ndarray]:
+        """What ``_counted`` finds for the job, given the node of each class."""
+        k, heavy, _, slot_of, slots, levels, _ = job
+        sign = 2.0 * self.ones - 1
+        target = sign
+        if not first:
+            with np.errstate(over="ignore"):
+                target = 4.0 * sign / (1.0 + np.exp(2.0 * sign * self.margins[k]))
+        slot = slot_of.take(node) if levels else node
+        chosen = np.flatnonzero(slot >= 0)
+        within = np.zeros((slots, len(slot)))
+        within[slot[chosen], chosen] = 1.0
+        weighted = np.where(self.ones, heavy, 1.0) * target
+        shares = np.stack([within * weighted, within * ~self.ones, within * self.ones])
+        sums = (shares @ self.bins.reshape(len(slot), -1)).reshape(3, slots, *self.bins.shape[1:])
+        rows = self.bins[:, 0].sum(axis=1)
+        totals = np.stack([within @ (weighted * rows), within @ (weighted * target * rows)])
+        return sums.transpose(0, 2, 1, 3).reshape(3, self.bins.shape[1], -1), totals
+
+
+def _by_classes(blocks: Blocks, settings: Sequence) -> list[list[Tree]]:
+    """The first trees of each setting, as long as classes of rows are few."""
+    done: list[list[Tree]] = [[] for _ in settings]
+    most = min(MOST_CLASSES, blocks.rows // ROWS_A_CLASS)
+    if most < 2:
+        return done
+    classes = _Classes(blocks, len(settings), most)
+    for t in range(max(s.trees for s in settings)):
+        growing = [
+            _Growing(k, s.max_depth, s.positive_weight, len(blocks.bins), classes.tree.width)
+            for k, s in enumerate(settings)
+            if s.trees > t
+        ]
+        while asked := [g for g in growing if g.open()]:
+            nodes = classes.settle([g.tree for g in asked])
+            if nodes is None:
+                return done
+            for g, node in zip(asked, nodes):
+                g.take(*classes.counted(g.job(), node, t == 0))
+        for g in growing:
+            done[g.margin].append(g.tree)
+        more = [g for g in growing if settings[g.margin].trees > t + 1]
+        nodes = classes.settle([g.tree for g in more])
+        if nodes is None:
+            return done
+        for g, node in zip(more, nodes):
+            rate = settings[g.margin].learning_rate if t else 1.0
+            classes.margins[g.margin] += rate * np.array(g.tree.value)[node]
+    return done
+
+
 def grow(blocks: Blocks, settings: Sequence) -> list[list[Tree]]:
     """The trees of each setting (``max_depth``, ``learning_rate``, ``trees``, ``positive_weight``).
 
     The first tree learns the labels as -1 and 1, each later one the gradient of the loss.
     """
-    done: list[list[Tree]] = [[] for _ in settings]
+    done = _by_classes(blocks, settings)
+    begun = max(map(len, done))
     # A value without a bin, which Bucketizer may keep, is one more.
     columns, width, root = len(blocks.bins), max(blocks.bins) + 1, None
     state, kept, chained = blocks.rdd, list(range(len(settings))), 0
@@ -340,14 +508,14 @@ def grow(blocks: Blocks, settings: Sequence) -> list[list[Tree]]:
         return margin, done[k][t].arrays(), settings[k].max_depth, rate
 
     try:
-        for t in range(max(s.trees for s in settings)):
+        for t in range(begun, max(s.trees for s in settings)):
             live = [k for k in kept if settings[k].trees > t]
             old = state
             if t:
                 steps = [step(i, k, t - 1) for i, k in enumerate(kept) if k in live]
                 keep = [i for i, k in enumerate(kept) if k in live]
                 chained += 1
-                if chained == TREES_A_CHAIN:
+                if chained == TREES_A_CHAIN or t == begun:
                     chained, keep = 0, None
                     steps = [step(i, k, before) for before in range(t) for i, k in enumerate(live)]
                 source = blocks.rdd if t == 1 or keep is None else state

@@ -8,6 +8,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
 
 from cardflow.operators import boosting
+from cardflow.operators.metrics import confusion, f1_binary
 from cardflow.plans import training
 
 COLUMNS = ["a", "b", "c", "d"]
@@ -118,3 +119,65 @@ def test_zeros_and_ones_of_the_root_are_counted_once(rows, monkeypatch):
     blocks = boosting.pack(rows, "y", COLUMNS, [30] * 4)
     boosting.grow(blocks, [training.TreeParams(2, 0.1, 3, 2.0)])
     assert [k for k in known if k] == [[False], [True], [True]]
+
+
+def _same_trees(found, expected):
+    for trees, others in zip(found, expected, strict=True):
+        for tree, other in zip(trees, others, strict=True):
+            assert tree.column == other.column and tree.child == other.child
+            assert all((a == b).all() for a, b in zip(tree.right, other.right, strict=True))
+            assert tree.value == pytest.approx(other.value, abs=1e-9)
+            assert [s[3] for s in tree.stats] == [s[3] for s in other.stats]
+
+
+def test_rows_are_read_only_when_a_split_parts_a_class(rows, monkeypatch):
+    rule = ((F.col("a") > 20) & (F.col("c") == 1)) | F.col("b").isin(3, 4)
+    blocks = boosting.pack(rows.withColumn("y", rule.cast("int")), "y", COLUMNS, [30] * 4)
+    monkeypatch.setattr(boosting, "MOST_CLASSES", 0)
+    by_rows = boosting.grow(blocks, SETTINGS)
+    passes = []
+    for name in ("_sum", "_class_counts"):
+        counted = getattr(boosting, name)
+        monkeypatch.setattr(boosting, name, lambda *args, counted=counted: passes.append(counted) or counted(*args))
+    monkeypatch.setattr(boosting, "MOST_CLASSES", 75)
+    monkeypatch.setattr(boosting, "ROWS_A_CLASS", 1)
+    found = boosting.grow(blocks, SETTINGS)
+    # 14 trees of up to five levels ask three columns: as many passes as it takes to part by them.
+    assert len(passes) <= 8
+    _same_trees(found, by_rows)
+
+
+def test_trees_of_too_many_classes_go_on_by_rows(rows, monkeypatch):
+    blocks = boosting.pack(rows, "y", COLUMNS, [30] * 4)
+    monkeypatch.setattr(boosting, "MOST_CLASSES", 0)
+    by_rows = boosting.grow(blocks, SETTINGS)
+    monkeypatch.setattr(boosting, "MOST_CLASSES", 300)
+    monkeypatch.setattr(boosting, "ROWS_A_CLASS", 1)
+    first = boosting._by_classes(blocks, SETTINGS)
+    assert 0 < max(map(len, first)) < 7
+    _same_trees(boosting.grow(blocks, SETTINGS), by_rows)
+
+
+def test_one_label_alone_gives_trees_without_splits(rows, monkeypatch):
+    monkeypatch.setattr(boosting, "ROWS_A_CLASS", 1)
+    for label in (0, 1):
+        blocks = boosting.pack(rows.withColumn("y", F.lit(label)), "y", COLUMNS, [30] * 4)
+        (tree, _, _), *_ = boosting.grow(blocks, [training.TreeParams(3, 0.1, 3, 2.0)])
+        assert tree.value == [2.0 * label - 1] and tree.asked() == set()
+
+
+def test_later_rows_alike_to_all_trees_are_judged_as_one(rows):
+    some = rows.withColumn("y", F.when(F.rand(1) < 0.9, F.col("y")))
+    known = some.filter("y is not null")
+    bins = training.bin_features(known, COLUMNS)
+    blocks = training._blocks(known, bins, "y")
+    grown = boosting.grow(blocks, [training.TreeParams(2, 0.1, 1, 3.0)])
+    (model,) = training._models(blocks.bins, [training.TreeParams(2, 0.1, 1, 3.0)], grown, 1)
+    asked = {c for tree in grown[0] for c in tree.asked()}
+    assert 0 < len(asked) < 4
+    fewer = training._binned(some, bins, "y", asked)
+    assert fewer.count() < some.count() == fewer.agg(F.sum("_n")).first()[0]
+    whole = model.transform(training._binned(some, bins, "y"))
+    confused = lambda df, n=None: sorted(map(repr, confusion(df, "_label", rows=n).collect()))
+    assert confused(model.transform(fewer), "_n") == confused(whole)
+    assert f1_binary(model.transform(fewer), "_label", rows="_n").first() == f1_binary(whole, "_label").first()
